@@ -1,0 +1,66 @@
+"""Partition placement of Kafka's default partitioner (public murmur2 definition).
+
+Spark's own hash functions are murmur3 and xxhash64, so this one hash is an
+Arrow-batched UDF; callers apply it to distinct keys only.
+"""
+
+from __future__ import annotations
+
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+# Executors get the function itself, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Fixed constants of murmur2 as used by Kafka clients.
+SEED = 0x9747B28C
+MULTIPLIER = 0x5BD1E995
+SHIFT = 24
+
+
+def murmur2(keys: list[bytes]) -> np.ndarray:
+    """Hashes of a batch of keys, vectorized over the batch by word position."""
+    n = len(keys)
+    lengths = np.fromiter((len(k) for k in keys), dtype=np.uint32, count=n)
+    width = int(-(-int(lengths.max(initial=0)) // 4) * 4)
+    grid = np.zeros((n, max(width, 4)), dtype=np.uint8)
+    flat = np.frombuffer(b"".join(keys), dtype=np.uint8)
+    rows = np.repeat(np.arange(n), lengths)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    grid[rows, np.arange(flat.size) - np.repeat(starts, lengths)] = flat
+    words = grid.view("<u4")
+    m = np.uint32(MULTIPLIER)
+    h = np.uint32(SEED) ^ lengths
+    full, rest = lengths // 4, lengths % 4
+    with np.errstate(over="ignore"):
+        for i in range(words.shape[1]):
+            k = words[:, i] * m
+            k ^= k >> np.uint32(SHIFT)
+            k *= m
+            whole = (h * m) ^ k
+            tail = (h ^ words[:, i]) * m  # unused bytes of the last word are zero
+            h = np.where(i < full, whole, np.where((i == full) & (rest > 0), tail, h))
+        h ^= h >> np.uint32(13)
+        h *= m
+        h ^= h >> np.uint32(15)
+    return h
+
+
+@F.pandas_udf(LongType())
+def _positive_hash(key: pd.Series) -> pd.Series:
+    present = key.notna()
+    out = pd.Series(pd.NA, index=key.index, dtype="Int64")
+    if present.any():
+        hashed = murmur2([k.encode("utf-8") for k in key[present]])
+        out[present] = (hashed & np.uint32(0x7FFFFFFF)).astype("int64")
+    return out
+
+
+def partition_of(key: Column, partitions: Column) -> Column:
+    return (_positive_hash(key) % partitions).cast("int")
