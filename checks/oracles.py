@@ -113,15 +113,13 @@ PAYLOAD_SQL = {
 }
 for kind, cols in PAYLOAD_SQL.items():
     names = list(C.PAYLOAD_FIELDS[kind])
-    parts = [f"CASE WHEN n % 100 <> 29 THEN {n} END AS {n}" for n in names if n != "items"]
-    add(f"explode_payload_{kind.lower()}", f"""WITH {LINES}, p AS (
-SELECT n, pos, {', '.join(c for c in [cols])}, CASE WHEN n % 100 <> 31 THEN event_id END AS eid FROM lines
-WHERE event_type = '{kind}' AND n % 100 NOT IN (3, 7, 17))
-SELECT eid AS event_id, {', '.join(parts)} FROM p""")
+    parts = [n for n in names if n != "items"]
+    add(f"explode_payload_{kind.lower()}", f"""WITH {LINES}, p AS (SELECT event_id, {cols} FROM good WHERE event_type = '{kind}')
+SELECT event_id, {', '.join(parts)} FROM p""")
 
-add("explode_purchase_items", """SELECT CASE WHEN arrival % 100 <> 31 THEN event_id END AS event_id, product_id, product_name, category,
+add("explode_purchase_items", """SELECT event_id, product_id, product_name, category,
   CAST(substr(product_name, 10) AS DOUBLE) + 10 AS unit_price, quantity, CAST(subtotal AS DOUBLE) AS subtotal
-FROM (SELECT * FROM items UNION ALL SELECT * FROM items WHERE arrival % 100 = 50) WHERE arrival % 100 NOT IN (3, 7, 17, 29)""")
+FROM (SELECT * FROM items UNION ALL SELECT * FROM items WHERE arrival % 100 = 50) WHERE arrival % 100 NOT IN (3, 7, 11, 13, 17, 19, 23, 29, 31, 37)""")
 
 add("write_event_store", f"""WITH {LINES}
 SELECT scenario, CAST(CAST(ms_ts AS DATE) AS VARCHAR) AS event_date, count(DISTINCT event_id) AS events, count(DISTINCT event_id) AS ids,
@@ -137,8 +135,8 @@ SELECT load, count(*) AS leidos,
 FROM loads GROUP BY load""")
 
 add("write_metrics", """SELECT 'conversion' AS metric_type, w AS window_start, w + INTERVAL 1 DAY AS window_end,
-  count(*) FILTER (WHERE event_type = 'VIEW_PRODUCT') AS views_count, count(*) FILTER (WHERE event_type = 'PURCHASE') AS purchases_count,
-  CAST(NULL AS BIGINT) AS total_events FROM ev GROUP BY w
+  (count(*) FILTER (WHERE event_type = 'VIEW_PRODUCT'))::DOUBLE AS views_count, (count(*) FILTER (WHERE event_type = 'PURCHASE'))::DOUBLE AS purchases_count,
+  CAST(NULL AS DOUBLE) AS total_events FROM ev GROUP BY w
 UNION ALL SELECT 'throughput', w, w + INTERVAL 1 DAY, NULL, NULL, count(*) FROM ev GROUP BY w""")
 
 add("metric_messages", "SELECT 'throughput' AS key, 'metrics.throughput' AS topic, count(*) AS total_events FROM ev GROUP BY w")
@@ -498,7 +496,7 @@ add("product_ranking", f"""WITH {PRODUCTS}, r AS (SELECT *, CAST(row_number() OV
 SELECT product_id, position, revenue, revenue / greatest(1.0, max(revenue) OVER ()) AS relative FROM r WHERE position <= 20""")
 LEAKS = """leaks AS (SELECT * FROM pm WHERE conversion < avg_conversion * 0.75::DOUBLE)"""
 add("product_leaks", f"""WITH {PRODUCTS}, {LEAKS}
-SELECT 'LEAK' AS finding, product_id, views, units, round(conversion, 7) AS conversion, round(avg_conversion, 7) AS avg_conversion, round(revenue, 7) AS revenue FROM leaks
+SELECT 'LEAK' AS finding, product_id, CAST(views AS DOUBLE) AS views, units, round(conversion, 7) AS conversion, round(avg_conversion, 7) AS avg_conversion, round(revenue, 7) AS revenue FROM leaks
 UNION ALL (SELECT 'STAR', product_id, NULL, units, NULL, NULL, total_revenue FROM bought ORDER BY total_revenue DESC, product_id LIMIT 1)""")
 ORACLES["product_dwell"] = q("""SELECT product_id, round(CAST(sum(dwell_time_ms) AS DOUBLE) / count(*) / 1000.0::DOUBLE, 7) AS avg_dwell_seconds FROM ev WHERE event_type = 'VIEW_PRODUCT' GROUP BY product_id""")
 add("funnel", f"""WITH c AS (SELECT * FROM {conv('w')}), s AS (
@@ -539,7 +537,7 @@ feed AS (SELECT id, severity AS level,
   window_end AS "timestamp", 'Apache Flink' AS component, 'BASE' AS scenario,
   CASE WHEN window_end = max(window_end) OVER () THEN 'ACTIVA' ELSE 'RECONOCIDA' END AS status FROM newest)"""
 add("alert_feed", f"WITH {FEED_CORE} SELECT * EXCLUDE (id) FROM feed")
-add("export_alerts_csv", f"""WITH {FEED_CORE} SELECT level AS nivel, title AS titulo, 'a;b "c" ' || title AS descripcion, component AS componente, scenario AS escenario,
+add("export_alerts_csv", f"""WITH {FEED_CORE} SELECT level AS nivel, title AS titulo, 'a;b "c", ' || title AS descripcion, component AS componente, scenario AS escenario,
   status AS estado, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp" FROM feed""")
 add("alert_filter", f"""WITH {FEED_CORE} SELECT title, level, status, "timestamp" FROM feed WHERE level = 'WARNING' AND status = 'RECONOCIDA'
   AND (contains(lower(title), 'cart') OR contains(lower(component), 'cart'))""")

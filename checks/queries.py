@@ -94,17 +94,15 @@ def parse_envelope(spark, sf):
 
 def payload_of(kind):
     def run(spark, sf):
-        parsed = va.parse_json(ad.event_lines(ev(spark, sf)))
-        out = ln.explode_payload(parsed, kind)
+        out = ln.explode_payload(valid_lines(spark, sf), kind)
         return out.select(*[F.col(c).cast("double") if t.startswith("decimal") else F.col(c) for c, t in out.dtypes if not t.startswith("array")])
 
     return run
 
 
 def explode_purchase_items(spark, sf):
-    """PURCHASE.items of parsed events, one row per item."""
-    parsed = va.parse_json(ad.event_lines(ev(spark, sf)))
-    items = ln.explode_payload(parsed, "PURCHASE").select("event_id", F.explode("items").alias("i"))
+    """PURCHASE.items of valid events, one row per item."""
+    items = ln.explode_payload(valid_lines(spark, sf), "PURCHASE").select("event_id", F.explode("items").alias("i"))
     return items.select(
         "event_id", "i.product_id", "i.product_name", "i.category", F.col("i.unit_price").cast("double").alias("unit_price"),
         "i.quantity", F.col("i.subtotal").cast("double").alias("subtotal"),
@@ -138,7 +136,7 @@ def write_metrics(spark, sf):
     sinks.write_metrics(rows, "conversion", root)
     sinks.write_metrics(m.throughput(ev(spark, sf), window=DAY), "throughput", root)
     back = spark.read.parquet(f"{root}/metrics")
-    num = lambda name: F.get_json_object("payload", f"$.{name}").cast("bigint").alias(name)
+    num = lambda name: F.get_json_object("payload", f"$.{name}").cast("double").alias(name)
     return back.select("metric_type", "window_start", "window_end", num("views_count"), num("purchases_count"), num("total_events"))
 
 
@@ -680,7 +678,8 @@ def region_ranking(spark, sf):
 
 
 def product_leaks(spark, sf):
-    return rounded(pr.product_leaks(product_table(spark, sf), purchased_products(spark, sf)).drop("product_name"))
+    found = pr.product_leaks(product_table(spark, sf), purchased_products(spark, sf)).drop("product_name")
+    return rounded(found.withColumn("views", F.col("views").cast("double")))
 
 
 def insights(spark, sf):

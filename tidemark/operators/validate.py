@@ -87,6 +87,16 @@ def parse_json(lines: DataFrame, value: str = "value", out: str = "doc") -> Data
     return fence(lines, **{out: F.try_parse_json(value)})
 
 
+def with_fields(df: DataFrame, out: str, path: str, names) -> DataFrame:
+    """All wanted fields of a JSON object in one walk: texts, and the payload as VARIANT.
+
+    The struct is null when the node is no object; a field is null when it is absent or
+    JSON null.
+    """
+    ddl = ", ".join(f"{n}: {'variant' if n == 'payload' else 'string'}" for n in names)
+    return df if out in df.columns else fence(df, **{out: F.try_variant_get("doc", path, f"struct<{ddl}>")})
+
+
 # --- step 1: raw envelopes ------------------------------------------------------
 
 
@@ -103,7 +113,7 @@ def parse_envelope(lines: DataFrame) -> DataFrame:
             (F.col("doc").isNull(), BAD_LINE),
             (keys.isNull(), NOT_OBJECT_MESSAGE),
             (
-                F.coalesce(~(is_text(hint) & get("doc", "$.source_hint").isin(*C.SOURCES)), F.lit(True)),
+                ~F.coalesce(get("doc", "$.source_hint").isin(*C.SOURCES), F.lit(False)),
                 F.concat(F.lit("source_hint fuera del contrato: "), shown(hint)),
             ),
         ]
@@ -118,41 +128,35 @@ def parse_envelope(lines: DataFrame) -> DataFrame:
 def validate_envelope(lines: DataFrame) -> DataFrame:
     """Check {source_hint, event} envelopes before enrichment."""
     df = lines if "doc" in lines.columns else parse_json(lines)
-    kind_node = node("doc", "$.event.event_type")
-    kind = get("doc", "$.event.event_type")
-    event_keys = keys_of("doc", "$.event")
-    missing = F.array_except(F.array(*[F.lit(f) for f in C.SOURCE_FIELDS]), event_keys)
-    hint = node("doc", "$.source_hint")
-    payload_keys = keys_of("doc", "$.event.payload")
-    required = _required_payload(kind)
-    payload_missing = F.array_except(required, payload_keys)
+    df = with_fields(df, "e", "$.event", C.SOURCE_FIELDS)
+    df = fence(df, keys=keys_of("doc", "$.event"), payload_keys=keys_of(F.col("e.payload"), "$"))
+    kind, kind_node = F.col("e.event_type"), node("doc", "$.event.event_type")
+    missing = F.array_except(F.array(*[F.lit(f) for f in C.SOURCE_FIELDS]), F.col("keys"))
+    payload_missing = F.array_except(_required_payload(kind), F.col("payload_keys"))
+    # A field that is absent is named before a field that is null.
     checks = [
-        (keys_of("doc", "$").isNull(), NOT_OBJECT_MESSAGE),
-        (event_keys.isNull(), NO_EVENT),
-        (is_absent(kind_node), NO_TYPE),
-        (
-            ~(is_text(kind_node) & kind.isin(*C.EVENT_TYPES)),
-            F.concat(F.lit("event_type fuera del contrato: "), shown(kind_node)),
-        ),
+        (F.col("keys").isNull() & keys_of("doc", "$").isNull(), NOT_OBJECT_MESSAGE),
+        (F.col("keys").isNull(), NO_EVENT),
+        (kind.isNull(), NO_TYPE),
+        (~kind.isin(*C.EVENT_TYPES), F.concat(F.lit("event_type fuera del contrato: "), shown(kind_node))),
         (F.size(missing) > 0, F.concat(F.lit("Faltan campos de A: "), quoted_list(missing))),
     ]
     for field in NON_EMPTY_INPUT:
-        value = node("doc", f"$.event.{field}")
-        empty = ~is_text(value) | (F.length(get("doc", f"$.event.{field}")) == 0)
-        checks.append((empty, f"{field} debe ser una cadena no vacía"))
+        bad = F.coalesce(F.length(f"e.{field}") == 0, F.lit(True)) | ~is_text(node("doc", f"$.event.{field}"))
+        checks.append((bad, f"{field} debe ser una cadena no vacía"))
     checks += [
         (
-            F.coalesce(~(is_text(hint) & get("doc", "$.source_hint").isin(*C.SOURCES)), F.lit(True)),
-            F.concat(F.lit("source_hint fuera del contrato: "), shown(hint)),
+            ~F.coalesce(get("doc", "$.source_hint").isin(*C.SOURCES), F.lit(False)),
+            F.concat(F.lit("source_hint fuera del contrato: "), shown(node("doc", "$.source_hint"))),
         ),
-        (payload_keys.isNull(), BAD_PAYLOAD),
+        (F.col("payload_keys").isNull(), BAD_PAYLOAD),
         (
             F.size(payload_missing) > 0,
             F.concat(F.lit("Payload de "), kind, F.lit(" incompleto: faltan "), quoted_list(payload_missing)),
         ),
     ]
-    items_reason = F.when(kind == "PURCHASE", purchase_items_reason("doc", "$.event.payload.items"))
-    return fence(df, error_reason=F.coalesce(first_failure(checks), items_reason))
+    items_reason = F.when(kind == "PURCHASE", purchase_items_reason(F.col("e.payload"), "$.items"))
+    return fence(df, error_reason=F.coalesce(first_failure(checks), items_reason)).drop("keys", "payload_keys")
 
 
 def _required_payload(kind: Column) -> Column:
@@ -218,7 +222,9 @@ def enrich_envelope(valid: DataFrame, *, event_id: Column | None = None, ingesti
 def validate_event(lines: DataFrame) -> DataFrame:
     """Strict check: exactly the 13 fields, enums, constant, texts, zoned timestamps."""
     df = lines if "doc" in lines.columns else parse_json(lines)
-    keys = keys_of("doc", "$")
+    df = with_fields(df, "f", "$", C.EVENT_FIELDS)
+    df = fence(df, keys=keys_of("doc", "$"))
+    keys = F.col("keys")
     wanted = F.array(*[F.lit(f) for f in C.EVENT_FIELDS])
     missing, extra = F.array_except(wanted, keys), F.array_except(keys, wanted)
     checks = [
@@ -227,37 +233,31 @@ def validate_event(lines: DataFrame) -> DataFrame:
         (F.size(extra) > 0, F.concat(F.lit("El evento trae campos fuera del contrato: "), quoted_list(extra))),
     ]
     for field, allowed in C.ENUM_FIELDS.items():
-        v = node("doc", f"$.{field}")
-        checks.append(
-            (
-                ~(is_text(v) & F.coalesce(get("doc", f"$.{field}").isin(*allowed), F.lit(False))),
-                F.concat(F.lit(f"{field} fuera del contrato: "), shown(v)),
-            )
-        )
+        bad = ~F.coalesce(F.col(f"f.{field}").isin(*allowed), F.lit(False))
+        checks.append((bad, F.concat(F.lit(f"{field} fuera del contrato: "), shown(node("doc", f"$.{field}")))))
     version = node("doc", "$.schema_version")
     checks.append(
         (
-            ~(is_text(version) & F.coalesce(get("doc", "$.schema_version") == C.SCHEMA_VERSION, F.lit(False))),
+            ~(F.coalesce(F.col("f.schema_version") == C.SCHEMA_VERSION, F.lit(False)) & is_text(version)),
             F.concat(F.lit(f"schema_version debe ser '{C.SCHEMA_VERSION}', no "), shown(version)),
         )
     )
     for field in NON_EMPTY_EVENT:
-        v = node("doc", f"$.{field}")
+        bad = F.coalesce(F.length(f"f.{field}") == 0, F.lit(True)) | ~is_text(node("doc", f"$.{field}"))
+        checks.append((bad, f"{field} debe ser una cadena no vacía"))
+    for field in C.TIMESTAMP_FIELDS:
+        text, v = F.col(f"f.{field}"), node("doc", f"$.{field}")
+        # A value that reads as a zoned instant can only be a text.
         checks.append(
             (
-                ~is_text(v) | (F.length(get("doc", f"$.{field}")) == 0),
-                f"{field} debe ser una cadena no vacía",
+                parse_instant(text).isNull() | ~has_zone(text),
+                F.when(~is_text(v), f"{field} debe ser una cadena ISO-8601")
+                .when(parse_instant(text).isNull(), F.concat(F.lit(f"{field} no es ISO-8601: "), shown(v)))
+                .otherwise(F.concat(F.lit(f"{field} debe traer zona horaria: "), shown(v))),
             )
         )
-    for field in C.TIMESTAMP_FIELDS:
-        v, text = node("doc", f"$.{field}"), get("doc", f"$.{field}")
-        checks += [
-            (~is_text(v), f"{field} debe ser una cadena ISO-8601"),
-            (parse_instant(text).isNull(), F.concat(F.lit(f"{field} no es ISO-8601: "), shown(v))),
-            (~has_zone(text), F.concat(F.lit(f"{field} debe traer zona horaria: "), shown(v))),
-        ]
-    checks.append((keys_of("doc", "$.payload").isNull(), BAD_PAYLOAD))
-    return fence(df, error_reason=first_failure(checks))
+    checks.append((keys_of(F.col("f.payload"), "$").isNull(), BAD_PAYLOAD))
+    return fence(df, error_reason=first_failure(checks)).drop("keys")
 
 
 def validate_raw_event(lines: DataFrame) -> DataFrame:
@@ -267,28 +267,23 @@ def validate_raw_event(lines: DataFrame) -> DataFrame:
     later steps, so they are rejected here too.
     """
     df = lines if "doc" in lines.columns else parse_json(lines)
-    checks = [
-        (F.col("doc").isNull(), BAD_JSON),
-        (keys_of("doc", "$").isNull(), NOT_OBJECT_EVENT),
-    ]
+    df = with_fields(df, "f", "$", C.EVENT_FIELDS)
+    checks = [(F.col("doc").isNull(), BAD_JSON), (F.col("f").isNull(), NOT_OBJECT_EVENT)]
     for field in C.EVENT_FIELDS:
-        checks.append((is_absent(node("doc", f"$.{field}")), f"Campo requerido ausente o nulo: {field}"))
-    version, kind, source = (node("doc", f"$.{f}") for f in ("schema_version", "event_type", "source"))
-    bare = lambda v: F.try_variant_get(v, "$", "string")
+        v = F.col(f"f.{field}")
+        absent = is_absent(v) if field == "payload" else v.isNull()
+        checks.append((absent, f"Campo requerido ausente o nulo: {field}"))
+    version, kind, source, at = (F.col(f"f.{n}") for n in ("schema_version", "event_type", "source", "event_timestamp"))
+    # No number or boolean reads like an enum name, so only the version needs its type.
     checks += [
         (
-            ~(is_text(version) & (bare(version) == C.SCHEMA_VERSION)),
-            F.concat(F.lit("Versión de esquema no soportada: "), bare(version)),
+            ~((version == C.SCHEMA_VERSION) & is_text(node("doc", "$.schema_version"))),
+            F.concat(F.lit("Versión de esquema no soportada: "), version),
         ),
-        (~(is_text(kind) & bare(kind).isin(*C.EVENT_TYPES)), F.concat(F.lit("event_type inválido: "), bare(kind))),
-        (~(is_text(source) & bare(source).isin(*C.SOURCES)), F.concat(F.lit("source inválido: "), bare(source))),
-        (
-            parse_instant(get("doc", "$.event_timestamp")).isNull(),
-            F.concat(
-                F.lit("event_timestamp no es un ISO 8601 válido: "), get("doc", "$.event_timestamp")
-            ),
-        ),
-        (keys_of("doc", "$.payload").isNull(), BAD_PAYLOAD),
+        (~kind.isin(*C.EVENT_TYPES), F.concat(F.lit("event_type inválido: "), kind)),
+        (~source.isin(*C.SOURCES), F.concat(F.lit("source inválido: "), source)),
+        (parse_instant(at).isNull(), F.concat(F.lit("event_timestamp no es un ISO 8601 válido: "), at)),
+        (keys_of(F.col("f.payload"), "$").isNull(), BAD_PAYLOAD),
         (~is_text(node("doc", "$.city")), "city debe ser una cadena no vacía"),
         (~is_text(node("doc", "$.region")), "region debe ser una cadena no vacía"),
     ]
@@ -308,14 +303,12 @@ def check_routing(envelopes: DataFrame, channel: Column | str) -> DataFrame:
 
 def typed_events(valid: DataFrame) -> DataFrame:
     """Valid published events with typed columns: parse once, store typed."""
-    texts = [f for f in C.EVENT_FIELDS if f not in C.TIMESTAMP_FIELDS + ("payload",)]
-    return valid.select(
+    df = with_fields(valid, "f", "$", C.EVENT_FIELDS)
+    return df.select(
         "arrival",
-        *[get("doc", f"$.{f}").alias(f) for f in texts],
-        get("doc", "$.event_timestamp").alias("event_timestamp"),
-        get("doc", "$.ingestion_timestamp").alias("ingestion_timestamp"),
-        F.try_variant_get("doc", "$.payload", C.PAYLOAD_DDL).alias("payload"),
-        *[F.col(c) for c in ("value",) if c in valid.columns],
+        *[F.col(f"f.{n}").alias(n) for n in C.EVENT_FIELDS if n != "payload"],
+        F.try_variant_get("f.payload", "$", C.PAYLOAD_DDL).alias("payload"),
+        *[F.col(c) for c in ("value", "kafka_topic", "kafka_partition", "kafka_offset") if c in valid.columns],
     )
 
 

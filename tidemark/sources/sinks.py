@@ -31,6 +31,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def by_folder(*columns: str):
+    """Gather the rows of a folder before a partitioned write, splitting large folders.
+
+    Without it every task writes a file into every folder.  REBALANCE lets AQE merge
+    small folders and split a hot one, so neither tiny files nor one huge task result.
+    """
+    return lambda df: df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 # --- event store ----------------------------------------------------------------
 
 
@@ -73,13 +82,13 @@ def write_event_store(
         (
             fresh.drop("bucket", "value")
             .withColumn("event_date", F.col(date_col).cast("date"))
+            .transform(by_folder("scenario", "event_date"))
             .write.mode("overwrite")
             .partitionBy("scenario", "event_date")
             .parquet(batch_path(root, "events", batch_id))
         )
-        fresh.select("event_id", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-            batch_path(root, "event_ids", batch_id)
-        )
+        ids = fresh.select("event_id", "bucket").transform(by_folder("bucket"))
+        ids.write.mode("overwrite").partitionBy("bucket").parquet(batch_path(root, "event_ids", batch_id))
         counters = store_counters(tagged)
         counters.write.mode("overwrite").parquet(batch_path(root, "counters", batch_id))
     finally:
@@ -154,6 +163,7 @@ def audience_defaults(df: DataFrame) -> DataFrame:
 
 def write_audiences(df: DataFrame, root: str, batch_id: int = 0) -> None:
     rows = audience_defaults(df).withColumn("created_at", F.current_timestamp())
+    rows = rows.transform(by_folder("audience_type"))
     rows.write.mode("overwrite").partitionBy("audience_type").parquet(batch_path(root, "audiences", batch_id))
 
 
@@ -206,7 +216,8 @@ def write_by_source(envelopes: DataFrame, path: str) -> None:
     envelopes: value (the line) and source_hint.
     """
     envelopes.select("value").write.mode("overwrite").text(f"{path}/all")
-    envelopes.select("value", "source_hint").write.mode("overwrite").partitionBy("source_hint").text(f"{path}/by_source")
+    split = envelopes.select("value", "source_hint").transform(by_folder("source_hint"))
+    split.write.mode("overwrite").partitionBy("source_hint").text(f"{path}/by_source")
 
 
 ALERT_EXPORT = {
