@@ -566,10 +566,11 @@ HEALTH = f"""one AS (SELECT (SELECT count(*) FROM ev) AS raw, (SELECT sum(public
     (SELECT count(*) FROM cls) AS auds, (SELECT count(*) FROM feed) AS als),
 o AS (SELECT *, mets + auds + als AS outp, greatest(pub, raw) AS produced, greatest(sent, raw) AS delivered FROM one)"""
 add("pipeline_health", f"""WITH {FEED_CORE}, {audience_sql()}, cls AS ({all_rules()}), {RUNS}, {HEALTH}
-SELECT 'simuladores' AS stage, CAST(produced + rej AS BIGINT) AS messages_processed, CAST(rej AS BIGINT) AS errors, 'OPERATIVO' AS status FROM o
+SELECT stage, CAST(messages_processed AS BIGINT) AS messages_processed, CAST(errors AS BIGINT) AS errors, status FROM (
+SELECT 'simuladores' AS stage, produced + rej AS messages_processed, rej AS errors, 'OPERATIVO' AS status FROM o
 UNION ALL SELECT 'productores', delivered, fail, 'OPERATIVO' FROM o UNION ALL SELECT 'kafka', greatest(raw, delivered), fail, 'OPERATIVO' FROM o
 UNION ALL SELECT 'flink', greatest(raw, outp), 0, 'OPERATIVO' FROM o UNION ALL SELECT 'backend', outp, 0, 'OPERATIVO' FROM o
-UNION ALL SELECT 'transporte', outp, 0, 'OPERATIVO' FROM o UNION ALL SELECT 'dashboard', outp, 0, 'OPERATIVO' FROM o""")
+UNION ALL SELECT 'transporte', outp, 0, 'OPERATIVO' FROM o UNION ALL SELECT 'dashboard', outp, 0, 'OPERATIVO' FROM o)""")
 add("dashboard_snapshot", f"""WITH {FEED_CORE}, b AS (SELECT 12 * least(12, count(DISTINCT date_trunc('hour', event_ts))) AS cells FROM (SELECT * FROM ev WHERE scenario = 'BASE' ORDER BY event_ts DESC LIMIT 8000))
 SELECT 'kpis' AS part, CAST(7 AS BIGINT) AS rows UNION ALL SELECT 'sparklines', 4 * least(24, count(DISTINCT w)) FROM ev
 UNION ALL SELECT 'events_by_type', count(DISTINCT event_type) FROM ev UNION ALL SELECT 'event_type_intervals', cells FROM b

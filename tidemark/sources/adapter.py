@@ -25,135 +25,112 @@ def contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_events(table(spark, sf_dir, "events"))
 
 
-def map_events(raw: DataFrame) -> DataFrame:
-    """Rows of the `events` test table as enriched contract events."""
-    eid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
-    event_type = (
-        F.when(kind == "view", F.when(eid % 10 == 9, "MOTION_DETECTED").otherwise("VIEW_PRODUCT"))
-        .when(kind == "purchase", "PURCHASE")
-        .when(kind == "error", "PAYMENT_FAILED")
-        .when(kind == "click", F.when(eid % 4 == 3, "REMOVE_FROM_CART").otherwise("ADD_TO_CART"))
-        .otherwise(
-            pick(
-                ("SEARCH", "LOGIN", "SEARCH", "PAGE_VIEW", "SEARCH", "GPS_UPDATE", "SOCIAL_POST", "IOT_READING"),
-                eid % 8,
-            )
-        )
-    )
-    amount = F.col("value").cast("decimal(18,2)")
-    base = raw.select(
-        eid.alias("arrival"),
-        F.concat(F.lit("evt_"), eid.cast("string")).alias("event_id"),
-        event_type.alias("event_type"),
-        F.col("ts").alias("event_ts"),
-        F.timestamp_add("MILLISECOND", (eid % 50 - 2) * 1500, F.col("ts")).alias("ingestion_ts"),
-        F.greatest(F.lit(0), (eid % 50 - 2) * 1500).cast("bigint").alias("latency_ms"),
-        F.concat(F.lit("USR"), F.col("user_id").cast("string")).alias("user_id"),
-        F.concat(F.lit("SES_"), F.col("user_id").cast("string"), F.lit("_"), F.col("ts").cast("date").cast("string")).alias("session_id"),
-        pick(C.AGENT_PROFILES, F.col("user_id")).alias("agent_profile"),
-        pick(C.SOURCES, eid).alias("source"),
-        F.concat(F.lit("Ciudad "), (F.col("user_id") % 12).cast("string")).alias("city"),
-        pick(REGION_KEYS, F.col("user_id")).alias("region"),
-        pick(C.SCENARIOS, eid).alias("scenario"),
-        k.alias("k"),
-        amount.alias("amount"),
-        eid.alias("n"),
-        F.col("user_id").cast("string").alias("u"),
-    )
-    return base.select(
-        "arrival",
-        "event_id",
-        F.lit(C.SCHEMA_VERSION).alias("schema_version"),
-        "event_type",
-        "event_ts",
-        "ingestion_ts",
-        "latency_ms",
-        "user_id",
-        "session_id",
-        "agent_profile",
-        "source",
-        "city",
-        "region",
-        "scenario",
-        _payload().alias("payload"),
-    )
-
+def at(values, index: str) -> str:
+    """SQL text: values[index mod n] of a fixed list."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({items}), cast(pmod({index}, {len(values)}) + 1 as int))"
+
+
+SIGNUP_TYPES = ("SEARCH", "LOGIN", "SEARCH", "PAGE_VIEW", "SEARCH", "GPS_UPDATE", "SOCIAL_POST", "IOT_READING")
+
+# Contract columns as expressions over the `events` test table.
+EVENT_EXPRESSIONS = {
+    "event_type": f"""CASE event_type
+        WHEN 'view' THEN if(event_id % 10 = 9, 'MOTION_DETECTED', 'VIEW_PRODUCT')
+        WHEN 'purchase' THEN 'PURCHASE'
+        WHEN 'error' THEN 'PAYMENT_FAILED'
+        WHEN 'click' THEN if(event_id % 4 = 3, 'REMOVE_FROM_CART', 'ADD_TO_CART')
+        ELSE {at(SIGNUP_TYPES, "event_id % 8")} END""",
+    "arrival": "event_id",
+    "event_id": "concat('evt_', cast(event_id as string))",
+    "schema_version": f"'{C.SCHEMA_VERSION}'",
+    "event_ts": "ts",
+    "ingestion_ts": "timestampadd(MILLISECOND, (event_id % 50 - 2) * 1500, ts)",
+    "latency_ms": "cast(greatest(0, (event_id % 50 - 2) * 1500) as bigint)",
+    "user_id": "concat('USR', cast(user_id as string))",
+    "session_id": "concat('SES_', cast(user_id as string), '_', cast(cast(ts as date) as string))",
+    "agent_profile": at(C.AGENT_PROFILES, "user_id"),
+    "source": at(C.SOURCES, "event_id"),
+    "city": "concat('Ciudad ', cast(user_id % 12 as string))",
+    "region": at(REGION_KEYS, "user_id"),
+    "scenario": at(C.SCENARIOS, "event_id"),
+    "n": "event_id",
+    "u": "cast(user_id as string)",
+    "k": "cast(get_json_object(props, '$.k') as int)",
+    "amount": "cast(value as decimal(18,2))",
+}
+
+CART_EDITS = ("ADD_TO_CART", "REMOVE_FROM_CART")
+PAYMENTS = ("PURCHASE", "PAYMENT_FAILED")
+NAMED = ("VIEW_PRODUCT", "ADD_TO_CART")
+DEVICES = ("GPS_UPDATE", "IOT_READING", "MOTION_DETECTED")
+ITEM = "((k + i * 7) % 100)"
+
+# Payload field -> (types that have it, expression over the columns above).
+PAYLOAD_EXPRESSIONS = {
+    "product_id": (("VIEW_PRODUCT", *CART_EDITS, "SOCIAL_POST"), "concat('P', lpad(cast(k as string), 3, '0'))"),
+    "product_name": (NAMED, "concat('Producto ', cast(k as string), ' v', cast(n % 3 as string))"),
+    "category": (NAMED, at(CATEGORY_KEYS, "k")),
+    "price": (("VIEW_PRODUCT",), "cast(10 + k as decimal(18,2))"),
+    "dwell_time_ms": (("VIEW_PRODUCT", "PAGE_VIEW"), "n % 9000"),
+    "cart_id": ((*CART_EDITS, *PAYMENTS), "concat('C', u, '_', cast(cast(event_ts as date) as string))"),
+    "order_id": (PAYMENTS, "concat('ORD', cast(n as string))"),
+    "total_amount": (PAYMENTS, "amount"),
+    "unit_price": (("ADD_TO_CART",), "cast(10 + k as decimal(18,2))"),
+    "quantity": (CART_EDITS, "1 + n % 4"),
+    "cart_size_after": (CART_EDITS, "n % 6"),
+    "cart_value_after": (CART_EDITS, "cast(amount * 3 as decimal(18,2))"),
+    "items": (
+        ("PURCHASE",),
+        f"""transform(sequence(0, cast(n % 3 as int)), i -> named_struct(
+            'product_id', concat('P', lpad(cast({ITEM} as string), 3, '0')),
+            'product_name', concat('Producto ', cast({ITEM} as string)),
+            'category', {at(CATEGORY_KEYS, ITEM)},
+            'unit_price', cast(10 + {ITEM} as decimal(18,2)),
+            'quantity', cast(1 + (n + i) % 4 as bigint),
+            'subtotal', cast((1 + (n + i) % 4) * (10 + {ITEM}) as decimal(18,2))))""",
+    ),
+    "items_count": (("PURCHASE",), "n % 3 + 1"),
+    "total_units": (("PURCHASE",), "n % 3 + 1"),
+    "currency": (("PURCHASE",), "'PEN'"),
+    "payment_method": (PAYMENTS, "'CREDIT_CARD'"),
+    "time_to_purchase_ms": (("PURCHASE",), "n % 100000"),
+    "failure_reason": (("PAYMENT_FAILED",), "'FONDOS_INSUFICIENTES'"),
+    "retry_count": (("PAYMENT_FAILED",), "1 + n % 3"),
+    "query": (("SEARCH",), "concat('q', cast(k as string))"),
+    "results_count": (("SEARCH",), "n % 50"),
+    "category_filter": (("SEARCH",), at(CATEGORY_KEYS, "k")),
+    "device": (("LOGIN",), "'WEB_DESKTOP'"),
+    "is_first_login": (("LOGIN",), "n % 16 = 1"),
+    "page_type": (("PAGE_VIEW",), "'OFFERS'"),
+    "page_url": (("PAGE_VIEW",), "concat('/ofertas/', cast(k as string))"),
+    "device_id": (DEVICES, "concat('DEV', cast(k as string))"),
+    "latitude": (("GPS_UPDATE",), "cast(k - 50 as double) / 2"),
+    "longitude": (("GPS_UPDATE",), "cast(k - 50 as double)"),
+    "speed_kmh": (("GPS_UPDATE",), "cast(k as double) / 4"),
+    "sensor_type": (("IOT_READING",), "'TEMP'"),
+    "value": (("IOT_READING",), "cast(k as double) / 8"),
+    "unit": (("IOT_READING",), "'C'"),
+    "zone": (("MOTION_DETECTED",), "concat('Z', cast(k % 7 as string))"),
+    "confidence": (("MOTION_DETECTED",), "cast(k % 5 as double) / 4"),
+    "platform": (("SOCIAL_POST",), "'RED'"),
+    "post_type": (("SOCIAL_POST",), "'REVIEW'"),
+    "sentiment": (("SOCIAL_POST",), at(("POSITIVO", "NEUTRO", "NEGATIVO"), "n")),
+}
 
-def _payload():
-    """The typed superset payload, each field set only for the types that have it."""
-    kind, n, k = F.col("event_type"), F.col("n"), F.col("k")
-    product_types = ("VIEW_PRODUCT", "ADD_TO_CART", "REMOVE_FROM_CART", "SOCIAL_POST")
-    cart_types = ("ADD_TO_CART", "REMOVE_FROM_CART", "PURCHASE", "PAYMENT_FAILED")
 
-    def only(types, col):
-        return F.when(kind.isin(*types), col)
+def map_events(raw: DataFrame) -> DataFrame:
+    """Rows of the `events` test table as enriched contract events.
 
-    item = lambda i: F.struct(
-        _product_id((k + i * 7) % 100).alias("product_id"),
-        F.concat(F.lit("Producto "), ((k + i * 7) % 100).cast("string")).alias("product_name"),
-        pick(CATEGORY_KEYS, (k + i * 7) % 100).alias("category"),
-        (10 + (k + i * 7) % 100).cast("decimal(18,2)").alias("unit_price"),
-        (1 + (n + i) % 4).cast("bigint").alias("quantity"),
-        ((1 + (n + i) % 4) * (10 + (k + i * 7) % 100)).cast("decimal(18,2)").alias("subtotal"),
+    SQL text rather than column calls: the 50 expressions cost one parse each.
+    """
+    base = raw.selectExpr(*[f"{sql} AS {name}" for name, sql in EVENT_EXPRESSIONS.items()])
+    fields = ", ".join(
+        f"'{name}', CASE WHEN event_type IN ({', '.join(repr(t) for t in types)}) THEN {sql} END"
+        for name, (types, sql) in PAYLOAD_EXPRESSIONS.items()
     )
-    items = F.transform(F.sequence(F.lit(0), (n % 3).cast("int")), item)
-    fields = {
-        "product_id": only(product_types, _product_id(k)),
-        "product_name": only(
-            ("VIEW_PRODUCT", "ADD_TO_CART"),
-            F.concat(F.lit("Producto "), k.cast("string"), F.lit(" v"), (n % 3).cast("string")),
-        ),
-        "category": only(("VIEW_PRODUCT", "ADD_TO_CART"), pick(CATEGORY_KEYS, k)),
-        "price": only(("VIEW_PRODUCT",), (10 + k).cast("decimal(18,2)")),
-        "dwell_time_ms": only(("VIEW_PRODUCT", "PAGE_VIEW"), n % 9000),
-        "cart_id": only(
-            cart_types, F.concat(F.lit("C"), F.col("u"), F.lit("_"), F.col("event_ts").cast("date").cast("string"))
-        ),
-        "order_id": only(("PURCHASE", "PAYMENT_FAILED"), F.concat(F.lit("ORD"), n.cast("string"))),
-        "total_amount": only(("PURCHASE", "PAYMENT_FAILED"), F.col("amount")),
-        "unit_price": only(("ADD_TO_CART",), (10 + k).cast("decimal(18,2)")),
-        "quantity": only(("ADD_TO_CART", "REMOVE_FROM_CART"), 1 + n % 4),
-        "cart_size_after": only(("ADD_TO_CART", "REMOVE_FROM_CART"), n % 6),
-        "cart_value_after": only(
-            ("ADD_TO_CART", "REMOVE_FROM_CART"), (F.col("amount") * 3).cast("decimal(18,2)")
-        ),
-        "items": only(("PURCHASE",), items),
-        "items_count": only(("PURCHASE",), n % 3 + 1),
-        "total_units": only(("PURCHASE",), n % 3 + 1),
-        "currency": only(("PURCHASE",), F.lit("PEN")),
-        "payment_method": only(("PURCHASE", "PAYMENT_FAILED"), F.lit("CREDIT_CARD")),
-        "time_to_purchase_ms": only(("PURCHASE",), n % 100000),
-        "failure_reason": only(("PAYMENT_FAILED",), F.lit("FONDOS_INSUFICIENTES")),
-        "retry_count": only(("PAYMENT_FAILED",), 1 + n % 3),
-        "query": only(("SEARCH",), F.concat(F.lit("q"), k.cast("string"))),
-        "results_count": only(("SEARCH",), n % 50),
-        "category_filter": only(("SEARCH",), pick(CATEGORY_KEYS, k)),
-        "device": only(("LOGIN",), F.lit("WEB_DESKTOP")),
-        "is_first_login": only(("LOGIN",), n % 16 == 1),
-        "page_type": only(("PAGE_VIEW",), F.lit("OFFERS")),
-        "page_url": only(("PAGE_VIEW",), F.concat(F.lit("/ofertas/"), k.cast("string"))),
-        "device_id": only(
-            ("GPS_UPDATE", "IOT_READING", "MOTION_DETECTED"), F.concat(F.lit("DEV"), k.cast("string"))
-        ),
-        "latitude": only(("GPS_UPDATE",), (k - 50).cast("double") / 2),
-        "longitude": only(("GPS_UPDATE",), (k - 50).cast("double")),
-        "speed_kmh": only(("GPS_UPDATE",), k.cast("double") / 4),
-        "sensor_type": only(("IOT_READING",), F.lit("TEMP")),
-        "value": only(("IOT_READING",), k.cast("double") / 8),
-        "unit": only(("IOT_READING",), F.lit("C")),
-        "zone": only(("MOTION_DETECTED",), F.concat(F.lit("Z"), (k % 7).cast("string"))),
-        "confidence": only(("MOTION_DETECTED",), (k % 5).cast("double") / 4),
-        "platform": only(("SOCIAL_POST",), F.lit("RED")),
-        "post_type": only(("SOCIAL_POST",), F.lit("REVIEW")),
-        "sentiment": only(("SOCIAL_POST",), pick(("POSITIVO", "NEUTRO", "NEGATIVO"), n)),
-    }
-    return F.struct(*[col.alias(name) for name, col in fields.items()])
-
-
-def _product_id(k):
-    return F.concat(F.lit("P"), F.lpad(k.cast("string"), 3, "0"))
+    keep = [n for n in EVENT_EXPRESSIONS if n not in ("n", "u", "k", "amount")]
+    return base.selectExpr(*keep, f"named_struct({fields}) AS payload")
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:

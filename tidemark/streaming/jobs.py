@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.contract import AlertLimits, AudienceLimits, Windows
-from tidemark.functions.expr import micros, to_utc_ntz
+from tidemark.functions.expr import micros, seconds_of, to_utc_ntz
 from tidemark.operators import alerts as al
 from tidemark.operators import audiences as au
 from tidemark.operators import metrics as m
@@ -101,14 +101,18 @@ def _trends(timed: DataFrame, w: Windows) -> DataFrame:
         F.count_if(bought).alias("p"),
         F.sum(F.when(bought, F.col("payload.total_amount"))).alias("a"),
     )
-    # The inner window's own bounds are the group; window_time carries the watermark.
-    out = per_user.groupBy("window", F.window(F.window_time("window"), w.trends_slide).alias("pane")).agg(
+    # Window ends are multiples of the slide, so one slide-long pane holds one window.
+    if seconds_of(w.trends) % seconds_of(w.trends_slide):
+        raise ValueError("the slide must divide the window length")
+    out = per_user.groupBy(F.window(F.window_time("window"), w.trends_slide).alias("pane")).agg(
         F.sum("n").alias("events_count"),
         F.count("user_id").alias("active_users"),
         F.sum("p").alias("purchases_count"),
         F.round(F.coalesce(F.sum("a"), F.lit(0)).cast("double"), 2).alias("total_revenue"),
     )
-    return m.flatten_window(out.drop("pane"))
+    end = F.col("pane.end")
+    rest = [c for c in out.columns if c != "pane"]
+    return out.select((end - F.expr(f"INTERVAL {w.trends}")).alias("window_start"), end.alias("window_end"), *rest)
 
 
 def _products(timed: DataFrame, w: Windows, *, viewed: bool) -> DataFrame:
