@@ -50,6 +50,7 @@ def tag_first(
 
     The first position comes from a partial aggregate; only keys that do repeat are
     joined back, spread over `salts`, so a key with a third of all rows is split.
+    `order` is the row's position and must be unique.
     """
     repeated = (
         df.groupBy(key)

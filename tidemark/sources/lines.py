@@ -26,11 +26,14 @@ def read_event_lines(spark: SparkSession, path: str, limit: int | None = None) -
 
 
 def read_line_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Streaming form of read_event_lines over a folder that receives files."""
+    """Streaming form of read_event_lines over a folder that receives files.
+
+    A stream has no row numbers; each micro-batch numbers its own rows (ingest_batch).
+    """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path).filter(F.trim("value") != "").withColumn("arrival", F.monotonically_increasing_id())
+    return reader.text(path).filter(F.trim("value") != "")
 
 
 def read_event_stream(

@@ -57,6 +57,8 @@ def for_each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], c
 
 def ingest_batch(lines: DataFrame, batch_id: int, root: str) -> None:
     """Validate one micro-batch, store its new events, write the rejects."""
+    if "arrival" not in lines.columns:
+        lines = lines.withColumn("arrival", F.monotonically_increasing_id())
     checked = validate_raw_event(lines).persist()
     try:
         good = enrich_latency(typed_events(checked.filter(F.col("error_reason").isNull())))
@@ -165,14 +167,23 @@ HISTORY_SCHEMA = (
 
 
 def _keep_last(rows: int):
-    """State function: the user's last `rows` events; emits them when the user is active."""
+    """State function: the user's last `rows` events; emits them when the user is active.
+
+    Batches follow each other, and arrival orders the rows of one batch; the emitted
+    arrival is the place in the buffer, so positions may restart with every batch.
+    """
+    place = HISTORY_FIELDS.index("arrival")
 
     def step(key, batches, state):
         kept = json.loads(state.get[0]) if state.exists else []
+        fresh = []
         for pdf in batches:
-            fresh = pdf[list(HISTORY_FIELDS)].astype(object)
-            kept += fresh.where(fresh.notna(), None).values.tolist()
-            kept = sorted(kept, key=lambda r: r[2])[-rows:]
+            part = pdf[list(HISTORY_FIELDS)].astype(object)
+            fresh += part.where(part.notna(), None).values.tolist()
+            fresh = sorted(fresh, key=lambda r: r[place])[-rows:]
+        kept = (kept + fresh)[-rows:]
+        for i, row in enumerate(kept):
+            row[place] = i
         state.update((json.dumps(kept),))
         out = pd.DataFrame(kept, columns=list(HISTORY_FIELDS))
         out.insert(0, "user_id", key[0])
