@@ -51,9 +51,18 @@ HOUR = "1 hour"
 
 
 def ev(spark, sf) -> DataFrame:
+    return ad.contract_events(spark, sf, ad.CORE_FIELDS)
+
+
+def whole(spark, sf) -> DataFrame:
+    """Events with every payload field, as the text forms need."""
     return ad.contract_events(spark, sf)
 
 
+def bought(spark, sf) -> DataFrame:
+    return m.purchased_items(ad.contract_events(spark, sf, ("order_id", "items")))
+
+
 def no_window(df: DataFrame) -> DataFrame:
     return df.drop("window_end")
 
@@ -63,7 +72,7 @@ def no_window(df: DataFrame) -> DataFrame:
 
 def read_event_lines(spark, sf):
     path = work_dir(spark, "lines")
-    ad.event_lines(ev(spark, sf)).select("value").write.text(path)
+    ad.event_lines(whole(spark, sf)).select("value").write.text(path)
     lines = va.parse_json(ln.read_event_lines(spark, path))
     return lines.select(
         F.when(F.col("doc").isNull(), "texto").when(va.keys_of("doc", "$").isNull(), "otro").otherwise("objeto").alias("form")
@@ -87,7 +96,7 @@ def read_event_stream(spark, sf):
 
 
 def parse_envelope(spark, sf):
-    return va.parse_envelope(ad.envelope_lines(ev(spark, sf))).select(
+    return va.parse_envelope(ad.envelope_lines(whole(spark, sf))).select(
         "arrival", "source_hint", "error_reason", F.substring("original", 1, 5).alias("original_start")
     )
 
@@ -206,7 +215,7 @@ def write_runs(spark, sf):
 
 def write_by_source(spark, sf):
     path = work_dir(spark, "by_source")
-    parsed = va.parse_envelope(ad.envelope_lines(ev(spark, sf))).filter(F.col("error_reason").isNull())
+    parsed = va.parse_envelope(ad.envelope_lines(whole(spark, sf))).filter(F.col("error_reason").isNull())
     sinks.write_by_source(parsed.select("value", "source_hint"), path)
     split = spark.read.text(f"{path}/by_source").groupBy(F.col("source_hint").alias("channel")).agg(F.count(F.lit(1)).alias("lines"))
     whole = spark.read.text(f"{path}/all").agg(F.lit("TODOS").alias("channel"), F.count(F.lit(1)).alias("lines"))
@@ -250,7 +259,7 @@ def write_benchmark_csv(spark, sf):
 
 
 def checked_lines(spark, sf):
-    return va.validate_raw_event(ad.event_lines(ev(spark, sf)))
+    return va.validate_raw_event(ad.event_lines(whole(spark, sf)))
 
 
 def valid_lines(spark, sf):
@@ -258,15 +267,15 @@ def valid_lines(spark, sf):
 
 
 def validate_envelope(spark, sf):
-    return va.validate_envelope(ad.envelope_lines(ev(spark, sf))).select("arrival", "error_reason")
+    return va.validate_envelope(ad.envelope_lines(whole(spark, sf))).select("arrival", "error_reason")
 
 
 def validate_purchase_items(spark, sf):
-    return va.validate_purchase_items(ad.envelope_lines(ev(spark, sf))).select("arrival", "error_reason")
+    return va.validate_purchase_items(ad.envelope_lines(whole(spark, sf))).select("arrival", "error_reason")
 
 
 def enrich_envelope(spark, sf):
-    valid = va.validate_envelope(ad.envelope_lines(ev(spark, sf))).filter(F.col("error_reason").isNull())
+    valid = va.validate_envelope(ad.envelope_lines(whole(spark, sf))).filter(F.col("error_reason").isNull())
     out = va.enrich_envelope(valid)
     return out.select(
         "arrival", F.length("event_id").cast("bigint").alias("id_chars"), F.substring("event_id", 1, 4).alias("id_prefix"), "schema_version",
@@ -277,7 +286,7 @@ def enrich_envelope(spark, sf):
 
 
 def validate_event(spark, sf):
-    return va.validate_event(ad.event_lines(ev(spark, sf))).select("arrival", "error_reason")
+    return va.validate_event(ad.event_lines(whole(spark, sf))).select("arrival", "error_reason")
 
 
 def validate_raw_event(spark, sf):
@@ -286,7 +295,7 @@ def validate_raw_event(spark, sf):
 
 def check_routing(spark, sf):
     """Every message arrives on the channel of the previous source in the list."""
-    parsed = va.parse_envelope(ad.envelope_lines(ev(spark, sf)))
+    parsed = va.parse_envelope(ad.envelope_lines(whole(spark, sf)))
     n = F.col("arrival")
     channel = ad.pick(C.SOURCES, F.when(n % 6 == 5, n + 1).otherwise(n))
     return va.check_routing(parsed.drop("error_reason"), channel).select("arrival", "error_reason")
@@ -299,7 +308,7 @@ def enrich_latency(spark, sf):
 
 
 def parse_event_time(spark, sf):
-    parsed = va.parse_json(ad.event_lines(ev(spark, sf))).withColumn("event_timestamp", va.get("doc", "$.event_timestamp"))
+    parsed = va.parse_json(ad.event_lines(whole(spark, sf))).withColumn("event_timestamp", va.get("doc", "$.event_timestamp"))
     return va.parse_event_time(parsed).select("arrival", "event_ts", "epoch_ms")
 
 
@@ -319,17 +328,17 @@ def dedup_stream(spark, sf):
 
 
 def dead_letters(spark, sf):
-    _, rejects = batch.ingest(ad.event_lines(ev(spark, sf)))
+    _, rejects = batch.ingest(ad.event_lines(whole(spark, sf)))
     return rejects.select("arrival", "error_reason", "event_id")
 
 
 def dead_letter_key(spark, sf):
-    checked = va.validate_envelope(ad.envelope_lines(ev(spark, sf)))
+    checked = va.validate_envelope(ad.envelope_lines(whole(spark, sf)))
     return va.dead_letters(checked, form="producer").select("arrival", "error_reason", "key")
 
 
 def route_events(spark, sf):
-    raw = va.parse_json(ad.event_lines(ev(spark, sf))).select("arrival", va.get("doc", "$.event_type").alias("event_type"))
+    raw = va.parse_json(ad.event_lines(whole(spark, sf))).select("arrival", va.get("doc", "$.event_type").alias("event_type"))
     return rt.route_events(raw).select("arrival", "topic", "error_reason")
 
 
@@ -351,7 +360,7 @@ def partition_totals(spark, sf):
 
 
 def validate_file_report(spark, sf):
-    return va.validate_file_report(ad.envelope_lines(ev(spark, sf)))
+    return va.validate_file_report(ad.envelope_lines(whole(spark, sf)))
 
 
 def summarize_events(spark, sf):
@@ -378,7 +387,7 @@ def events_by_type_document(spark, sf):
 
 
 def top_purchased_products(spark, sf):
-    return m.top_purchased_products(m.purchased_items(ev(spark, sf)), window=DAY)
+    return m.top_purchased_products(bought(spark, sf), window=DAY)
 
 
 def top_purchased_orders(spark, sf):
@@ -413,7 +422,7 @@ def metric_stream(name):
     def run(spark, sf):
         root = work_dir(spark, f"stream-{name}")
         raw = spark.readStream.schema(ad.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-        jobs.run_metric(ad.map_events(raw), name, root, f"{root}/cp", STREAM_WINDOWS).awaitTermination()
+        jobs.run_metric(ad.map_events(raw, (*ad.CORE_FIELDS, "items")), name, root, f"{root}/cp", STREAM_WINDOWS).awaitTermination()
         return spark.read.parquet(f"{root}/{name}").drop("batch_id")
 
     return run
@@ -459,7 +468,7 @@ def classify_as_of(spark, sf):
 def classify_stream(spark, sf):
     root = work_dir(spark, "audience-stream")
     raw = spark.readStream.schema(ad.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    jobs.classify_stream(ad.map_events(raw), root, f"{root}/cp", AUDIENCE).awaitTermination()
+    jobs.classify_stream(ad.map_events(raw, ad.CORE_FIELDS), root, f"{root}/cp", AUDIENCE).awaitTermination()
     return spark.read.parquet(f"{root}/audiences").select("user_id", "audience_type", "action", "confidence", "detected_at", "expires_at")
 
 
@@ -498,7 +507,7 @@ def detect_alerts_zero_fill(spark, sf):
 def alert_stream(spark, sf):
     root = work_dir(spark, "alert-stream")
     raw = spark.readStream.schema(ad.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    jobs.alert_stream(ad.map_events(raw), root, f"{root}/cp", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
+    jobs.alert_stream(ad.map_events(raw, ad.CORE_FIELDS), root, f"{root}/cp", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
     return spark.read.parquet(f"{root}/alerts").select("alert_type", "severity", "current_value", "threshold_value", "window_start")
 
 
@@ -557,11 +566,11 @@ def viewed_products(spark, sf):
 
 
 def purchased_products(spark, sf):
-    return m.purchased_products(m.purchased_items(ev(spark, sf)), window=None)
+    return m.purchased_products(bought(spark, sf), window=None)
 
 
 def product_table(spark, sf):
-    orders = sv.product_orders(m.purchased_items(ev(spark, sf)))
+    orders = sv.product_orders(bought(spark, sf))
     return sv.product_view_purchase_join(viewed_products(spark, sf), purchased_products(spark, sf), orders=orders)
 
 
@@ -600,7 +609,7 @@ def pipeline_health(spark, sf):
 def snapshot_parts(spark, sf):
     """Rows of every part of the assembled snapshot, for a scenario name that does not exist."""
     parts = dashboard_snapshot(
-        ev(spark, sf), metrics_table(spark, sf), classified(spark, sf), alerts_of(spark, sf), runs_table(spark, sf),
+        ad.contract_events(spark, sf, (*ad.CORE_FIELDS, "items")), metrics_table(spark, sf), classified(spark, sf), alerts_of(spark, sf), runs_table(spark, sf),
         "no-such-scenario", heatmap_unit="hour",
     )
     out = None

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import AlertLimits
 from tidemark.functions.expr import flatten_window, micros, ratio, seconds_of, window_keys
+from tidemark.sources.scratch import cut_lineage
 
 # type -> (id prefix, severity): fixed values of the alert contract.
 ALERTS = {
@@ -223,12 +224,18 @@ def detect_alerts(
     if zero_fill:
         facts = fill_windows(facts, window, by)
     if any(n.startswith("TRAFFIC") for n in names):
-        facts = eps_baseline(facts, alpha=limits.baseline_alpha, init=limits.baseline_init, by=by)
+        # The baseline reads the window rows twice; one small written table (a row per
+        # window) keeps that from being two scans of the events.
+        facts = eps_baseline(cut_lineage(facts, "window-facts"), **_levels(limits, by))
     else:
         facts = facts.withColumn("baseline", F.lit(None).cast("double"))
     return alert_rows(facts, limits, by=by, only=names)
 
 
+def _levels(limits: AlertLimits, by: Sequence[str]) -> dict:
+    return dict(alpha=limits.baseline_alpha, init=limits.baseline_init, by=by)
+
+
 def fill_windows(facts: DataFrame, window: str, by: Sequence[str]) -> DataFrame:
     """Add zero rows for missing windows between consecutive non-empty ones."""
     w = Window.partitionBy(*by).orderBy("window_start")

@@ -190,10 +190,8 @@ def trends(
     events and the hot user of a window is one row.
     """
     slide = slide if window else None
-    per_user = events.groupBy(*window_keys(events, ts, window, slide), *by, "user_id").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_if(_is("PURCHASE")).alias("purchases"),
-        F.sum(F.when(_is("PURCHASE"), F.col("payload.total_amount"))).alias("amount"),
+    per_user = sales_rows(events, ts, by).groupBy(*window_keys(events, ts, window, slide), *by, "user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("bought").alias("purchases"), F.sum("amount").alias("amount")
     )
     flat = flatten_window(per_user)
     group = [c for c in ("window_start", "window_end") if c in flat.columns] + list(by)
@@ -205,6 +203,14 @@ def trends(
     )
 
 
+def sales_rows(events: DataFrame, ts: str, by: Sequence[str] = ()) -> DataFrame:
+    """User, sale flag and amount: cut before a sliding window copies the row per window."""
+    sale = _is("PURCHASE")
+    return events.select(
+        ts, *by, "user_id", sale.cast("bigint").alias("bought"), F.when(sale, F.col("payload.total_amount")).alias("amount")
+    )
+
+
 def to_document(rows: DataFrame, keys: Sequence[str], body: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Fold bounded long rows (a top-k list, type counts) into one JSON array per key."""
     item = F.struct(*order, *[c for c in body if c not in order])

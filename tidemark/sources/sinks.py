@@ -62,8 +62,12 @@ def write_event_store(
     tagged = tag_first(events, "event_id", "arrival").withColumn("bucket", bucket)
     known = read_table(spark, event_ids(root))
     if known is not None:
-        old = known.filter(F.col("batch_id") < batch_id).select("bucket", "event_id").withColumn("known", F.lit(True))
-        tagged = tagged.join(old, ["bucket", "event_id"], "left")
+        old = known.filter(F.col("batch_id") < batch_id).select("bucket", F.col("event_id").alias("_key"), F.lit(True).alias("known"))
+        # Only first copies are looked up; further copies get keys of their own, so an id
+        # with very many copies does not meet in one task.
+        own = F.concat_ws("#", "event_id", F.col("arrival").cast("string"))
+        keyed = tagged.withColumn("_key", F.when(F.col("is_first"), F.col("event_id")).otherwise(own))
+        tagged = keyed.join(old, ["bucket", "_key"], "left").drop("_key")
     else:
         tagged = tagged.withColumn("known", F.lit(None).cast("boolean"))
     tagged = tagged.withColumn("stored", F.col("is_first") & F.col("known").isNull()).drop("is_first", "known")

@@ -97,11 +97,8 @@ def metric_stream(events: DataFrame, name: str, windows: Windows = Windows()) ->
 
 
 def _trends(timed: DataFrame, w: Windows) -> DataFrame:
-    bought = F.col("event_type") == "PURCHASE"
-    per_user = timed.groupBy(F.window("event_ts", w.trends, w.trends_slide), "user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(bought).alias("p"),
-        F.sum(F.when(bought, F.col("payload.total_amount"))).alias("a"),
+    per_user = m.sales_rows(timed, "event_ts").groupBy(F.window("event_ts", w.trends, w.trends_slide), "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bought").alias("p"), F.sum("amount").alias("a")
     )
     # Window ends are multiples of the slide, so one slide-long pane holds one window.
     if seconds_of(w.trends) % seconds_of(w.trends_slide):
