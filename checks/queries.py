@@ -218,8 +218,8 @@ def write_by_source(spark, sf):
     parsed = va.parse_envelope(ad.envelope_lines(whole(spark, sf))).filter(F.col("error_reason").isNull())
     sinks.write_by_source(parsed.select("value", "source_hint"), path)
     split = spark.read.text(f"{path}/by_source").groupBy(F.col("source_hint").alias("channel")).agg(F.count(F.lit(1)).alias("lines"))
-    whole = spark.read.text(f"{path}/all").agg(F.lit("TODOS").alias("channel"), F.count(F.lit(1)).alias("lines"))
-    return split.unionByName(whole)
+    every = spark.read.text(f"{path}/all").agg(F.lit("TODOS").alias("channel"), F.count(F.lit(1)).alias("lines"))
+    return split.unionByName(every)
 
 
 def export_alerts_csv(spark, sf):
@@ -499,9 +499,9 @@ def detect_alerts(spark, sf):
 
 def detect_alerts_zero_fill(spark, sf):
     out = al.detect_alerts(
-        ev(spark, sf), limits=ALERT, window="1 minute", only=["TRAFFIC_DROP", "TRAFFIC_SPIKE"], zero_fill=True
+        ev(spark, sf), limits=ALERT, window="15 minutes", only=["TRAFFIC_DROP", "TRAFFIC_SPIKE"], zero_fill=True
     )
-    return out.groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("windows"))
+    return out.select("alert_type", "severity", "current_value", "threshold_value", "window_start")
 
 
 def alert_stream(spark, sf):
