@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks.oracle_base import at, q, sql_list
 from checks.queries import ALERT, AUDIENCE
 from tidemark import contract as C
-from tidemark.sources.adapter import CATEGORY_KEYS, REGION_KEYS
+from tidemark.sources.adapter import CATEGORY_KEYS
 
 ORACLES: dict[str, str] = {}
 

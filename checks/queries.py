@@ -6,7 +6,7 @@ Windows and thresholds are parameters of the operators; the test events are spre
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
@@ -30,7 +30,7 @@ from tidemark.plans.snapshot import dashboard_snapshot
 from tidemark.sources import adapter as ad
 from tidemark.sources import lines as ln
 from tidemark.sources import sinks
-from tidemark.sources.scratch import cut_lineage, work_dir
+from tidemark.sources.scratch import work_dir
 from tidemark.streaming import jobs
 
 DAY = "1 day"

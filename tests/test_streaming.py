@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import buy, event, table
+from tests.helpers import event, table
 from tests.test_ingest import published
 from tidemark.contract import AlertLimits, AudienceLimits, Windows
 from tidemark.operators import alerts as al

@@ -3,8 +3,6 @@ own folder, so a retried micro-batch or a lost executor leaves the same table.""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
