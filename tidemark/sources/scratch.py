@@ -11,11 +11,13 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 
-    Only a session without that setting, as in local tests, gets a folder of its own,
-    which is then set on the session.
+    A local session without that setting gets a folder of its own, which is then set on
+    the session; a cluster's executors could not see it, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
