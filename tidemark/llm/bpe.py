@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from tidemark.llm.spans import Words, byte_table as separators, words_of
 
 #: Pieces and chunks kept by a worker; a full store is emptied, so these bound memory only.
-CACHE = 200_000
-CHUNKS = 2_000_000
+CACHE = 100_000
+CHUNKS = 1_000_000
 
 
 def byte_chars() -> list[str]:
@@ -82,7 +82,9 @@ _WHITE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\
 #: Texts with a space at either end or after white space: they are cut by the pattern alone.
 _UNEVEN = rf"(?:\A|{_WHITE}) | \z"
 #: Bytes of text taken at once.
-PART = 1 << 22
+PART = 1 << 21
+#: Rows of an Arrow batch taken at once.
+ROWS = 1000
 
 
 class Encoder:
@@ -240,32 +242,42 @@ def _schema(df: DataFrame, fields: list[T.StructField]) -> tuple[list[str], list
     return kept, names, T.StructType([df.schema[c] for c in kept] + fields)
 
 
-def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets: bool = False) -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets: bool = False, decoded: bool = False) -> DataFrame:
     """Add `ids` (binary, little-endian unsigned 32-bit) and `n_tokens` of a text column.
 
-    With `offsets`, also `spans`: the first and past-last character of every token.
-    Null and empty texts have no ids.  Columns called ids, n_tokens or spans are
-    replaced; all others, and repeated rows, pass as they are.  Texts of any length
+    With `offsets`, also `spans`: the first and past-last character of every token; with
+    `decoded`, also the bytes that the ids decode to, without a second pass.
+    Null and empty texts have no ids.  Columns called ids, n_tokens, spans or decoded
+    are replaced if made; all others, and repeated rows, pass as they are.  Texts of any length
     are encoded whole; nothing is shuffled.
     """
     fields = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
     if offsets:
         fields.append(T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))))
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
     kept, names, schema = _schema(df, fields)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, dec = encoder(path, pattern), decoder(path) if offsets else None
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                yield batch.slice(lo, ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, dec = encoder(path, pattern), decoder(path) if offsets or decoded else None
+        for batch in parts(batches):
             for lo, hi, ids, n in enc.column(batch.column(column)):
                 ends = np.cumsum(n)
                 at = np.concatenate([[0], ends]) * 4
                 arrays = [pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary()), pa.array(n, pa.int64())]
-                if dec is not None:
+                if offsets:
                     spans = []
                     for i, e in zip(n.tolist(), ends.tolist(), strict=True):
                         first, last = character_spans(dec.raw(ids[e - i : e]), dec.length[ids[e - i : e]])
                         spans.append([list(x) for x in zip(first.tolist(), last.tolist(), strict=True)])
                     arrays.append(pa.array(spans, pa.list_(pa.list_(pa.int32()))))
+                if decoded:
+                    arrays.append(pa.array([dec.raw(ids[e - i : e]) for i, e in zip(n.tolist(), ends.tolist(), strict=True)], pa.binary()))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + arrays, names=kept + names)
 
@@ -285,8 +297,8 @@ def decode(df: DataFrame, path: str, column: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dec = decoder(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
                 raw = [dec.raw(np.frombuffer(i or b"", "<u4")) for i in part.column(column).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(raw, pa.binary())], names=kept + names)
 

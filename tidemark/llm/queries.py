@@ -45,9 +45,8 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern())
-    decoded = bpe.decode(encoded.select("doc_id", "n_tokens", "ids"), path)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern(), decoded=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
