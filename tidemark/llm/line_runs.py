@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.scratch import work_dir
+from tidemark.sources.scratch import cut_lineage, work_dir
 
 BLANK = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -83,7 +83,9 @@ class LineRuns:
         """Docs with `__kept` (text without the common lines) and `__lines`, `__dropped` (counts)."""
         row = [F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version")]
         lines = with_hashes(docs.select(*row, F.posexplode(lines_of(text)).alias("pos", "line")), self.min_chars)
-        gone = lines.join(self.common(), KEY).where(~F.col("doc").eqNullSafe(F.col("top")))
+        # Written first: a line in very many documents is then a skewed join that Spark can split.
+        common = cut_lineage(self.common(), "common-lines")
+        gone = lines.join(common, KEY).where(~F.col("doc").eqNullSafe(F.col("top")))
         gone = gone.groupBy("doc", "version").agg(F.collect_set("pos").alias("__gone"))
         own = docs.withColumn("__version", F.xxhash64(text))
         joined = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("doc")) & (F.col("__version") == F.col("version")), "left").drop("doc", "version", "__version")
