@@ -31,11 +31,19 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.floats = vectors.astype(float)
+        self.largest = int(np.abs(vectors).max(initial=0))
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.sorted = np.take_along_axis(vectors, self.order, axis=0)
 
+    def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Integer products; by floats, which are faster, where every sum stays exact."""
+        if self.largest * int(np.abs(query).max(initial=0)) * len(query) < 1 << 53:
+            return (self.floats[rows] @ query.astype(float)).astype(np.int64)
+        return self.vectors[rows] @ query
+
     def search(self, query: np.ndarray, own: int | None, k: int, step: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of the k best, ties to the smaller id."""
+        """Rows and scores of the k best, ties to the smaller id; each step goes twice as deep."""
         n, dims = self.vectors.shape
         down = query > 0
         used = np.flatnonzero(query)
@@ -48,18 +56,20 @@ class Block:
             if len(used):
                 at = np.where(down[used], n - 1 - places[:, None], places[:, None])
                 seen = self.order[at, used]
-                new = np.unique(seen[~met[seen]])
+                fresh = np.zeros(n, bool)
+                fresh[seen.ravel()] = True
+                new = np.flatnonzero(fresh & ~met)
             else:
                 new = places
             met[new] = True
             if own is not None:
                 new = new[self.ids[new] != own]
-            rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self.vectors[new] @ query])
+            rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self._scores(new, query)])
             best = np.lexsort((self.ids[rows], -scores))[:k]
             rows, scores = rows[best], scores[best]
             if to == n:
                 return rows, scores
-            depth = to
+            depth, step = to, 2 * step
             # An unmet vector may equal the bound and have a smaller id: only a higher kth score ends the walk.
             if len(used):
                 bound = int((self.sorted[np.where(down[used], n - depth, depth - 1), used] * query[used]).sum())
