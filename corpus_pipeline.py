@@ -42,9 +42,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, with a digest of them and of the bytes they decode to."""
     path = vocabulary("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern()).drop("text")
-    decoded = bpe.decode(encoded, path)
-    return decoded.select("doc_id", "lang", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern(), decoded=True)
+    return out.select("doc_id", "lang", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
 
 STAGES = [
