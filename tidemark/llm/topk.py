@@ -67,7 +67,7 @@ class Block:
             rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self._scores(new, query)])
             best = np.lexsort((self.ids[rows], -scores))[:k]
             rows, scores = rows[best], scores[best]
-            if to == n:
+            if to == n or met.all():
                 return rows, scores
             depth, step = to, 2 * step
             # An unmet vector may equal the bound and have a smaller id: only a higher kth score ends the walk.
