@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tidemark.llm.bpe import encoder
+from tidemark.llm.bpe import ROWS, encoder
 
 STORED = "part int, seq long, doc_id long, n_tokens long, ids array<int>"
 
@@ -28,7 +28,7 @@ def _encode(path: str, pattern: str, end_id: int):
         from pyspark import TaskContext
 
         part, seq, enc = TaskContext.get().partitionId(), 0, encoder(path, pattern)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             for lo, hi, ids, n in enc.column(batch.column("text")):
                 ends = np.cumsum(n)
                 closed = np.insert(ids, ends, end_id).astype(np.int32)
@@ -45,7 +45,7 @@ def _encode(path: str, pattern: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int = 2, encoding: str = "dictionary", row_group_bytes: int = 32 << 20, page_bytes: int = 1 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int = 2, encoding: str = "dictionary", row_group_bytes: int = 16 << 20, page_bytes: int = 1 << 20) -> None:
     """Write the ids of all whole texts in ascending doc_id order, each followed by `end_id`.
 
     Null texts are empty: their end id alone.  Rows with a null id come first.  Equal ids
