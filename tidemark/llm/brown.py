@@ -20,7 +20,7 @@ from tidemark.llm.spans import SPACE, mix, words_of
 from tidemark.sources.scratch import cut_lineage
 
 END = mix(np.array([0x656E64], np.uint64))[0]
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_500_000
 _ZSTD = pa.Codec("zstd")
 
 
@@ -40,6 +40,7 @@ def held_out(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
 
 def _block(name: int, parts: list[tuple]) -> pa.RecordBatch:
     hashes, lengths, held, ids = (np.concatenate([p[i] for p in parts]) if i < 3 else pa.concat_arrays([p[3] for p in parts]) for i in range(4))
+    parts.clear()
     words, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     # Frequent words get small numbers, which pack well.
     order = np.argsort(-counts, kind="stable")
@@ -65,7 +66,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held_tokens += len(tokens)
             if held_tokens >= BLOCK_TOKENS:
                 yield _block(name, parts)
-                name, parts, held_tokens = name + 1, [], 0
+                name, held_tokens = name + 1, 0
     if parts:
         yield _block(name, parts)
 
@@ -199,11 +200,14 @@ def _statistics(classes: int, shards: int, neighbours: bool):
             size = len(moved) * width
             own = me >= 0
             left = np.bincount(me[own] * width + before[own], minlength=size).astype(np.uint32).reshape(-1, width)
+            cuts = list(_cut(words[moved], shards))
+            before_packed = [pack(left[r]) for _, r in cuts]
+            del left, before
             # A document's last token is its end, so the token after a word is in the same document.
             own = np.flatnonzero(me[:-1] >= 0)
             right = np.bincount(me[own] * width + kind[own + 1], minlength=size).astype(np.uint32).reshape(-1, width)
-            for s, r in _cut(words[moved], shards):
-                out.append((s, words[moved][r].tobytes(), pack(right[r]), pack(left[r]), None))
+            for (s, r), packed in zip(cuts, before_packed, strict=True):
+                out.append((s, words[moved][r].tobytes(), pack(right[r]), packed, None))
         kinds_of = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds_of)], names=["shard", "words", "after", "before", "pairs"])
 
