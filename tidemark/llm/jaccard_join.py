@@ -417,8 +417,8 @@ def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, un
     block = F.pmod(F.xxhash64("node", F.lit(0)), F.col("blocks")).alias("block")
     chunk = F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks")).alias("chunk")
     sides = rest.join(chunks, "component")
-    asked_side = sides.where("label != main").select("component", each("blocks").alias("block"), chunk, "n", "node", "hashes", "label")
-    block_side = sides.select("component", block, each("chunks").alias("chunk"), "n", "node", "hashes", "label")
+    asked_side = cut_lineage(sides.where("label != main").select("component", each("blocks").alias("block"), chunk, "n", "node", "hashes", "label"), "asked")
+    block_side = cut_lineage(sides.select("component", block, each("chunks").alias("chunk"), "n", "node", "hashes", "label"), "blocks")
     keys = ["component", "block", "chunk"]
     more = asked_side.groupBy(*keys).cogroup(block_side.groupBy(*keys)).applyInArrow(_search_rest(threshold), "a long, b long")
     return components(cut_lineage(links.union(more), "all-links"))
