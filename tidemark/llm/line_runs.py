@@ -86,9 +86,9 @@ class LineRuns:
         # Written first: a line in very many documents is then a skewed join that Spark can split.
         common = cut_lineage(self.common(), "common-lines")
         gone = lines.join(common, KEY).where(~F.col("doc").eqNullSafe(F.col("top")))
-        gone = gone.groupBy("doc", "version").agg(F.collect_set("pos").alias("__gone"))
+        gone = gone.groupBy(F.col("doc").alias("__doc"), F.col("version").alias("__of")).agg(F.collect_set("pos").alias("__gone"))
         own = docs.withColumn("__version", F.xxhash64(text))
-        joined = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("doc")) & (F.col("__version") == F.col("version")), "left").drop("doc", "version", "__version")
+        joined = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__of")), "left").drop("__doc", "__of", "__version")
         every = F.sequence(F.lit(0), F.size("__all") - 1)
         kept = F.when(F.col("__gone").isNull(), every).otherwise(F.array_except(every, "__gone"))
         out = joined.withColumn("__all", lines_of(text)).withColumn("__at", kept)

@@ -250,9 +250,9 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     piece = F.concat("lead", render(F.col("kind"), F.col("entity"), F.col("surrogate")))
     named = found.join(given, ["kind", "norm"]).select("doc", "version", "pos", F.struct("sub", piece.alias("to")).alias("m"))
     whole = named.groupBy("doc", "version", "pos").agg(F.array_join(F.transform(F.sort_array(F.collect_list("m")), lambda m: m["to"]), "").alias("to"))
-    lists = whole.groupBy("doc", "version").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "to"))), lambda m: m["to"]).alias("__to"))
+    lists = whole.groupBy(F.col("doc").alias("__doc"), F.col("version").alias("__of")).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "to"))), lambda m: m["to"]).alias("__to"))
     own = docs.withColumn("__version", F.xxhash64(text))
-    joined = own.join(lists, F.col(f"`{doc_id}`").eqNullSafe(F.col("doc")) & (F.col("__version") == F.col("version")), "left").select(own["*"], "__to").drop("__version")
+    joined = own.join(lists, F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__of")), "left").drop("__doc", "__of", "__version")
     between = F.split(F.col(text), PATTERN, -1)
     told = F.array_join(F.transform(between, lambda g, i: F.concat(g, F.coalesce(F.get("__to", i), F.lit("")))), "")
     out = joined.withColumn(count, F.coalesce(F.size("__to"), F.lit(0)).cast("long"))
