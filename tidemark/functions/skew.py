@@ -88,6 +88,13 @@ def attach_totals(df: DataFrame, by: Sequence[str], *aggs: Column) -> DataFrame:
     return joined.select(*df.columns, *names)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of the same name, null equal to null; the left keys stay."""
+    named = right.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return left.join(named, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def newest_rows(df: DataFrame, ts: str, tie: str, n: int, unit: str = "minute") -> DataFrame:
     """The newest n rows of a large table, exactly, without sorting it.
 
@@ -117,4 +124,4 @@ def with_position(
     offsets = counts.select(*by, "_seg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*by, "_seg").orderBy(ts, *ties)
     numbered = rows.withColumn("_r", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, [*by, "_seg"]).withColumn(out, F.col("_off") + F.col("_r")).drop("_seg", "_r", "_off")
+    return join_null_safe(numbered, offsets, [*by, "_seg"]).withColumn(out, F.col("_off") + F.col("_r")).drop("_seg", "_r", "_off")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import AlertLimits
 from tidemark.functions.expr import flatten_window, micros, ratio, seconds_of, window_keys
+from tidemark.functions.skew import join_null_safe
 from tidemark.sources.scratch import cut_lineage
 
 # type -> (id prefix, severity): fixed values of the alert contract.
@@ -120,7 +121,7 @@ def eps_baseline(
     )
     starts = ends.select(*unit, carried.alias("_start"))
     level = F.pow(F.lit(d), F.col("_i")) * (F.col("_start") + F.col("_sum"))
-    return cut.join(starts, unit).withColumn(out, level).drop("_chunk", "_block", "_pos", "_i", "_sum", "_start")
+    return join_null_safe(cut, starts, unit).withColumn(out, level).drop("_chunk", "_block", "_pos", "_i", "_sum", "_start")
 
 
 def alert_rows(facts: DataFrame, limits: AlertLimits, *, by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:

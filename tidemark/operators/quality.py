@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.skew import join_null_safe
+
 BENCHMARK_COLUMNS = (
     # fixed columns of the benchmark summary file
     "configuracion", "linger_ms", "compresion", "escenario", "segundos", "publicados", "enviados", "rechazados",
@@ -52,11 +54,10 @@ def exact_percentiles(df: DataFrame, value: str, points: Sequence[float], by: Se
     keys = [*by, "b"]
     needed = wanted.select(*keys, "start").distinct()
     inside = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.join(needed, keys).withColumn("upto", F.col("start") + F.sum("c").over(inside))
+    ranked = join_null_safe(counts, needed, keys).withColumn("upto", F.col("start") + F.sum("c").over(inside))
     hit = ranked.select(*keys, "v", "upto", (F.col("upto") - F.col("c")).alias("from"))
     found = (
-        wanted.select(*keys, "n", "t.p", "t.rank")
-        .join(hit, keys)
+        join_null_safe(wanted.select(*keys, "n", "t.p", "t.rank"), hit, keys)
         .filter((F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("upto")))
     )
     pair = found.groupBy(*by, "p").agg(
@@ -77,7 +78,7 @@ def latency_summary(df: DataFrame, value: str = "latency_ms", by: Sequence[str]
     )
     points = exact_percentiles(df, value, (50, 95, 99), by)
     if by:
-        out = plain.join(points, list(by), "left")
+        out = join_null_safe(plain, points, list(by), "left")
     else:
         p = points.agg(F.struct(*[F.max(c).alias(c) for c in ("p50", "p95", "p99")]).alias("p")).scalar()
         out = plain.withColumn("_p", p).select("n", "mean", "max", "_p.p50", "_p.p95", "_p.p99")
@@ -140,7 +141,7 @@ def partition_mismatch(deliveries: DataFrame) -> DataFrame:
         .when(
             F.col("expected_partition").isNotNull() & (F.col("partition") != F.col("expected_partition")),
             F.concat(
-                F.lit("la clave "), F.col("key"), F.lit(" cayó en la partición "), F.col("partition").cast("string"),
+                F.lit("la clave "), F.coalesce("key", F.lit("None")), F.lit(" cayó en la partición "), F.col("partition").cast("string"),
                 F.lit(" y el particionador esperaba "), F.col("expected_partition").cast("string"),
             ),
         )

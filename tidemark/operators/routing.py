@@ -26,7 +26,7 @@ def route_events(events: DataFrame, topics: Mapping = C.TOPICS) -> DataFrame:
     """
     routes = {k: t for t, (_, kinds) in topics.items() for k in kinds}
     out = events.withColumn("topic", lookup("event_type", routes))
-    reason = F.concat(F.lit("event_type sin ruta en el contrato: "), F.col("event_type"))
+    reason = F.concat(F.lit("event_type sin ruta en el contrato: "), F.coalesce("event_type", F.lit("None")))
     return out.withColumn("error_reason", F.when(F.col("topic").isNull(), reason))
 
 

@@ -194,11 +194,13 @@ def validate_purchase_items(lines: DataFrame, path: str = "$.event.payload.items
 def enrich_envelope(valid: DataFrame, *, event_id: Column | None = None, ingestion_timestamp: Column | None = None) -> DataFrame:
     """Valid envelopes as flat 13-field events.
 
-    The default id hashes the arrival position, so a retried task gives the same id;
-    the two non-deterministic values can be passed in.
+    The default id hashes the origin (a file, if the lines have one) and the arrival
+    position, so a retried task gives the same id and another load gives others; the two
+    non-deterministic values can be passed in.
     """
+    place = F.concat_ws("|", *([F.col("origin")] if "origin" in valid.columns else []), F.col("arrival").cast("string"))
     event_id = event_id if event_id is not None else F.concat(
-        F.lit("evt_"), F.substring(F.sha2(F.col("arrival").cast("string"), 256), 1, 32)
+        F.lit("evt_"), F.substring(F.sha2(place, 256), 1, 32)
     )
     now = F.date_format(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss.SSS")
     stamp = ingestion_timestamp if ingestion_timestamp is not None else F.concat(now, F.lit("+00:00"))

@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 from tidemark import contract as C
 from tidemark.operators.validate import get
 
-DEFAULT_MAX_PER_TRIGGER = 5000
-
 
 def read_event_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """(value, arrival) of the non-blank lines of a JSONL file or folder.
+    """(value, origin, arrival) of the non-blank lines of a JSONL file or folder.
 
-    limit counts lines read, blank ones included.  arrival orders lines by file position.
+    limit counts lines read, blank ones included.  arrival orders lines by file position;
+    origin is the file, so that events of different loads get different ids.
     """
-    rows = spark.read.text(path)
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("origin"))
     if limit is not None:
         rows = rows.limit(limit)
     rows = rows.withColumn("arrival", F.monotonically_increasing_id())
@@ -42,7 +41,7 @@ def read_event_stream(
     topics: Sequence[str] = C.BUSINESS_TOPICS,
     *,
     starting: str = "earliest",
-    max_per_trigger: int | None = DEFAULT_MAX_PER_TRIGGER,
+    max_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Kafka topics as (value, key, kafka_topic, kafka_partition, kafka_offset, arrival).
