@@ -206,7 +206,7 @@ add("dead_letter_key", f"""SELECT n AS arrival, {ENVELOPE_REASON} AS error_reaso
   CASE WHEN n % 100 NOT IN (3, 7, 13, 31, 43) THEN user_id END AS key FROM ev WHERE ({ENVELOPE_REASON}) IS NOT NULL""")
 add("route_events", f"""WITH {LINES}, t AS (
   SELECT pos, CASE WHEN n % 100 IN (3, 7) THEN NULL WHEN n % 100 = 17 THEN 'CLICK' ELSE event_type END AS event_type FROM lines)
-SELECT pos AS arrival, {TOPIC} AS topic, CASE WHEN ({TOPIC}) IS NULL THEN 'event_type sin ruta en el contrato: ' || event_type END AS error_reason FROM t""")
+SELECT pos AS arrival, {TOPIC} AS topic, CASE WHEN ({TOPIC}) IS NULL THEN 'event_type sin ruta en el contrato: ' || coalesce(event_type, 'None') END AS error_reason FROM t""")
 add("routing_audit", """SELECT DISTINCT event_type, 'UNROUTED' AS problem, CAST(0 AS BIGINT) AS topics FROM ev WHERE event_type = 'SOCIAL_POST'
 UNION ALL SELECT 'SEARCH', 'DUPLICATE', CAST(2 AS BIGINT)""")
 add("partition_totals", f"SELECT {TOPIC} AS topic, CAST(count(*) AS BIGINT) AS events, count(DISTINCT user_id) AS keys FROM ev GROUP BY 1")
