@@ -209,6 +209,11 @@ add("route_events", f"""WITH {LINES}, t AS (
 SELECT pos AS arrival, {TOPIC} AS topic, CASE WHEN ({TOPIC}) IS NULL THEN 'event_type sin ruta en el contrato: ' || coalesce(event_type, 'None') END AS error_reason FROM t""")
 add("routing_audit", """SELECT DISTINCT event_type, 'UNROUTED' AS problem, CAST(0 AS BIGINT) AS topics FROM ev WHERE event_type = 'SOCIAL_POST'
 UNION ALL SELECT 'SEARCH', 'DUPLICATE', CAST(2 AS BIGINT)""")
+PARTS = "CASE topic " + " ".join(f"WHEN '{t}' THEN {p}" for t, (p, _) in C.TOPICS.items()) + " END"
+add("partition_balance", f"""WITH r AS (SELECT {TOPIC} AS topic, user_id FROM ev),
+p AS (SELECT topic, {PARTS} AS parts, CAST(ascii(right(user_id, 1)) % {PARTS} AS INTEGER) AS partition, user_id FROM r WHERE topic IS NOT NULL),
+t AS (SELECT topic, parts, partition, count(*) AS events, count(DISTINCT user_id) AS keys FROM p GROUP BY 1, 2, 3)
+SELECT topic, partition, events, keys, round(CAST(events * parts AS DOUBLE) / CAST(sum(events) OVER (PARTITION BY topic) AS DOUBLE), 4) AS skew FROM t""")
 add("partition_totals", f"SELECT {TOPIC} AS topic, CAST(count(*) AS BIGINT) AS events, count(DISTINCT user_id) AS keys FROM ev GROUP BY 1")
 add("validate_file_report", f"""WITH c AS (SELECT n, CASE WHEN n % 100 = 3 THEN 'JSON inválido' ELSE {ENVELOPE_REASON} END AS r FROM ev),
 t AS (SELECT count(*) AS total, count(r) AS errors FROM c)
@@ -551,6 +556,8 @@ add("alert_counts", f"""WITH {FEED_CORE}, lv AS (SELECT unnest(['INFO', 'WARNING
   SELECT lv.level, count(f.id) AS active FROM lv LEFT JOIN (SELECT * FROM feed WHERE status = 'ACTIVA') f USING (level) GROUP BY lv.level)
 SELECT level, active, CAST(sum(active) OVER () AS BIGINT) AS active_total, CAST(sum(CASE WHEN level = 'CRITICAL' THEN active ELSE 0 END) OVER () AS BIGINT) AS critical_total FROM c""")
 add("alerts_by_component", f"WITH {FEED_CORE} SELECT component, count(*) AS alerts, count(*) FILTER (WHERE status = 'ACTIVA') AS active FROM feed GROUP BY component")
+add("components_degraded", f"""WITH {FEED_CORE}, c AS (SELECT component, bool_or(status = 'ACTIVA') AS hit FROM feed GROUP BY component)
+SELECT count(*) FILTER (WHERE hit) AS degraded FROM c""")
 add("alert_timeline", f"""WITH {FEED_CORE}, t AS (SELECT title, "timestamp", epoch_ms("timestamp") AS ms FROM feed), s AS (SELECT *, min(ms) OVER () AS lo, max(ms) OVER () AS hi FROM t)
 SELECT title, "timestamp", round((ms - lo) / (CASE WHEN hi = lo THEN lo + 1 ELSE hi END - lo)::DOUBLE, 7) AS at FROM s""")
 add("alert_status_overlay", f"""WITH {FEED_CORE} SELECT title, "timestamp", level,
@@ -613,8 +620,8 @@ add("filter_recent", """WITH s AS (SELECT scenario, date_trunc('minute', event_t
 SELECT * FROM (SELECT *, max(window_start) OVER (PARTITION BY scenario) AS l FROM s) WHERE window_start >= l - INTERVAL 1 HOUR""".replace("SELECT * FROM (", "SELECT * EXCLUDE (l) FROM ("))
 add("expected_band", f"""WITH {HSER}, b AS (SELECT *, avg(v) OVER (PARTITION BY scenario) AS m, stddev_pop(v) OVER (PARTITION BY scenario) AS s FROM ser)
 SELECT scenario, window_start, v AS total_events, round(greatest(0.0::DOUBLE, m - s), 7) AS low, round(m + s, 7) AS high, round((v - m) / m * 100.0::DOUBLE, 7) AS deviation_pct FROM b""")
-CAT = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.EVENT_CATEGORY.items()) + " END"
-add("category_share", f"""WITH t AS (SELECT {CAT} AS category, event_type, count(*) AS events FROM ev WHERE event_type NOT IN ('GPS_UPDATE', 'IOT_READING', 'MOTION_DETECTED') GROUP BY 1, 2),
+CAT = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.EVENT_CATEGORY.items()) + f" ELSE '{C.DEFAULT_CATEGORY}' END"
+add("category_share", f"""WITH t AS (SELECT {CAT} AS category, event_type, count(*) AS events FROM ev GROUP BY 1, 2),
 c AS (SELECT cat AS category, coalesce(sum(events), 0) AS total FROM (SELECT unnest({sql_list(C.CATEGORIES)}) AS cat) x LEFT JOIN t ON t.category = x.cat GROUP BY cat),
 s AS (SELECT *, total / (sum(total) OVER ())::DOUBLE * 100.0::DOUBLE AS category_share FROM c)
 SELECT category, 'TOTAL' AS event_type, CAST(total AS BIGINT) AS events, category_share FROM s

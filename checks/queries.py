@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
-from tidemark.functions.expr import to_utc_ntz
+from tidemark.functions.expr import lookup, to_utc_ntz
 from tidemark.operators import alert_views as av
 from tidemark.operators import alerts as al
 from tidemark.operators import asof
@@ -142,8 +142,8 @@ def store_counters(spark, sf):
 def write_metrics(spark, sf):
     root = work_dir(spark, "metrics")
     rows = m.conversion(ev(spark, sf), window=DAY)
-    sinks.write_metrics(rows, "conversion", root)
-    sinks.write_metrics(m.throughput(ev(spark, sf), window=DAY), "throughput", root)
+    sinks.write_metrics(rows, "conversion", root, 0)
+    sinks.write_metrics(m.throughput(ev(spark, sf), window=DAY), "throughput", root, 0)
     back = spark.read.parquet(f"{root}/metrics")
     num = lambda name: F.get_json_object("payload", f"$.{name}").cast("double").alias(name)
     return back.select("metric_type", "window_start", "window_end", num("views_count"), num("purchases_count"), num("total_events"))
@@ -157,7 +157,7 @@ def metric_messages(spark, sf):
 def write_audiences(spark, sf):
     root = work_dir(spark, "audiences")
     rows = au.classify_audiences(ev(spark, sf), limits=AUDIENCE).drop("action", "confidence")
-    sinks.write_audiences(rows, root)
+    sinks.write_audiences(rows, root, 0)
     return spark.read.parquet(f"{root}/audiences").select("user_id", "audience_type", "action", "confidence", "detected_at", "expires_at")
 
 
@@ -350,13 +350,20 @@ def routing_audit(spark, sf):
     return rt.routing_audit(rt.routing_table(spark, topics), ev(spark, sf))
 
 
+def placed(spark, sf):
+    """Routed events with a partition that depends on the last character of the user."""
+    partitions = lookup("topic", {t: str(p) for t, (p, _) in C.TOPICS.items()}).cast("int")
+    routed = rt.route_events(ev(spark, sf)).withColumn("kafka_partition", F.ascii(F.right("user_id", F.lit(1))) % partitions)
+    return routed.withColumnRenamed("topic", "kafka_topic")
+
+
 def partition_balance(spark, sf):
-    return rt.partition_balance(ev(spark, sf))
+    return rt.partition_balance(placed(spark, sf))
 
 
 def partition_totals(spark, sf):
-    """Balance rolled up per topic: independent of the hash itself."""
-    return rt.partition_balance(ev(spark, sf)).groupBy("topic").agg(F.sum("events").alias("events"), F.sum("keys").alias("keys"))
+    """Balance rolled up per topic: independent of the placement itself."""
+    return rt.partition_balance(placed(spark, sf)).groupBy("topic").agg(F.sum("events").alias("events"), F.sum("keys").alias("keys"))
 
 
 def validate_file_report(spark, sf):
@@ -666,8 +673,7 @@ def heatmap_intensity(spark, sf):
 
 
 def category_share(spark, sf):
-    counts = type_counts(spark, sf).filter(~F.col("event_type").isin("GPS_UPDATE", "IOT_READING", "MOTION_DETECTED"))
-    return pr.category_share(counts)
+    return pr.category_share(type_counts(spark, sf))
 
 
 def product_matrix(spark, sf):
@@ -734,6 +740,13 @@ def alerts_by_component(spark, sf):
     return av.alerts_by_component(feed_of(spark, sf))
 
 
+def components_degraded(spark, sf):
+    """Components of the feed, degraded where an alert is active."""
+    hit = feed_of(spark, sf).filter(F.col("status") == "ACTIVA").groupBy("component").agg(F.count(F.lit(1)).alias("active"))
+    every = feed_of(spark, sf).select("component").distinct().join(hit, "component", "left")
+    return av.components_degraded(every.select("component", F.when(F.col("active") > 0, "DEGRADADO").otherwise("OPERATIVO").alias("status")))
+
+
 def alert_timeline(spark, sf):
     return rounded(av.alert_timeline(feed_of(spark, sf)).select("title", "timestamp", "at"))
 
@@ -932,6 +945,7 @@ QUERIES = {
     "alert_filter": alert_filter,
     "alert_counts": alert_counts,
     "alerts_by_component": alerts_by_component,
+    "components_degraded": components_degraded,
     "alert_timeline": alert_timeline,
     "alert_status_overlay": alert_status_overlay,
     "mean_ack_minutes": mean_ack_minutes,

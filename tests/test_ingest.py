@@ -168,3 +168,20 @@ def test_csv_quoting(spark, tmp_path):
     sinks.export_alerts_csv(df.withColumn("timestamp", F.lit(T0)), str(tmp_path / "c"))
     back = spark.read.option("sep", ";").option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path / "c")).first()
     assert back.titulo == 'a;b "c"\nd' and back.descripcion == "x,y"
+
+
+def test_lines_are_numbered_by_file_and_place(spark, tmp_path):
+    """Splits of several files: arrival is the line's number over the files in order of their paths."""
+    names = {"b": 700, "a": 30, "c": 2000}
+    for name, n in names.items():
+        (tmp_path / f"{name}.jsonl").write_text("".join("\n" if i % 10 == 9 else f"{name} {i} {'x' * (i % 50)}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = {r.arrival: r.value for r in ln.read_event_lines(spark, str(tmp_path)).collect()}
+        first = {r.arrival for r in ln.read_event_lines(spark, str(tmp_path), 45).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    lines = [f"{name} {i} {'x' * (i % 50)}" if i % 10 != 9 else "" for name in sorted(names) for i in range(names[name])]
+    assert got == {i: line for i, line in enumerate(lines) if line}
+    assert first == {i for i in range(45) if lines[i]}

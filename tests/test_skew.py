@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import skew
-from tidemark.functions.kafka_hash import murmur2, partition_of
 from tidemark.operators.quality import exact_percentiles, latency_summary
+from tidemark.operators.routing import partition_balance
 
 
 @pytest.fixture(scope="module")
@@ -62,13 +62,8 @@ def test_percentiles(spark):
     assert q(xs, *points) == pytest.approx(np.percentile(xs, points), rel=1e-12)
 
 
-def test_partition_hash(spark):
-    # Published test vectors of the Kafka client (signed 32 bit).
-    known = {
-        "21": -973932308, "foobar": -790332482, "a-little-bit-long-string": -985981536, "a-little-bit-longer-string": -1486304829,
-        "lkjh234lh9fiuh90y23oiuhsafujhadof229phr9h19h89h8": -58897971, "abc": 479470107,
-    }
-    assert murmur2([k.encode() for k in known]).astype(np.int32).tolist() == list(known.values())
-    df = spark.range(300).select(F.concat(F.lit("USR"), F.col("id").cast("string")).alias("key"))
-    parts = {r.p for r in df.select(partition_of(F.col("key"), F.lit(4)).alias("p")).collect()}
-    assert parts == {0, 1, 2, 3}
+def test_partition_balance(spark):
+    rows = [("user-events", 0, "a")] * 6 + [("user-events", 1, "b"), ("user-events", 1, None), ("other", 0, "a"), (None, 0, "a"), ("user-events", None, "a")]
+    df = spark.createDataFrame(rows, "kafka_topic string, kafka_partition int, user_id string")
+    got = {(r.topic, r.partition): (r.events, r["keys"], r.skew) for r in partition_balance(df).collect()}
+    assert got == {("user-events", 0): (6, 1, 3.0), ("user-events", 1): (2, 2, 1.0), ("other", 0): (1, 1, None)}

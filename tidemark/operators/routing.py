@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark import contract as C
 from tidemark.functions.expr import lookup
-from tidemark.functions.kafka_hash import partition_of
 
 
 def routing_table(spark: SparkSession, topics: Mapping = C.TOPICS) -> DataFrame:
@@ -48,30 +47,29 @@ def routing_audit(routes: DataFrame, event_types: DataFrame) -> DataFrame:
 
 
 def partition_balance(events: DataFrame, topics: Mapping = C.TOPICS) -> DataFrame:
-    """Events and distinct keys per (topic, partition), and the skew of each partition.
+    """Events and distinct keys per (topic, partition) that records came from, and the skew of each partition.
 
-    Rows are first counted per (topic, key), so the hash runs once per distinct key and
-    a hot key is one row from there on.
+    events: kafka_topic, kafka_partition and the key column, as read or stored.  Rows are
+    first counted per key, so a hot key is one row from there on.  A null key counts as
+    one key.  Rows without a topic or partition were never placed and are left out.
+    Skew is the load relative to an even one over the contract's partitions; it is null
+    for a topic that the contract lacks.
     """
-    partitions = lookup("topic", {t: str(p) for t, (p, _) in topics.items()}).cast("int")
+    key = F.col(C.PARTITION_KEY).alias("key")
     per_key = (
-        route_events(events, topics)
-        .filter(F.col("topic").isNotNull())
-        .groupBy("topic", F.col(C.PARTITION_KEY).alias("key"))
+        events.filter(F.col("kafka_topic").isNotNull() & F.col("kafka_partition").isNotNull())
+        .groupBy(F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"), key)
         .agg(F.count(F.lit(1)).alias("events"))
-        .withColumn("partitions", partitions)
-    )
-    placed = per_key.withColumn("partition", partition_of(F.col("key"), F.col("partitions")))
-    load = placed.groupBy("topic", "partition", "partitions").agg(
-        F.sum("events").alias("events"), F.count(F.lit(1)).alias("keys")
     )
+    load = per_key.groupBy("topic", "partition").agg(F.sum("events").alias("events"), F.count(F.lit(1)).alias("keys"))
+    partitions = lookup("topic", {t: str(p) for t, (p, _) in topics.items()}).cast("int")
     topic_total = F.sum("events").over(_by_topic())
     return load.select(
         "topic",
         "partition",
         "events",
         "keys",
-        F.round(F.col("events") * F.col("partitions") / topic_total, 4).cast("double").alias("skew"),
+        F.round(F.col("events") * partitions / topic_total, 4).cast("double").alias("skew"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
@@ -14,14 +14,27 @@ from tidemark.operators.validate import get
 def read_event_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """(value, origin, arrival) of the non-blank lines of a JSONL file or folder.
 
-    limit counts lines read, blank ones included.  arrival orders lines by file position;
-    origin is the file, so that events of different loads get different ids.
+    arrival numbers all lines from 0, blank ones included, by file path and place in the
+    file: Spark packs splits by size, so its own row ids follow neither.  The lines of
+    each split are counted first (no text is parsed), one row per split.  limit keeps the
+    first lines of that order.  origin is the file, so that events of different loads
+    get different ids.
     """
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("origin"))
+    rows = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("origin"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    split = ["origin", "_start"]
+    before = F.sum("_lines").over(Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1))
+    splits = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first"))
+    splits = splits.withColumn("_before", F.coalesce(before, F.lit(0)))
+    place = F.col("_before") + F.col("_row") - F.col("_first")
+    numbered = rows.join(splits, split).select("value", "origin", place.alias("arrival"))
     if limit is not None:
-        rows = rows.limit(limit)
-    rows = rows.withColumn("arrival", F.monotonically_increasing_id())
-    return rows.filter(F.trim("value") != "")
+        numbered = numbered.filter(F.col("arrival") < limit)
+    return numbered.filter(F.trim("value") != "")
 
 
 def read_line_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -46,7 +46,7 @@ def event_ids(root: str) -> str:
 
 
 def write_event_store(
-    events: DataFrame, root: str, batch_id: int = 0, *, buckets: int = ID_BUCKETS, date_col: str = "event_ts"
+    events: DataFrame, root: str, batch_id: int, *, buckets: int = ID_BUCKETS, date_col: str = "event_ts"
 ) -> DataFrame:
     """Insert events whose event_id is new; returns the batch tagged with `stored`.
 
@@ -135,7 +135,7 @@ def metric_rows(df: DataFrame, metric_type: str) -> DataFrame:
     )
 
 
-def write_metrics(df: DataFrame, metric_type: str, root: str, batch_id: int = 0) -> None:
+def write_metrics(df: DataFrame, metric_type: str, root: str, batch_id: int) -> None:
     """Append one metric's rows to the metric table (idempotent per batch)."""
     if metric_type not in C.METRIC_TOPICS:
         raise ValueError(f"unknown metric type {metric_type}")
@@ -163,7 +163,7 @@ def audience_defaults(df: DataFrame) -> DataFrame:
     )
 
 
-def write_audiences(df: DataFrame, root: str, batch_id: int = 0) -> None:
+def write_audiences(df: DataFrame, root: str, batch_id: int) -> None:
     rows = audience_defaults(df).withColumn("created_at", F.current_timestamp())
     rows = rows.transform(by_folder("audience_type"))
     rows.write.mode("overwrite").partitionBy("audience_type").parquet(batch_path(root, "audiences", batch_id))
@@ -173,8 +173,8 @@ def audience_messages(df: DataFrame) -> DataFrame:
     return kafka_records(audience_defaults(df), C.AUDIENCE_TOPIC, "user_id")
 
 
-def write_alerts(df: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Append alerts to the alert log; `alerts_view` applies the upsert rule on read."""
+def write_alerts(df: DataFrame, root: str, batch_id: int) -> None:
+    """Append alerts to the alert log; `upsert_alerts` applies the upsert rule on read."""
     df.write.mode("overwrite").parquet(batch_path(root, "alerts", batch_id))
 
 
@@ -196,7 +196,7 @@ def alert_messages(df: DataFrame) -> DataFrame:
     return kafka_records(df, C.ALERT_TOPIC, "alert_id")
 
 
-def write_runs(df: DataFrame, root: str, batch_id: int = 0) -> None:
+def write_runs(df: DataFrame, root: str, batch_id: int) -> None:
     """Insert load summaries; a run id that is already stored is ignored."""
     known = read_table(df.sparkSession, f"{root}/runs")
     rows = df.dropDuplicates(["run_id"])
