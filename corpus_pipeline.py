@@ -27,7 +27,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; texts without words all stay."""
+    """Of each group of near copies the document with the smallest id; texts without words all stay.
+
+    Rows are kept by id: rows that share the id that stays all stay, and so do rows with
+    a null id if one of them stays.
+    """
     groups = similar_documents(docs)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own"))
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("own")), "left_semi").select(*docs.columns)
