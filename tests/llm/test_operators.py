@@ -361,3 +361,28 @@ def test_surrogates_are_consistent_distinct_and_typed(spark, empty):
     assert surrogates.replace_entities(empty, "key").count() == 0
     other = surrogates.replace_entities(df.where("doc_id = 1"), "another key").first().text
     assert other != got[1].text
+
+
+def test_secrets_in_any_case(spark):
+    low = "9233a8ecf1b07d5546aa"
+    rows = [(1, f'TOKEN = "{low.upper()}"'), (2, f"token={low}"), (3, "Password: Tr0ub4dor-x Api_Key='QWERTYUIOP'"), (4, f"SECRET : {low.title()}"), (5, "ToKeN=12345678"), (6, "TOKEN PASSWORD=short")]
+    rows += [(7, "Token = unlike_all"), (8, "KEY = 9233A8ECF1B07D5546AA")]
+    got = {r.doc_id: r for r in surrogates.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    upper, lower = re.fullmatch(r'TOKEN = "([0-9A-F]{20})"', got[1].text), re.fullmatch(r"token=([0-9a-f]{20})", got[2].text)
+    assert upper and lower and upper[1].lower() == lower[1] != low
+    assert re.fullmatch(r"Password: [A-Z][a-z]\d[a-z]{2}\d[a-z]{3}-[a-z] Api_Key='[A-Z]{10}'", got[3].text) and "QWERTYUIOP" not in got[3].text and "Tr0ub4dor" not in got[3].text
+    assert got[4].text.startswith("SECRET : ") and got[4].text[9:].lower() not in (low, lower[1]) and len(got[4].text) == 29
+    assert re.fullmatch(r"ToKeN=[0-9a-f]{8}", got[5].text) and got[5].text[6:] != "12345678"
+    assert got[7].text.startswith("Token = ") and got[7].text != rows[6][1]  # no digit, @ or other sign of a match
+    assert [got[i].n_entities for i in range(1, 9)] == [1, 1, 2, 1, 1, 0, 1, 0] and all(got[i].text == rows[i - 1][1] for i in (6, 8))
+
+
+def test_surrogates_differ_as_entities(spark):
+    found = spark.createDataFrame([("secret", "abcdef12"), ("secret", "QWERTY98")], "kind string, norm string")
+    held = surrogates.candidate
+    try:  # the first draw of the second one is the first one in upper case
+        surrogates.candidate = lambda kind, norm, key, attempt: F.when((norm == "QWERTY98") & (attempt == 0), "ABCDEF12").otherwise(held(kind, norm, key, attempt))
+        got = {r.norm: r.surrogate for r in surrogates.assign(found, "key").collect()}
+    finally:
+        surrogates.candidate = held
+    assert len(got) == 2 and got["QWERTY98"] != "ABCDEF12"

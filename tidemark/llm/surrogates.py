@@ -41,7 +41,7 @@ def _titles(titles: tuple[str, ...]) -> str:
 
 
 _NAME = r"\p{Lu}[\p{L}\p{M}'’-]{0,40}"
-_SECRET_LEAD = rf"(?:{'|'.join(SECRET_NAMES)})\s?[=:]\s?[\"']?"
+_SECRET_LEAD = rf"(?i:{'|'.join(SECRET_NAMES)})\s?[=:]\s?[\"']?"
 _TITLE_LEAD = rf"(?:{_titles(MALE_TITLES + FEMALE_TITLES)}) "
 #: One group for each of KINDS, in order.
 PATTERN = "|".join(
@@ -59,8 +59,8 @@ PATTERN = "|".join(
 
 def may_match(text: Column) -> Column:
     """True for every text with a match, by tests much cheaper than the pattern."""
-    out = text.rlike("[0-9@]")
-    for part in dict.fromkeys([*SECRET_NAMES, "AKIA", *(t.rstrip(".") for t in MALE_TITLES + FEMALE_TITLES)]):
+    out = text.rlike("[0-9@]") | text.rlike(f"(?i:{'|'.join(SECRET_NAMES)})")
+    for part in dict.fromkeys(["AKIA", *(t.rstrip(".") for t in MALE_TITLES + FEMALE_TITLES)]):
         out = out | F.contains(text, F.lit(part))
     return out
 
@@ -114,12 +114,18 @@ def _mod97(iban: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, v: F.when(v > 9, a * 100 + v).otherwise(a * 10 + v) % 97)
 
 
+def _upper_hex(kind: Column, entity: Column) -> Column:
+    """True for a secret that is the upper-cased form of a hex one."""
+    return (kind == "secret") & entity.rlike("^[0-9A-F]*[A-F][0-9A-F]*$")
+
+
 def _norm(kind: Column, entity: Column) -> Column:
     """What makes two occurrences one entity."""
     digits = F.regexp_replace(entity, r"\D", "")
     return (
         F.when(kind == "phone", F.substr(digits, F.greatest(F.length(digits) - 9, F.lit(1)).cast("int")))
         .when(kind == "card", digits)
+        .when(_upper_hex(kind, entity), F.lower(entity))
         .when(kind.isin("ip", "iban", "secret"), entity)
         .otherwise(F.lower(entity))
     )
@@ -192,6 +198,7 @@ def render(kind: Column, entity: Column, surrogate: Column) -> Column:
     return (
         F.when(kind.isin("phone", "card"), formatted)
         .when(kind == "email", F.when(upper, F.upper(surrogate)).otherwise(surrogate))
+        .when(_upper_hex(kind, entity), F.upper(surrogate))
         .when(kind.isin("given_m", "given_f", "surname"), F.when(upper & (F.length(entity) > 1), F.upper(surrogate)).otherwise(F.regexp_replace(F.initcap(F.regexp_replace(surrogate, "-", "- ")), "- ", "-")))
         .otherwise(surrogate)
     )
@@ -221,11 +228,14 @@ def assign(found: DataFrame, key: str, max_rounds: int = 100) -> DataFrame:
     real = cut_lineage(found.select("kind", "norm").distinct(), "entities")
     open_, done = real.withColumn("attempt", F.lit(0)), None
     for _ in range(max_rounds):
-        drawn = cut_lineage(open_.withColumn("surrogate", candidate(F.col("kind"), F.col("norm"), F.lit(key), F.col("attempt"))), "candidates")
-        free = drawn.join(real.select("kind", F.col("norm").alias("surrogate")), ["kind", "surrogate"], "left_anti")
+        drawn = open_.withColumn("surrogate", candidate(F.col("kind"), F.col("norm"), F.lit(key), F.col("attempt")))
+        # Two surrogates are one if they are one entity: a drawn secret may be upper-cased hex.
+        drawn = cut_lineage(drawn.withColumn("same", _norm(F.col("kind"), F.col("surrogate"))), "candidates")
+        free = drawn.join(real.select("kind", F.col("norm").alias("same")), ["kind", "same"], "left_anti")
         if done is not None:
-            free = free.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
-        won = cut_lineage(free.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm")).select("kind", "norm", "surrogate"), "assigned")
+            free = free.join(done.select("kind", _norm(F.col("kind"), F.col("surrogate")).alias("same")), ["kind", "same"], "left_anti")
+        first = free.groupBy("kind", "same").agg(F.min(F.struct("norm", "surrogate")).alias("first"))
+        won = cut_lineage(first.select("kind", "first.norm", "first.surrogate"), "assigned")
         done = won if done is None else done.union(won)
         open_ = cut_lineage(drawn.join(won, ["kind", "norm"], "left_anti").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")), "undecided")
         if not open_.limit(1).count():
@@ -237,8 +247,9 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     """All rows with surrogates in `text`, and `count`, the number of replaced matches.
 
     Kinds: e-mail addresses, phone numbers, IPv4 addresses, IBANs, card numbers, secrets,
-    and names after a title.  Phone and card numbers with other separators, and names and
-    addresses in other case, are the same entity.  Surrogates keep length classes,
+    and names after a title.  Secrets follow their names (token, password, ...) in any case.
+    Phone and card numbers with other separators, names and addresses in other case, and a
+    hex secret and its upper-cased form are the same entity.  Surrogates keep length classes,
     separators, country codes, check digits that were valid, script and gender.  Texts
     without a match, and null and empty texts, stay as they are.  Null ids and repeated
     rows are replaced like others.  A column called like `count` is replaced; columns
