@@ -386,3 +386,17 @@ def test_surrogates_differ_as_entities(spark):
     finally:
         surrogates.candidate = held
     assert len(got) == 2 and got["QWERTY98"] != "ABCDEF12"
+
+
+def test_brown_exchange_goes_on_until_it_gains_little(spark, caplog):
+    rnd = random.Random(6)
+    kinds = [[f"{c}{k}" for k in range(25)] for c in "abcdefgh"]
+    rows = [(i, " ".join(rnd.choice(kinds[(i + k) % 8]) for k in range(30))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    score = lambda **how: df_sum(brown.score_documents(df, F.col("doc_id") < 0, classes=8, min_count=5, **how))
+    df_sum = lambda out: out.agg(F.sum("score")).first()[0]
+    with caplog.at_level("INFO", logger=brown.log.name):
+        whole = score()
+    trail = [float(m[1]) for r in caplog.records if (m := re.search(r"class likelihood (-?\d+)$", r.getMessage()))]
+    assert len(trail) > brown.PATIENCE + 1 and whole > score(rounds=2) + 100
+    assert max(trail) - max(trail[: -brown.PATIENCE]) <= 0.005 * max(trail) + 1

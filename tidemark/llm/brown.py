@@ -1,14 +1,16 @@
 """Class-based bigram model: P(word | class) * P(class | class before).
 
 Words are assigned to classes by exchange: each word moves to the class that raises the
-likelihood of the class bigrams most, all other words standing still; each round moves
-one half of the words.  The corpus is kept as blocks of tokens that point into a sorted
-word list of the block, so what travels between tasks is one entry for each word of a
-block, not each token.  The vocabulary lies in shards by ranges of the word hash.
+likelihood of the class bigrams most, all other words standing still; each half
+round moves one half of the words, until they gain next to nothing.  The corpus is kept as blocks of tokens that point into a sorted word list of the block, so what travels
+between tasks is one entry for each word of a block, not each token.  The vocabulary lies
+in shards by ranges of the word hash.  Half rounds read counts of word pairs, made once; the
+exchanged words, their counts and their classes are on the driver (17 bytes a word).
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,10 @@ from tidemark.sources.scratch import cut_lineage
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 BLOCK_TOKENS = 2_500_000
+#: Half rounds without a gain that end the exchange: every word was moved twice.
+PATIENCE = 4
 _ZSTD = pa.Codec("zstd")
+log = logging.getLogger(__name__)
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -175,41 +180,105 @@ def _before(kind: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     return before
 
 
-STATISTICS = "shard int, words binary, after binary, before binary, pairs array<long>"
+EXCHANGED = "shard int, words binary, counts binary"
 
 
-def _statistics(classes: int, shards: int, neighbours: bool):
-    """Class pairs of a block's learned documents, and for each exchanged word the classes after and before it."""
-    width = classes + 2
+def _exchanged(classes: int):
+    """The exchanged words of each shard, in order, and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, counts, kind = _shard_arrays(pa.Table.from_batches([batch.slice(i, 1)]))
+                own = kind < classes
+                columns = [pa.array([batch.column("shard")[i].as_py()], pa.int32()), *(pa.array([x[own].tobytes()], pa.binary()) for x in (words, counts))]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "words", "counts"])
+
+    return run
+
+
+def _parts(n: int, parts: int) -> np.ndarray:
+    """Bounds of equal ranges of word numbers."""
+    return np.arange(parts + 1) * n // parts
+
+
+def _pack_pairs(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    return pack(np.diff(keys, prepend=0)), pack(counts)
+
+
+def _unpack_pairs(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(unpack(keys, np.int64)), unpack(counts, np.int64)
+
+
+#: side 0: pairs by their first word; 1: by their second word; -1: pairs without an exchanged word.
+PAIRS = "part int, side int, keys binary, counts binary"
+_PAIR_TYPES = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+
+
+def _pair_table(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(_PAIR_TYPES)], names=["part", "side", "keys", "counts"])
+
+
+def _word_pairs(exchanged: np.ndarray, classes: int, parts: int):
+    """Counts of word pairs in a block's learned documents, by the part of each exchanged word.
+
+    Words are numbers: those of the exchanged ones, then one for all rare words and the end.
+    """
+    n = len(exchanged)
+    size, bounds = n + 2, _parts(n, parts)
 
     def run(key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
         _, kinds = _of_block(answers)
         row = blocks.to_pylist()[0]
-        token, kind, lengths = _stream(row, kinds)
-        before = _before(kind, lengths, classes + 1)
+        number = np.where(kinds == classes + 1, n + 1, n)
+        own = kinds < classes
+        number[own] = np.searchsorted(exchanged, np.frombuffer(row["words"], np.uint64)[own])
+        _, word, lengths = _stream(row, number)
         learned = ~np.repeat(unpack(row["held"], bool), lengths)
-        token, kind, before = token[learned], kind[learned].astype(np.int64), before[learned].astype(np.int64)
-        pairs = np.bincount(before * width + kind, minlength=width * width).tolist()
-        out: list[tuple] = [(-1, b"", b"", b"", pairs)]
-        if neighbours and len(token):
-            words = np.frombuffer(row["words"], np.uint64)
-            moved = np.flatnonzero(kinds < classes)
-            local = np.full(len(words), -1)
-            local[moved] = np.arange(len(moved))
-            me = local[token]
-            size = len(moved) * width
-            own = me >= 0
-            left = np.bincount(me[own] * width + before[own], minlength=size).astype(np.uint32).reshape(-1, width)
-            cuts = list(_cut(words[moved], shards))
-            before_packed = [pack(left[r]) for _, r in cuts]
-            del left, before
-            # A document's last token is its end, so the token after a word is in the same document.
-            own = np.flatnonzero(me[:-1] >= 0)
-            right = np.bincount(me[own] * width + kind[own + 1], minlength=size).astype(np.uint32).reshape(-1, width)
-            for (s, r), packed in zip(cuts, before_packed, strict=True):
-                out.append((s, words[moved][r].tobytes(), pack(right[r]), packed, None))
-        kinds_of = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds_of)], names=["shard", "words", "after", "before", "pairs"])
+        both = _before(word, lengths, n + 1)[learned] * size + word[learned]
+        del word, learned
+        keys, counts = np.unique(both, return_counts=True)
+        del both
+        first, second = np.divmod(keys, size)
+        none = (first >= n) & (second >= n)
+        out = [(-1, -1, *_pack_pairs(keys[none], counts[none]))]
+        for side, (own, other) in enumerate(((first, second), (second, first))):
+            k = own * size + other
+            order = np.argsort(k, kind="stable")
+            k, c = k[order], counts[order]
+            at = np.searchsorted(k, bounds * size)
+            out += [(p, side, *_pack_pairs(k[at[p] : at[p + 1]], c[at[p] : at[p + 1]])) for p in np.flatnonzero(np.diff(at)).tolist()]
+        return _pair_table(out)
+
+    return run
+
+
+def _merge_pairs(table: pa.Table) -> pa.Table:
+    """Pair counts of a part over all blocks."""
+    out = []
+    for side in sorted(set(table.column("side").to_pylist())):
+        held = [_unpack_pairs(r["keys"], r["counts"]) for r in table.to_pylist() if r["side"] == side]
+        keys, inverse = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        counts = np.bincount(inverse, weights=np.concatenate([h[1] for h in held]), minlength=len(keys)).astype(np.int64)
+        out.append((table.column("part")[0].as_py(), side, *_pack_pairs(keys, counts)))
+    return _pair_table(out)
+
+
+def _class_pairs(kind: np.ndarray, width: int):
+    """Class pairs of word pairs, each word pair once."""
+    size = len(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width * width, np.int64)
+        for batch in batches:
+            for r in batch.to_pylist():
+                keys, counts = _unpack_pairs(r["keys"], r["counts"])
+                a, b = np.divmod(keys, size)
+                if r["side"] == 1:  # the others are on side 0
+                    late = b >= size - 2
+                    a, b, counts = b[late], a[late], counts[late]
+                total += np.bincount(kind[a].astype(np.int64) * width + kind[b], weights=counts, minlength=width * width).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.int64()))], names=["pairs"])
 
     return run
 
@@ -248,33 +317,43 @@ def exchange(kind: np.ndarray, after: np.ndarray, before: np.ndarray, pairs: np.
     return out
 
 
-def _exchange(pairs: np.ndarray, classes: int, half: int):
-    width = classes + 2
+def likelihood(pairs: np.ndarray) -> float:
+    """Of the class bigrams over that of classes alone, in nats; what exchange raises."""
+    x = pairs.astype(float)
+    return float(_xlogx(x).sum() - _xlogx(x.sum(axis=0)).sum() - _xlogx(x.sum(axis=1)).sum() + _xlogx(x.sum()))
+
+
+MOVED = "part int, classes binary"
 
-    def run(key, shard: pa.Table, statistics: pa.Table) -> pa.Table:
-        if not shard.num_rows:
-            return _shard_table(-1, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8), width).slice(0, 0)
-        words, counts, kind = _shard_arrays(shard)
-        moved = np.flatnonzero(kind < classes)
-        after, before = np.zeros((len(moved), width), np.int64), np.zeros((len(moved), width), np.int64)
-        for blob, r, left in zip(*(statistics.column(c).to_pylist() for c in ("words", "after", "before")), strict=True):
-            at = np.searchsorted(words[moved], np.frombuffer(blob, np.uint64))
-            after[at] += unpack(r, np.uint32).reshape(-1, width)
-            before[at] += unpack(left, np.uint32).reshape(-1, width)
-        turn = np.flatnonzero((words[moved] & np.uint64(1)) == half)
-        kind = kind.copy()
-        kind[moved[turn]] = exchange(kind[moved[turn]], after[turn], before[turn], pairs, classes)
-        return _shard_table(shard.column("shard")[0].as_py(), words, counts, kind, width)
+
+def _exchange(pairs: np.ndarray, kind: np.ndarray, turn: np.ndarray, classes: int, parts: int):
+    """Classes of a part's words after one half of them was moved."""
+    width, size = classes + 2, len(kind)
+    bounds = _parts(size - 2, parts)
+
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        lo, hi = bounds[part], bounds[part + 1]
+        near = [np.zeros((hi - lo, width), np.int64), np.zeros((hi - lo, width), np.int64)]
+        for r in table.to_pylist():
+            keys, counts = _unpack_pairs(r["keys"], r["counts"])
+            own, other = np.divmod(keys, size)
+            near[r["side"]] += np.bincount((own - lo) * width + kind[other], weights=counts, minlength=(hi - lo) * width).astype(np.int64).reshape(-1, width)
+        out, own = kind[lo:hi].copy(), np.flatnonzero(turn[lo:hi])
+        out[own] = exchange(out[own], near[0][own], near[1][own], pairs, classes)
+        return pa.table([pa.array([part], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["part", "classes"])
 
     return run
 
 
-def _scores(emission: np.ndarray, transition: np.ndarray, total: int, types: int, end: int):
+def _scores(emission: np.ndarray, transition: np.ndarray, total: int, types: int, exchanged: np.ndarray, kind_of: np.ndarray, end: int):
     """Per document; emission: tokens and types of each class that share its probability."""
 
     def run(key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
         counts, kinds = _of_block(answers)
         row = blocks.to_pylist()[0]
+        own = kinds < end - 1
+        kinds[own] = kind_of[np.searchsorted(exchanged, np.frombuffer(row["words"], np.uint64)[own])]
         word = np.log10((counts + 1) / emission[kinds])
         plain = np.log10((counts + 1) / (total + types + 1))
         token, kind, lengths = _stream(row, kinds)
@@ -299,12 +378,14 @@ def _sum_of(table: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def score_documents(docs: DataFrame, held: Column, classes: int = 64, min_count: int = 50, rounds: int = 2, smoothing: float = 1.0) -> DataFrame:
+def score_documents(docs: DataFrame, held: Column, classes: int = 64, min_count: int = 50, rounds: int | None = None, smoothing: float = 1.0, tolerance: float = 0.005) -> DataFrame:
     """doc_id, held_out, tokens, known, train_tokens, base, score of every row of docs.
 
     Tokens are words (A-Z lower-cased, split at ASCII white space) and one end.  The
     model learns from the rows where `held` is false.  Words seen `min_count` times are
-    exchanged among `classes` classes; other words share one class, the end has its own,
+    exchanged among `classes` classes until PATIENCE half rounds raise the best class
+    likelihood met (see `likelihood`) by no more than `tolerance` of it; `rounds`, if given,
+    is the largest number of half rounds.  The best classes met are used.  Other words share one class, the end has its own,
     and one more word of the rare class stands for all unknown ones, so the probabilities
     of all next tokens sum to one.  `base` is the add-one unigram, `score` the class model, both
     log10.  Null and empty texts are one end; null ids are learned from; repeated rows
@@ -325,26 +406,44 @@ def score_documents(docs: DataFrame, held: Column, classes: int = 64, min_count:
         out = asked.groupBy("shard").cogroup(vocabulary.select("shard", "words", "counts", "classes").groupBy("shard")).applyInArrow(_answer(rare), ANSWER)
         return cut_lineage(out, "block-words")
 
-    def statistics(known: DataFrame, neighbours: bool) -> DataFrame:
-        columns = ["block", *(["words"] if neighbours else []), "order", "tokens", "lengths", "held"]
-        return cut_lineage(blocks.select(*columns).groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_statistics(classes, shards, neighbours), STATISTICS), "class-statistics")
-
     known = answers(vocabulary)
-    for i in range(rounds):
-        found = statistics(known, True)
-        pairs = _square(_sum_of(found.where("shard = -1"), "pairs"), width)
-        moved = vocabulary.groupBy("shard").cogroup(found.where("shard >= 0").select("shard", "words", "after", "before").groupBy("shard"))
-        vocabulary = cut_lineage(moved.applyInArrow(_exchange(pairs, classes, i % 2), VOCABULARY), "vocabulary")
-        known = answers(vocabulary)
-    pairs = _square(_sum_of(statistics(known, False), "pairs"), width)
+    listed = sorted(vocabulary.mapInArrow(_exchanged(classes), EXCHANGED).collect())
+    words, counts = (np.frombuffer(b"".join(bytes(r[c]) for r in listed), t) for c, t in (("words", np.uint64), ("counts", np.int64)))
+    parts = max(1, min(shards, len(words)))
+    own = blocks.select("block", "words", "order", "tokens", "lengths", "held").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_word_pairs(words, classes, parts), PAIRS)
+    near = cut_lineage(own.groupBy("part").applyInArrow(_merge_pairs, PAIRS), "word-pairs")
+
+    def class_pairs(kind: np.ndarray) -> np.ndarray:
+        return _square(_sum_of(near.mapInArrow(_class_pairs(kind, width), "pairs array<long>"), "pairs"), width)
+
+    kind = np.concatenate([mix(words) % np.uint64(classes), [rare, end]]).astype(np.uint8)
+    pairs = class_pairs(kind)
+    bounds, best, now = _parts(len(words), parts), (kind, pairs), pairs
+    trail = [likelihood(pairs)]
+    log.info("first classes: class likelihood %.0f", trail[0])
+    while len(words) and (rounds is None or len(trail) <= rounds):
+        moving, kind = words % np.uint64(2) == (len(trail) - 1) % 2, kind.copy()
+        for part, moved in near.where("part >= 0").groupBy("part").applyInArrow(_exchange(now, kind, moving, classes, parts), MOVED).collect():
+            kind[bounds[part] : bounds[part + 1]] = np.frombuffer(bytes(moved), np.uint8)
+        now = class_pairs(kind)
+        trail.append(likelihood(now))
+        log.info("half round %d: class likelihood %.0f", len(trail) - 1, trail[-1])
+        if trail[-1] > max(trail[:-1]):
+            best = kind, now
+        # Words that move at once can be in each other's way, so one lower turn is no end.
+        if len(trail) > PATIENCE and max(trail) - max(trail[:-PATIENCE]) <= tolerance * max(trail):
+            break
+    kind, pairs = best
     tokens, types = (np.pad(x := _sum_of(vocabulary, c), (0, width - len(x))) for c in ("tokens", "types"))
+    tokens[:classes] = np.bincount(kind[:-2], weights=counts, minlength=classes)
+    types[:classes] = np.bincount(kind[:-2], minlength=classes)
     total, distinct = int(tokens.sum()), int(types.sum())
     share = (tokens + 1) / (total + width)
     transition = np.log10((pairs + smoothing * share) / (pairs.sum(axis=1, keepdims=True) + smoothing))
     emission = tokens + types + (np.arange(width) == rare)
     scored = f"doc_id {id_type}, held_out boolean, tokens long, known long, base double, score double"
-    out = blocks.select("block", "order", "tokens", "lengths", "held", "ids").groupBy("block").cogroup(known.groupBy("block"))
-    out = out.applyInArrow(_scores(emission.astype(float), transition, total, distinct, end), scored)
+    out = blocks.select("block", "words", "order", "tokens", "lengths", "held", "ids").groupBy("block").cogroup(known.groupBy("block"))
+    out = out.applyInArrow(_scores(emission.astype(float), transition, total, distinct, words, kind, end), scored)
     return out.withColumn("train_tokens", F.lit(total).cast("long"))
 
 
