@@ -45,4 +45,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert len({n.split("_")[0] for n in names}) == 10 and "pipeline" in entry.queries()
+    assert len({n.split("_")[0] for n in names}) == 13 and "pipeline" in entry.queries()

@@ -13,11 +13,15 @@ from tidemark.llm.brown import brown_query
 from tidemark.llm.decontaminate import decontamination_query
 from tidemark.llm.jaccard_join import join_query
 from tidemark.llm.line_runs import line_query
+from tidemark.llm.middles import middles_query
+from tidemark.llm.more_sql import MORE_ORACLES
+from tidemark.llm.repair import repair_query
 from tidemark.llm.shards import shard_query
 from tidemark.llm.surrogates import surrogate_query
 from tidemark.llm.token_files import token_file_query
 from tidemark.llm.topk import top_k_query
 from tidemark.llm.toxicity import toxicity_query
+from tidemark.llm.url_filter import url_query
 from tidemark.sources.scratch import work_dir
 
 
@@ -81,11 +85,24 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_query(table(spark, sf_dir, "conversations"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middles_query(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_query(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_surrogates, op2_byte_bpe, op3_jaccard_join, op4_two_pass_shuffle, op5_brown_classes,
         op6_toxicity, op7_threshold_top_k, op8_line_runs, op9_token_files, op10_winnowing,
+        op11_structure_repair, op12_fill_in_middle, op13_url_filter,
     )
 }
 
@@ -146,4 +163,5 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    **MORE_ORACLES,
 }
