@@ -41,6 +41,17 @@ def test_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
     assert docs.count() == len(kept["decontamination"]) and sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(kept["byte_bpe"])
 
 
+def test_decontamination_goes_by_rows(spark, tmp_path):
+    """One hit row with a null or repeated id takes no other row along; a short item counts whole."""
+    leak = "this passage of the benchmark must never be part of any training text at all"
+    rows = [(None, f"x {leak}"), (None, "clean one"), (None, None), (7, leak), (7, "clean two"), (7, leak), (8, "it is short words here"), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, leak), (2, "Short, words"), (3, None), (None, "no such thing in any text of these")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(None, "clean one"), (None, None), (7, "clean two"), (9, "")], key=str)
+
+
 def test_registered():
     import __spark_entry__ as entry
 

@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.spans import Words, byte_table as separators, words_of
+from tidemark.llm.spans import Words, byte_table as separators, release, same_spans, words_of
 
-#: Pieces and chunks kept by a worker; a full store is emptied, so these bound memory only.
-CACHE = 100_000
-CHUNKS = 1_000_000
+#: Pieces and chunks kept by a worker, and ids and bytes of the chunks.  A full store is emptied, and so
+#: are all at the end of a task, so these bound memory only (about 40 MB).
+CACHE = 50_000
+CHUNKS = 250_000
+POOL = 2_000_000
 
 
 def byte_chars() -> list[str]:
@@ -88,7 +90,7 @@ ROWS = 1000
 
 
 class Encoder:
-    """Ids of texts; chunks met before are looked up by hash in sorted arrays."""
+    """Ids of texts; chunks met before are looked up by hash in sorted arrays, and compared byte by byte."""
 
     def __init__(self, tokenizer, pattern: str):
         self.tokenizer, self.model = tokenizer, tokenizer.model
@@ -97,12 +99,22 @@ class Encoder:
         self.pieces: dict[str, list[int]] = {}
         self._forget()
 
+    def close(self) -> None:
+        """Empty the stores; the model stays for the worker's next task."""
+        self.pieces.clear()
+        self._forget()
+        release()
+
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
+        # The chunks themselves: where each begins, how long it is, and all their bytes.
+        self.chunk_at = np.zeros(0, np.int64)
+        self.chunk_size = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
 
     def _piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
@@ -135,7 +147,9 @@ class Encoder:
         self.used += total
         return at, size
 
-    def _lookup(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _lookup(self, words: Words, lo: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each chunk (from `lo` to its word's end) begin, and how many."""
+        length = words.end - lo
         distinct, one, every = np.unique(hashes, return_index=True, return_inverse=True)
         where = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
@@ -143,24 +157,45 @@ class Encoder:
         known[inside] = self.keys[where[inside]] == distinct[inside]
         at, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
         at[known], size[known] = self.at[where[known]], self.size[where[known]]
+        # The bytes behind each distinct hash, in the store or in these texts.
+        own, stored = words.data, where[known]
+        equal = np.ones(len(hashes), bool)
+        of_store = known[every]
+        chunk_at, chunk_size = lo[one], length[one]
+        full_at, full_size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        full_at[known], full_size[known] = self.chunk_at[stored], self.chunk_size[stored]
+        for part, source, begin, much in ((of_store, self.bytes, full_at, full_size), (~of_store, own, chunk_at, chunk_size)):
+            i = np.flatnonzero(part)
+            equal[i] = much[every[i]] == length[i]
+            i = i[equal[i]]
+            equal[i] = same_spans(own, lo[i], source, begin[every[i]], length[i])
         if len(new := np.flatnonzero(~known)):
-            raw, first = words.data.tobytes(), words.first[words.row]
-            lo = words.start - (np.arange(len(words.start)) != first)  # with the space before it
-            at[new], size[new] = self._add([raw[a:b].decode() for a, b in zip(lo[one[new]].tolist(), words.end[one[new]].tolist(), strict=True)])
-            self.keys = np.insert(self.keys, where[new], distinct[new])
-            self.at, self.size = np.insert(self.at, where[new], at[new]), np.insert(self.size, where[new], size[new])
-        return at[every], size[every]
+            raw = own.tobytes()
+            at[new], size[new] = self._add([raw[a:b].decode() for a, b in zip(chunk_at[new].tolist(), (chunk_at + chunk_size)[new].tolist(), strict=True)])
+            ends = np.cumsum(chunk_size[new])
+            taken = own[np.arange(ends[-1]) + np.repeat(chunk_at[new] - ends + chunk_size[new], chunk_size[new])]
+            place = len(self.bytes) + ends - chunk_size[new]
+            self.bytes = np.concatenate([self.bytes, taken])
+            put = where[new]
+            self.keys = np.insert(self.keys, put, distinct[new])
+            self.at, self.size = np.insert(self.at, put, at[new]), np.insert(self.size, put, size[new])
+            self.chunk_at, self.chunk_size = np.insert(self.chunk_at, put, place), np.insert(self.chunk_size, put, chunk_size[new])
+        at, size = at[every], size[every]
+        if len(other := np.flatnonzero(~equal)):  # another chunk with the same hash
+            raw = own.tobytes()
+            at[other], size[other] = self._add([raw[a:b].decode() for a, b in zip(lo[other].tolist(), words.end[other].tolist(), strict=True)])
+        return at, size
 
     def column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Row ranges of a text column with their ids and each row's number of ids."""
         column = pc.fill_null(column.cast(pa.large_string()), "")
         uneven = np.asarray(pc.match_substring_regex(column, _UNEVEN))
         for lo, hi, words in words_of(column, _BLANK, PART, fold=False):
-            if len(self.keys) > CHUNKS or self.used > 8 * CHUNKS:
+            if len(self.keys) > CHUNKS or self.used > POOL or len(self.bytes) > 4 * POOL:
                 self._forget()
             rows = hi - lo
-            spaced = np.arange(len(words.start)) != words.first[words.row]
-            at, size = self._lookup(words, words.hash ^ (spaced.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D)))
+            spaced = np.arange(len(words.start)) != words.first[words.row]  # with the space before it
+            at, size = self._lookup(words, words.start - spaced, words.hash ^ (spaced.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D)))
             row = words.row
             if len(odd := np.flatnonzero(uneven[lo:hi])):
                 even = ~uneven[lo:hi][row]
@@ -182,6 +217,7 @@ def encoder(path: str, pattern: str) -> Encoder:
     if (path, pattern) not in _ENCODERS:
         made = tokenizer_from_json(path) if path.endswith(".json") else tokenizer_from_ranks(read_ranks(path), pattern)
         _ENCODERS[path, pattern] = Encoder(made, pattern)
+        release()
     return _ENCODERS[path, pattern]
 
 
@@ -280,6 +316,7 @@ def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets
                     arrays.append(pa.array([dec.raw(ids[e - i : e]) for i, e in zip(n.tolist(), ends.tolist(), strict=True)], pa.binary()))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + arrays, names=kept + names)
+        enc.close()
 
     return df.mapInArrow(run, schema)
 

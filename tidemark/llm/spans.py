@@ -2,11 +2,15 @@
 
 Texts stay UTF-8 bytes: the separators of every contract are ASCII, so byte-wise work
 is exact.  A word's hash is a polynomial over random odd byte values modulo 2**64,
-read off prefix sums, and then mixed with the word's length.
+read off prefix sums, and then mixed with the word's length.  Such polynomials collide
+on long words of a certain build (Thue-Morse), so words over LONG bytes get a
+cryptographic hash instead.
 """
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +21,8 @@ _BASE = 0x9E3779B97F4A7C15
 _UP: np.ndarray = np.ones(1, np.uint64)
 _DOWN: np.ndarray = np.ones(1, np.uint64)
 SLICE = 1 << 19
+#: Bytes up to which a word's hash is the polynomial.
+LONG = 64
 
 
 def byte_table(chars: bytes) -> np.ndarray:
@@ -74,6 +80,27 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back: workers are reused, and other stages stand beside them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc: nothing to give back by hand
+        pass
+
+
+def same_spans(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which spans of equal sizes (all over zero) hold the same bytes."""
+    if not len(size):
+        return np.zeros(0, bool)
+    kind = np.int32 if max(len(a), len(b), size.sum()) < 1 << 31 else np.int64
+    ends = np.cumsum(size)
+    first = ends - size
+    within = np.arange(ends[-1], dtype=kind)
+    differ = a[within + np.repeat((a_at - first).astype(kind), size)] != b[within + np.repeat((b_at - first).astype(kind), size)]
+    return ~np.logical_or.reduceat(differ, first)
+
+
 def slices(offsets: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `limit` bytes (a longer text stands alone)."""
     lo, n = 0, len(offsets) - 1
@@ -106,6 +133,7 @@ class Words:
         self.start = np.flatnonzero(word & (before | edge[:-1]))
         self.end = np.flatnonzero(word & (after | edge[1:])) + 1
         up, self._down = _powers(n + 1)
+        self._fold = fold
         self._sums = np.zeros(n + 1, np.uint64)
         np.cumsum((_FOLDED if fold else _VALUE)[data] * up[:n], out=self._sums[1:])
         self.row = np.searchsorted(offsets, self.start, side="right") - 1
@@ -117,7 +145,12 @@ class Words:
         """Hash of each word's first bytes, or of the word."""
         end = self.end if length is None else np.minimum(self.end, self.start + length)
         raw = (self._sums[end] - self._sums[self.start]) * self._down[self.start]
-        return mix(raw + (end - self.start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+        out = mix(raw + (end - self.start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+        for i in np.flatnonzero(end - self.start > LONG).tolist():
+            word = self.data[self.start[i] : end[i]]
+            digest = hashlib.blake2b((LOWER[word] if self._fold else word).tobytes(), digest_size=8).digest()
+            out[i] = np.frombuffer(digest, "<u8")[0]
+        return out
 
 
 def words_of(column: pa.Array, separators: np.ndarray, limit: int = SLICE, fold: bool = True) -> Iterator[tuple[int, int, Words]]:

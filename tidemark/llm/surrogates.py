@@ -43,10 +43,11 @@ def _titles(titles: tuple[str, ...]) -> str:
 _NAME = r"\p{Lu}[\p{L}\p{M}'’-]{0,40}"
 _SECRET_LEAD = rf"(?i:{'|'.join(SECRET_NAMES)})\s?[=:]\s?[\"']?"
 _TITLE_LEAD = rf"(?:{_titles(MALE_TITLES + FEMALE_TITLES)}) "
-#: One group for each of KINDS, in order.
+#: One group for each of KINDS, in order.  Every repeated group is bounded (host names have at most 127
+#: parts): the matcher recurses once per repeat.
 PATTERN = "|".join(
     (
-        r"((?<![\w.%+-])[A-Za-z0-9][\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+        r"((?<![\w.%+-])[A-Za-z0-9][\w.%+-]*@(?:[A-Za-z0-9-]+\.){1,126}[A-Za-z]{2,})",
         r"((?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w))",
         r"((?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))",
         r"((?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{10,30}(?!\w))",
@@ -251,7 +252,8 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     Phone and card numbers with other separators, names and addresses in other case, and a
     hex secret and its upper-cased form are the same entity.  Surrogates keep length classes,
     separators, country codes, check digits that were valid, script and gender.  Texts
-    without a match, and null and empty texts, stay as they are.  Null ids and repeated
+    without a match, and null and empty texts, stay as they are; very long texts are
+    searched whole.  Null ids and repeated
     rows are replaced like others.  A column called like `count` is replaced; columns
     called doc, version or pos do no harm.  The key decides all surrogates: keep it secret.
     """

@@ -41,6 +41,7 @@ def _encode(path: str, pattern: str, end_id: int):
                     names=["part", "seq", "doc_id", "n_tokens", "ids"],
                 )
                 seq += rows
+        enc.close()
 
     return run
 

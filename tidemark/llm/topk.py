@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-_HIT = "query_id long, vec_id long, score long"
+from tidemark.sources.scratch import cut_lineage
+
+_HIT = "query_id long, number long, vec_id long, score long"
 
 
 def integer_vector(vector: str, factor: int = 256) -> Column:
@@ -80,7 +82,7 @@ class Block:
 def _search_blocks(k: int, step: int):
     def run(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         if not queries.num_rows or not vectors.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "number", "vec_id", "score")})
 
         def matrix(t: pa.Table) -> np.ndarray:
             flat = t.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -88,11 +90,11 @@ def _search_blocks(k: int, step: int):
 
         block = Block(vectors.column("vec_id").to_numpy(), matrix(vectors))
         out: list[tuple[np.ndarray, ...]] = []
-        for own, query in zip(queries.column("vec_id").to_pylist(), matrix(queries), strict=True):
+        for own, number, query in zip(queries.column("vec_id").to_pylist(), queries.column("number").to_pylist(), matrix(queries), strict=True):
             rows, scores = block.search(query, own, k, step)
-            out.append((np.full(len(rows), own), block.ids[rows], scores))
+            out.append((np.full(len(rows), own), np.full(len(rows), number), block.ids[rows], scores))
         columns = [np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+        return pa.table(dict(zip(("query_id", "number", "vec_id", "score"), columns, strict=True)))
 
     return run
 
@@ -105,21 +107,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     """The k highest inner products of each query: query_id, rank (from 1), vec_id, score.
 
     Both frames have `vec_id` and `vector` (array<long>); rows with a null vector or id
-    take no part, other columns are ignored.  A query is not its own candidate; ties go
-    to the smaller id; with fewer than k candidates all are returned.  Only vectors of
+    take no part, other columns are ignored.  Repeated query rows are one query; different
+    vectors under one id are queries of their own, each with its ranks.  Rows of a query's
+    id are not its candidates; ties go to the smaller id; with fewer than k candidates all are returned.  Only vectors of
     the query's length are candidates.  Equal rows of one id count as separate
     candidates.  Scores must fit 64 bits.  Every block of queries meets every block of
     vectors; a task holds one of each.
     """
     usable = F.col("vector").isNotNull() & F.col("vec_id").isNotNull()
     vectors, queries = (t.select("vec_id", "vector").where(usable).withColumn("dims", F.size("vector")) for t in (vectors, queries))
+    # Written, so that the numbers of the queries are the same wherever they are read.
+    queries = cut_lineage(queries.distinct().withColumn("number", F.monotonically_increasing_id()), "queries")
     vector_blocks = max(1, -(-vectors.count() // block_rows))
     query_blocks = max(1, -(-queries.count() // query_rows))
     placed = vectors.select("dims", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(vector_blocks)).alias("vb"), _each(query_blocks).alias("qb"), "vec_id", "vector")
-    asked = queries.select("dims", _each(vector_blocks).alias("vb"), F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb"), "vec_id", "vector")
+    asked = queries.select("dims", _each(vector_blocks).alias("vb"), F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb"), "vec_id", "number", "vector")
     keys = ["dims", "vb", "qb"]
     hits = asked.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(_search_blocks(k, step), _HIT)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(W.partitionBy("query_id", "number").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -57,8 +57,8 @@ def _of_terms(terms: list[str]) -> list[np.ndarray]:
 
 
 def train_part(doc_id: str = "doc_id", folds: int = 5) -> Column:
-    """Rows whose labels may be learned from."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(folds)) != 0
+    """Rows whose labels may be learned from; a null id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(folds)) != 0
 
 
 @dataclass
