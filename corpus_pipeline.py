@@ -15,7 +15,7 @@ from tidemark.sources.scratch import work_dir
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows scored below a half by a classifier fitted on `labels`."""
+    """Rows scored below a half by a classifier fitted on `labels`; each row by its text alone, a null one as empty."""
     model = train(docs, table(spark, sf_dir, "labels"))
     return score(docs, model, name="__score").where(F.col("__score") < 0.5).select(*docs.columns)
 
@@ -38,13 +38,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of ten words of any benchmark item."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias("own"))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("own")), "left_anti").select(*docs.columns)
+    """Documents without a window of ten words of any benchmark item.
+
+    An item of fewer words, but not none, is one window.  Rows are judged one by one:
+    only rows equal in id and text, null or not, share a verdict.
+    """
+    key = F.sha2(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))), 256)
+    texts = docs.select(key.alias("doc_id"), "text")
+    found = contamination(texts, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias("__own")).distinct()
+    return docs.withColumn("__key", key).join(found, F.col("__key") == F.col("__own"), "left_anti").select(*docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, with a digest of them and of the bytes they decode to."""
+    """Ids of every text, with a digest of them and of the bytes they decode to; a null text has none.  Every row stays."""
     path = vocabulary("byte_bpe_50k.tiktoken")
     out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern(), decoded=True)
     return out.select("doc_id", "lang", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
