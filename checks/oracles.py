@@ -128,11 +128,11 @@ FROM good GROUP BY scenario, CAST(ms_ts AS DATE)""")
 
 add("store_counters", f"""WITH {LINES}, loads AS (
   SELECT 0 AS load, * FROM good WHERE scenario <> 'NAVIDAD' UNION ALL SELECT 1 AS load, * FROM good)
-SELECT load, count(*) AS leidos,
+SELECT load, count(*) + BAD AS leidos,
   CASE load WHEN 0 THEN count(DISTINCT event_id) ELSE count(DISTINCT CASE WHEN scenario = 'NAVIDAD' THEN event_id END) END AS insertados,
   count(*) - CASE load WHEN 0 THEN count(DISTINCT event_id) ELSE count(DISTINCT CASE WHEN scenario = 'NAVIDAD' THEN event_id END) END AS duplicados,
-  CAST(0 AS BIGINT) AS invalidos
-FROM loads GROUP BY load""")
+  BAD AS invalidos
+FROM loads GROUP BY load""".replace("BAD", "CASE load WHEN 1 THEN (SELECT count(*) FROM lines) - (SELECT count(*) FROM good) ELSE 0 END"))
 
 add("write_metrics", """SELECT 'conversion' AS metric_type, w AS window_start, w + INTERVAL 1 DAY AS window_end,
   (count(*) FILTER (WHERE event_type = 'VIEW_PRODUCT'))::DOUBLE AS views_count, (count(*) FILTER (WHERE event_type = 'PURCHASE'))::DOUBLE AS purchases_count,
@@ -279,14 +279,16 @@ TRENDS = """(SELECT s AS window_start, s + INTERVAL 1 DAY AS window_end, count(*
 FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, event_ts, TIMESTAMP '1970-01-01') - to_hours(6 * u) AS s FROM ev, (SELECT unnest([0, 1, 2, 3]) AS u)) GROUP BY s)"""
 add("trends", f"SELECT window_start, window_end, events_count, active_users, CAST(purchases_count AS BIGINT) AS purchases_count, total_revenue FROM {TRENDS}")
 
-# Append mode emits a window once the watermark (newest event minus lateness) has passed its end.
-CLOSED = "window_end <= (SELECT max(event_ts) - INTERVAL 5 SECOND FROM ev)"
 for name, source in {
-    "throughput": "throughput", "events_by_type": "events_by_type", "purchases_by_region": "purchases_by_region",
+    "throughput": "throughput", "active_users": "active_users", "events_by_type": "events_by_type", "purchases_by_region": "purchases_by_region",
     "conversion": "conversion", "trends": "trends", "top_products_viewed": "top_viewed_products", "top_products_purchased": "top_purchased_products",
 }.items():
-    ORACLES[f"stream_{name}"] = f"SELECT * FROM ({ORACLES[source]}) WHERE window_end <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)"
-ORACLES["stream_active_users"] = f"SELECT * EXCLUDE (unique_users_sample) FROM ({ORACLES['active_users']}) WHERE window_end <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)"
+    ORACLES[f"stream_{name}"] = ORACLES[source]
+# Every fifth event comes after the others; a day is closed by the newest of those, less five seconds.
+CLOSED_DAY = "w + INTERVAL 1 DAY <= (SELECT max(event_ts) - INTERVAL 5 SECOND FROM ev WHERE n % 5 <> 0)"
+add("late_rows", f"""SELECT event_id, event_type, user_id, event_ts, w AS window_start, w + INTERVAL 1 DAY AS window_end
+FROM ev WHERE n % 5 = 0 AND {CLOSED_DAY}""")
+add("throughput_without_late_rows", f"SELECT w AS window_start, count(*) AS total_events FROM ev WHERE n % 5 <> 0 OR NOT ({CLOSED_DAY}) GROUP BY w")
 
 # --- audiences ------------------------------------------------------------------------------------
 
@@ -364,7 +366,7 @@ for key in RULES:
     add(key, f"WITH {audience_sql()} {rule_select(key)}")
 add("classify_audiences", f"WITH {audience_sql()} {all_rules()}")
 ORACLES["write_audiences"] = f"SELECT * REPLACE ('ADDED' AS action, 1.0::DOUBLE AS confidence) FROM ({ORACLES['classify_audiences']})"
-ORACLES["classify_stream"] = ORACLES["classify_audiences"]
+add("classify_stream", f"""WITH {audience_sql()} SELECT * FROM ({all_rules()}) WHERE user_id IN (SELECT user_id FROM ev WHERE event_ts >= TIMESTAMP '2024-01-16 10:20:00')""")
 _before_20 = "event_ts < TIMESTAMP '2024-01-20'"
 _early = q(f"WITH {audience_sql(_before_20)} {all_rules()}")
 ORACLES["audience_changes"] = f"""WITH cur AS ({ORACLES['classify_audiences']}), prev AS (
@@ -446,8 +448,8 @@ NO_TRAFFIC = [k for k in ALERT_RULES if "traffic" not in k]
 add("upsert_alerts", f"""WITH {FACTS_ALL}, a AS ({all_alerts(NO_TRAFFIC)})
 SELECT alert_type, severity, CASE WHEN severity = 'CRITICAL' THEN current_value + 1 ELSE current_value END AS current_value, threshold_value, window_start,
   window_end + CASE WHEN severity = 'CRITICAL' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS detected_at FROM a""")
-STREAM_ALERTS = [k for k in ALERT_RULES if k != "alert_high_value_cart"]
-add("alert_stream", f"""WITH {FACTS_ALL} SELECT * EXCLUDE (window_end) FROM ({all_alerts(STREAM_ALERTS)}) WHERE {CLOSED}""")
+add("alert_stream", f"""WITH {FACTS_ALL} SELECT * EXCLUDE (window_end) FROM ({all_alerts()})""")
+ORACLES["big_cart_stream"] = ORACLES["alert_high_value_cart"]
 ALERTS = f"{FACTS_ALL}, alerts AS ({all_alerts()})"
 # --- zero filled traffic ------------------------------------------------------------------------
 

@@ -31,7 +31,7 @@ from tidemark.sources import adapter as ad
 from tidemark.sources import lines as ln
 from tidemark.sources import sinks
 from tidemark.sources.scratch import work_dir
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, windows
 
 DAY = "1 day"
 DAY_SEC = 86400
@@ -132,10 +132,12 @@ def write_event_store(spark, sf):
 
 
 def store_counters(spark, sf):
+    """Two loads; the second also brings the lines that cannot be read or checked."""
     root = work_dir(spark, "counters")
-    typed = va.enrich_latency(va.typed_events(valid_lines(spark, sf))).drop("value")
+    checked = checked_lines(spark, sf)
+    typed = va.enrich_latency(va.typed_events(checked.filter("error_reason IS NULL"))).drop("value")
     first = sinks.write_event_store(typed.filter(F.col("scenario") != "NAVIDAD"), root, 0, buckets=16)
-    second = sinks.write_event_store(typed, root, 1, buckets=16)
+    second = sinks.write_event_store(typed, root, 1, buckets=16, rejected=checked.filter("error_reason IS NOT NULL"))
     return first.withColumn("load", F.lit(0)).unionByName(second.withColumn("load", F.lit(1)))
 
 
@@ -423,18 +425,53 @@ def trends(spark, sf):
 STREAM_WINDOWS = C.Windows(*(["1 day"] * 7), trends_slide="6 hours", lateness="5 seconds")
 
 
+def in_two_files(spark, sf, first) -> str:
+    """The events table as a folder of two files, rows of `first` in the older one."""
+    path = work_dir(spark, "two-files")
+    events = ad.table(spark, sf, "events")
+    for part in (first, ~F.coalesce(first, F.lit(False))):
+        events.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def mapped_stream(spark, path, fields):
+    raw = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return ad.map_events(raw, fields)
+
+
+def halves(spark, sf, fields=ad.CORE_FIELDS):
+    """A stream of the events in two micro-batches, cut in the middle of a day and hour."""
+    return mapped_stream(spark, in_two_files(spark, sf, F.col("ts") < F.lit("2024-01-16 10:20:00").cast("timestamp_ntz")), fields)
+
+
 def metric_stream(name):
-    """The metric as an append-mode stream over the events file, drained once."""
+    """The metric as a stream in two micro-batches; the windows open at the end are written when it has drained."""
 
     def run(spark, sf):
         root = work_dir(spark, f"stream-{name}")
-        raw = spark.readStream.schema(ad.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-        jobs.run_metric(ad.map_events(raw, (*ad.CORE_FIELDS, "items")), name, root, f"{root}/cp", STREAM_WINDOWS).awaitTermination()
-        return spark.read.parquet(f"{root}/{name}").drop("batch_id")
+        jobs.run_metric(halves(spark, sf, (*ad.CORE_FIELDS, "items")), name, root, f"{root}/cp", STREAM_WINDOWS).awaitTermination()
+        rows = spark.read.parquet(f"{root}/{name}").drop("batch_id")
+        return rows.withColumn("unique_users_sample", F.array_join("unique_users_sample", ",")) if name == "active_users" else rows
 
     return run
 
 
+def late_rows(spark, sf):
+    """Every fifth event comes in a second batch; those of closed days are late."""
+    root = work_dir(spark, "late")
+    path = in_two_files(spark, sf, F.col("event_id") % 5 != 0)
+    jobs.run_metric(mapped_stream(spark, path, ad.CORE_FIELDS), "throughput", root, f"{root}/cp", STREAM_WINDOWS).awaitTermination()
+    return windows.late_rows(spark, root, "throughput").drop("batch_id")
+
+
+def throughput_without_late_rows(spark, sf):
+    """The metric of the same input: days count what came before they were closed."""
+    root = work_dir(spark, "late")
+    path = in_two_files(spark, sf, F.col("event_id") % 5 != 0)
+    jobs.run_metric(mapped_stream(spark, path, ad.CORE_FIELDS), "throughput", root, f"{root}/cp", STREAM_WINDOWS).awaitTermination()
+    return spark.read.parquet(f"{root}/throughput").select("window_start", "total_events")
+
+
 # --- audiences ----------------------------------------------------------------------------
 
 
@@ -473,10 +510,11 @@ def classify_as_of(spark, sf):
 
 
 def classify_stream(spark, sf):
+    """The newest row of every user that the second of two micro-batches evaluated, over the state of both."""
     root = work_dir(spark, "audience-stream")
-    raw = spark.readStream.schema(ad.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    jobs.classify_stream(ad.map_events(raw, ad.CORE_FIELDS), root, f"{root}/cp", AUDIENCE).awaitTermination()
-    return spark.read.parquet(f"{root}/audiences").select("user_id", "audience_type", "action", "confidence", "detected_at", "expires_at")
+    jobs.classify_stream(halves(spark, sf), root, f"{root}/cp", AUDIENCE).awaitTermination()
+    rows = spark.read.parquet(f"{root}/audiences").filter("batch_id = 1")
+    return rows.select("user_id", "audience_type", "action", "confidence", "detected_at", "expires_at")
 
 
 # --- alerts -------------------------------------------------------------------------------
@@ -513,11 +551,16 @@ def detect_alerts_zero_fill(spark, sf):
 
 def alert_stream(spark, sf):
     root = work_dir(spark, "alert-stream")
-    raw = spark.readStream.schema(ad.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    jobs.alert_stream(ad.map_events(raw, ad.CORE_FIELDS), root, f"{root}/cp", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
+    jobs.alert_stream(halves(spark, sf), root, f"{root}/cp", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
     return spark.read.parquet(f"{root}/alerts").select("alert_type", "severity", "current_value", "threshold_value", "window_start")
 
 
+def big_cart_stream(spark, sf):
+    root = work_dir(spark, "cart-stream")
+    jobs.big_cart_stream(halves(spark, sf), root, f"{root}/cp", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
+    return spark.read.parquet(f"{root}/alerts_cart").select("alert_type", "severity", "current_value", "threshold_value", "window_start", "message")
+
+
 def feed_of(spark, sf):
     return sv.alert_feed(alerts_of(spark, sf))
 
@@ -889,6 +932,8 @@ QUERIES = {
     "conversion_by_scenario": metric_by("conversion"),
     "trends": trends,
     **{f"stream_{n}": metric_stream(n) for n in C.METRIC_TOPICS},
+    "late_rows": late_rows,
+    "throughput_without_late_rows": throughput_without_late_rows,
     # audiences
     **{n: audience(n) for n in (
         "aud_compulsive", "aud_comparer", "aud_abandoned_cart", "aud_night_buyer", "aud_high_value", "aud_undecided", "aud_multi_device"
@@ -906,6 +951,7 @@ QUERIES = {
     "detect_alerts": detect_alerts,
     "detect_alerts_zero_fill": detect_alerts_zero_fill,
     "alert_stream": alert_stream,
+    "big_cart_stream": big_cart_stream,
     # serving
     "latest_metrics": latest_metrics,
     "metric_history": metric_history,

@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tests.helpers import buy, event, table
+from tests.helpers import T0, buy, event, table
 from tidemark.contract import AlertLimits
 from tidemark.operators import alerts as al
 
@@ -65,6 +66,23 @@ def test_baseline_equals_the_recursion(spark, alpha):
         level = alpha * r.eps + (1 - alpha) * level
 
 
+def test_baseline_over_many_small_blocks_and_a_tiny_alpha(spark):
+    """A block per window: 100,500 blocks, and a weight so small that the first ones still count."""
+    n, alpha = 100_500, 1e-5
+    rows = spark.range(n).select(
+        F.timestamp_add("SECOND", F.col("id") * 10, F.lit(T0).cast("timestamp_ntz")).alias("window_start"), F.pmod(F.col("id") * 7919, F.lit(101)).cast("double").alias("eps"),
+        F.when(F.col("id") % 2 == 0, "a").alias("g"),
+    )
+    got = al.eps_baseline(rows.filter("g = 'a' OR g IS NULL"), alpha=alpha, chunk="10 seconds", by=["g"]).select("g", "window_start", "eps", "baseline").toPandas()
+    assert len(got) == n
+    for _, part in got.groupby(got.g.fillna("-")):
+        level, worst = 50.0, 0.0
+        for eps, baseline in part.sort_values("window_start")[["eps", "baseline"]].itertuples(index=False):
+            worst = max(worst, abs(baseline / level - 1))
+            level = alpha * eps + (1 - alpha) * level
+        assert worst < 1e-9
+
+
 def test_zero_fill_reports_the_outage(spark):
     events = [event("SEARCH", sec=s / 20) for s in range(20 * 20)] + [event("SEARCH", sec=60)]
     c = AlertLimits(baseline_init=20.0)

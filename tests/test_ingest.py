@@ -154,6 +154,67 @@ def test_event_store_is_idempotent(spark, tmp_path):
     assert store.count() == 10 and store.select("event_id").distinct().count() == 10
 
 
+def test_event_store_after_many_batches(spark, tmp_path):
+    """Merged levels, few runs, no file of merged ones left, and every id found again."""
+    from tidemark.sources.key_index import KeyIndex
+
+    root = str(tmp_path)
+    for n in range(9):
+        e = table(spark, [event("SEARCH", sec=i) for i in range(30)]).withColumn("event_id", F.concat(F.lit(f"b{n}_"), "event_id"))
+        index = KeyIndex(spark, root, buckets=3, fan=3)
+        keys = e.select("event_id")
+        assert index.known(keys, n) is None  # new ids: the filters admit none, so no id is read
+        index.add(keys, n)
+        if n % 2:
+            index.add(keys, n)  # replayed
+        assert len(index.runs(n + 1)) <= 4
+    spark.sql(f"DROP TABLE {index.table}")  # a new session has no catalog entry, only files
+    index = KeyIndex(spark, root, buckets=3, fan=3)
+    assert [(r.level, r.rows) for r in index.runs(9)] == [(2, 270)]
+    every = spark.range(9).crossJoin(spark.range(35).withColumnRenamed("id", "i")).select(F.concat(F.lit("b"), "id", F.lit("_evt_"), "i").alias("event_id"))
+    for probes in (0, 1000):
+        found = index.known(every, 9, probes=probes)
+        assert found.count() == 270 and found.distinct().count() == 270
+    assert index.known(every.filter("event_id like 'b8%'"), 8) is None  # a replay of batch 8 must not find its own ids
+    live = {f"run={r.run}" for n in (8, 9) for r in index.runs(n)}
+    assert {p.name for p in (tmp_path / "event_ids").iterdir() if p.name.startswith("run=")} == live
+    assert len(list((tmp_path / "event_ids_manifests").iterdir())) <= 2
+
+
+def test_the_id_side_of_a_look_up_is_not_shuffled(spark, tmp_path):
+    from tidemark.sources.key_index import KeyIndex
+
+    index = KeyIndex(spark, str(tmp_path), buckets=4)
+    keys = spark.range(1000).select(F.col("id").cast("string").alias("event_id"))
+    for n in range(3):
+        index.add(keys.filter(F.col("event_id").cast("int") % 3 == n), n)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = index.known(keys, 3, probes=0)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scan = plan.index("Bucketed: true")
+        above = [line for line in plan[:scan].splitlines()]
+        join = next(i for i, line in enumerate(above) if "Join" in line)
+        right = plan.splitlines()[join:]
+        depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in right]
+        sides = [i for i, d in enumerate(depth) if i and d == min(depth[1:])]
+        assert not any("Exchange" in line for line in right[sides[-1] :]) and any("Bucketed: true" in line for line in right[sides[-1] :])
+        assert found.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_filters_admit_every_key_and_few_others(spark, tmp_path):
+    from tidemark.sources.key_index import KeyIndex
+
+    index = KeyIndex(spark, str(tmp_path), buckets=2)
+    index.add(spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("event_id")), 0)
+    tried = spark.range(40_000).select(F.concat(F.lit("k"), "id").alias("event_id"))
+    admitted = index.admitted(tried, index.runs(1)).count()
+    assert 20_000 <= admitted < 20_040
+
+
 def test_alert_upsert_keeps_the_first_row_and_the_last_value(spark):
     log = spark.createDataFrame(
         [("A", "m1", 1.0, 1, 1), ("A", "m2", 5.0, 9, 2), ("B", "m3", 2.0, 1, 2)], "alert_id string, message string, current_value double, detected_at int, batch_id int"

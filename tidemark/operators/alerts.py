@@ -6,7 +6,6 @@ baseline over the (already reduced) window rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -69,6 +68,39 @@ def window_facts(
     return facts.join(first, group, "left")
 
 
+#: Elements of a unit of the baseline's scan, and time chunks of a unit of its second level.
+UNIT_ROWS, UNIT_CHUNKS = 1024, 256
+
+
+def _scan(maps: DataFrame, unit: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Compose the linear maps b -> _d * b + _s of each unit up to each row, and (_d0, _s0) up to the one before.
+
+    Composition is associative, so ten doubling steps cover a unit; all share one
+    partitioning and order.  Nothing is divided: products may fade to zero, never overflow.
+    """
+    w = Window.partitionBy(*unit).orderBy(*order)
+    step = 1
+    while step < UNIT_ROWS:
+        maps = maps.withColumns({
+            "_d": F.col("_d") * F.lag("_d", step, 1.0).over(w),
+            "_s": F.col("_d") * F.lag("_s", step, 0.0).over(w) + F.col("_s"),
+        })
+        step *= 2
+    return maps.withColumns({"_d0": F.lag("_d", 1, 1.0).over(w), "_s0": F.lag("_s", 1, 0.0).over(w)})
+
+
+def _units(rows: DataFrame, coarse: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Number units of at most UNIT_ROWS rows inside each coarse unit."""
+    w = Window.partitionBy(*coarse).orderBy(*order)
+    return rows.withColumn(name, F.floor((F.row_number().over(w) - 1) / F.lit(UNIT_ROWS)))
+
+
+def _totals(scanned: DataFrame, unit: Sequence[str], order: Sequence[str], *more: Column) -> DataFrame:
+    """The whole map of each scanned unit: that of its last row."""
+    last = F.max_by(F.struct("_d", "_s"), F.struct(*order)).alias("_m")
+    return scanned.groupBy(*unit).agg(last, *more).withColumns({"_d": F.col("_m._d"), "_s": F.col("_m._s")}).drop("_m")
+
+
 def eps_baseline(
     windows: DataFrame,
     *,
@@ -82,46 +114,38 @@ def eps_baseline(
 ) -> DataFrame:
     """Exponential moving average *before* each window: b <- alpha * eps + (1 - alpha) * b.
 
-    With d = 1 - alpha the recursion is linear, so a stretch of n windows maps b to
-    d^n * b + s.  Each time chunk computes (n, s) and its inner prefix sums on its own;
-    only one row per chunk takes part in the sequential step.
+    Each window is a linear map of b.  Up: maps are composed inside units of a time chunk,
+    and units again inside units of 256 chunks; what is left, one map per 32 days (by
+    default) and per million windows, is folded per group.  Down: each unit's start gives
+    the starts of its parts.  All windows of a group count, whatever alpha is.
 
     init is the first baseline, or the name of a column that holds it per group (the
     level carried over from an earlier batch).
     """
-    d = 1.0 - alpha
     by = list(by)
     initial = F.col(init) if isinstance(init, str) else F.lit(float(init))
-    if d <= 0:
-        w = Window.partitionBy(*by).orderBy(order)
-        return windows.withColumn(out, F.coalesce(F.lag(value).over(w), initial))
     span = seconds_of(chunk) * 1_000_000
-    cut = windows.withColumn("_chunk", F.floor(micros(order) / F.lit(span)))
-    inside = Window.partitionBy(*by, "_chunk").orderBy(order)
-    # Prefix sums weigh x_j by d^-(j+1); blocks keep that factor inside DOUBLE range.
-    block = max(1, int(min(1000, 250 / -math.log10(d)))) if d < 1 else 1000
-    cut = cut.withColumn("_pos", F.row_number().over(inside) - 1)
-    cut = cut.withColumn("_block", F.floor(F.col("_pos") / block)).withColumn("_i", F.col("_pos") % block)
-    unit = [*by, "_chunk", "_block"]
-    step = F.col(value).cast("double") * F.lit(alpha)
-    running = Window.partitionBy(*unit).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.withColumn("_sum", F.coalesce(F.sum(step * F.pow(F.lit(d), -(F.col("_i") + 1))).over(running), F.lit(0.0)))
-    ends = cut.groupBy(*unit).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(step * F.pow(F.lit(d), -(F.col("_i") + 1))).alias("_s"),
-        F.max(initial).alias("_init"),
-    ).withColumn("_decay", F.pow(F.lit(d), F.col("_n"))).withColumn("_s", F.col("_s") * F.col("_decay"))
-    # Every block holds at least one window, so this many blocks exhaust DOUBLE precision.
-    depth = min(100_000, math.ceil(math.log(1e-18) / math.log(d))) if d < 1 else 100_000
-    past = Window.partitionBy(*by).orderBy("_chunk", "_block").rowsBetween(-depth, -1)
-    carried = F.aggregate(
-        F.collect_list(F.struct("_decay", "_s")).over(past),
-        F.col("_init"),
-        lambda b, x: x["_decay"] * b + x["_s"],
+    one, two = [*by, "_chunk", "_unit"], [*by, "_age", "_unit2"]
+    places = ["_chunk", "_unit"]
+    rows = windows.withColumns({
+        "_chunk": F.floor(micros(order) / F.lit(span)), "_d": F.lit(1.0 - alpha), "_s": F.col(value).cast("double") * F.lit(alpha),
+    })
+    rows = _scan(_units(rows, [*by, "_chunk"], [order], "_unit"), one, [order])
+    units = _totals(rows, one, [order], F.max(initial).alias("_init")).withColumn("_age", F.floor(F.col("_chunk") / F.lit(UNIT_CHUNKS)))
+    units = _scan(_units(units, [*by, "_age"], places, "_unit2"), two, places)
+    ages = _totals(units, two, places, F.max("_init").alias("_init"))
+    # One list per group, of a row per unit of the second level.
+    listed = ages.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_age", "_unit2", "_d", "_s"))).alias("_all"), F.max("_init").alias("_init"))
+    folded = F.aggregate(
+        "_all",
+        F.struct(F.col("_init").cast("double").alias("level"), F.expr("CAST(array() AS ARRAY<DOUBLE>)").alias("starts")),
+        lambda b, x: F.struct((x["_d"] * b["level"] + x["_s"]).alias("level"), F.array_append(b["starts"], b["level"]).alias("starts")),
     )
-    starts = ends.select(*unit, carried.alias("_start"))
-    level = F.pow(F.lit(d), F.col("_i")) * (F.col("_start") + F.col("_sum"))
-    return join_null_safe(cut, starts, unit).withColumn(out, level).drop("_chunk", "_block", "_pos", "_i", "_sum", "_start")
+    each = F.zip_with("_all", folded["starts"], lambda x, b: F.struct(x["_age"].alias("_age"), x["_unit2"].alias("_unit2"), b.alias("_start")))
+    starts = listed.select(*by, F.explode(each).alias("_u")).select(*by, "_u.*")
+    level = F.col("_d0") * F.col("_start") + F.col("_s0")
+    units = join_null_safe(units, starts, two).select(*one, level.alias("_start"))
+    return join_null_safe(rows, units, one).withColumn(out, level).drop("_chunk", "_unit", "_d", "_s", "_d0", "_s0", "_start")
 
 
 def alert_rows(facts: DataFrame, limits: AlertLimits, *, by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:

@@ -252,16 +252,22 @@ def prepare_history(history: DataFrame, limits: AudienceLimits, tz: str = "UTC")
     )
 
 
-def audience_facts(history: DataFrame, limits: AudienceLimits, book: RuleBook, tz: str = "UTC") -> DataFrame:
-    """One row per user with the facts of all rules."""
+def audience_facts(
+    history: DataFrame, limits: AudienceLimits, book: RuleBook, tz: str = "UTC", extra: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row per user with the facts of all rules, and `extra` aggregates."""
     facts = {name: build for rule in book.rules.values() for name, build in rule.facts.items()}
     return prepare_history(history, limits, tz).groupBy("user_id").agg(
-        F.max("now").alias("detected_at"), *[build(limits).alias(name) for name, build in facts.items()]
+        F.max("now").alias("detected_at"), *[build(limits).alias(name) for name, build in facts.items()],
+        *[col.alias(name) for name, col in (extra or {}).items()],
     )
 
 
-def apply_rules(facts: DataFrame, limits: AudienceLimits, book: RuleBook, *, flat_evidence: bool = False) -> DataFrame:
+def apply_rules(
+    facts: DataFrame, limits: AudienceLimits, book: RuleBook, *, flat_evidence: bool = False, action: Column | None = None
+) -> DataFrame:
     """Zero to many audience rows per user."""
+    action = F.lit("ADDED") if action is None else action
     hits = []
     for rule in book.rules.values():
         expires = (
@@ -275,7 +281,7 @@ def apply_rules(facts: DataFrame, limits: AudienceLimits, book: RuleBook, *, fla
                 rule.qualifies(limits),
                 F.struct(
                     F.lit(rule.name).alias("audience_type"),
-                    F.lit("ADDED").alias("action"),
+                    action.alias("action"),
                     rule.confidence(limits).cast("double").alias("confidence"),
                     (F.lit(None).cast("string") if flat_evidence else F.to_json(evidence)).alias("evidence"),
                     expires.alias("expires_at"),

@@ -11,8 +11,7 @@ from tidemark import contract as C
 from tidemark.functions.skew import tag_first
 from tidemark.operators.quality import BENCHMARK_COLUMNS
 
-ID_BUCKETS = 256
-STORE_COLUMNS = C.EVENT_FIELDS + ("kafka_topic", "kafka_partition", "kafka_offset")
+ID_BUCKETS = 32
 
 
 def batch_path(root: str, name: str, batch_id: int) -> str:
@@ -21,6 +20,9 @@ def batch_path(root: str, name: str, batch_id: int) -> str:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """A written table, or None while nothing has been written."""
+    files, at = _hadoop(spark, path)
+    if not files.exists(at):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:
@@ -29,6 +31,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object of a path, by Spark's own file layer."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a superseded table; one that is not there is fine."""
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)
+
+
+def numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers after `prefix` in the names of the folders that have been written whole."""
+    files, at = _hadoop(spark, path)
+    if not files.exists(at):
+        return []
+    found = [(s.getPath(), s.getPath().getName()) for s in files.listStatus(at)]
+    done = [n for p, n in found if n.startswith(prefix) and files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n[len(prefix) :]) for n in done)
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    return numbers(spark, path, "batch_id=")
+
+
 def by_folder(*columns: str):
     """Gather the rows of a folder before a partitioned write, splitting large folders.
 
@@ -41,38 +69,37 @@ def by_folder(*columns: str):
 # --- event store ----------------------------------------------------------------
 
 
-def event_ids(root: str) -> str:
-    return f"{root}/event_ids"
-
-
 def write_event_store(
-    events: DataFrame, root: str, batch_id: int, *, buckets: int = ID_BUCKETS, date_col: str = "event_ts"
+    events: DataFrame, root: str, batch_id: int, *, buckets: int = ID_BUCKETS, date_col: str = "event_ts", rejected: DataFrame | None = None
 ) -> DataFrame:
-    """Insert events whose event_id is new; returns the batch tagged with `stored`.
+    """Insert events whose event_id is new; returns the batch's counters.
 
-    The primary key is a separate id table in hash buckets: the anti-join reads one
-    column of the buckets the batch touches, not the store.  Both tables are written
-    under the batch id; ids of the same batch id are ignored, so a retry is a no-op.
-    With a `value` column (the raw line) the duplicates are written as dead letters too.
+    The primary key is an index of its own (`KeyIndex`): filters tell that most ids are
+    new, and what is left is looked up in buckets; neither the store nor the whole id
+    history is read.  Tables are written under the batch id; a retry is a no-op.  With a
+    `value` column (the raw line) the duplicates are written as dead letters too.
+    `rejected` are the rows of the load that could not be read or checked, for the counters.
     """
+    from tidemark.sources.key_index import KeyIndex
+
     spark = events.sparkSession
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int")
-    tagged = tag_first(events, "event_id", "arrival").withColumn("bucket", bucket)
-    known = read_table(spark, event_ids(root))
-    if known is not None:
-        old = known.filter(F.col("batch_id") < batch_id).select("bucket", F.col("event_id").alias("_key"), F.lit(True).alias("known"))
-        # Only first copies are looked up; further copies get keys of their own, so an id
-        # with very many copies does not meet in one task.
-        own = F.concat_ws("#", "event_id", F.col("arrival").cast("string"))
-        keyed = tagged.withColumn("_key", F.when(F.col("is_first"), F.col("event_id")).otherwise(own))
-        tagged = keyed.join(old, ["bucket", "_key"], "left").drop("_key")
-    else:
-        tagged = tagged.withColumn("known", F.lit(None).cast("boolean"))
-    tagged = tagged.withColumn("stored", F.col("is_first") & F.col("known").isNull()).drop("is_first", "known")
-    tagged = tagged.persist()
+    index = KeyIndex(spark, root, buckets=buckets)
+    tagged = tag_first(events, "event_id", "arrival").persist()
+    marked = None
     try:
-        if "value" in tagged.columns:
-            duplicates = tagged.filter(~F.col("stored")).select(
+        known = index.known(tagged.filter("is_first").select("event_id"), batch_id)
+        if known is None:
+            marked = tagged.withColumn("stored", F.col("is_first")).drop("is_first")
+        else:
+            # Only first copies are looked up; further copies get keys of their own, so an id
+            # with very many copies does not meet in one task.
+            own = F.concat_ws("#", "event_id", F.col("arrival").cast("string"))
+            keyed = tagged.withColumn("_key", F.when(F.col("is_first"), F.col("event_id")).otherwise(own))
+            old = known.select(F.col("event_id").alias("_key"), F.lit(True).alias("known"))
+            marked = keyed.join(old, "_key", "left").withColumn("stored", F.col("is_first") & F.col("known").isNull()).drop("is_first", "known", "_key")
+        marked = marked.persist()
+        if "value" in marked.columns:
+            duplicates = marked.filter(~F.col("stored")).select(
                 "arrival",
                 F.col("value").alias("raw_message"),
                 F.concat(F.lit("Duplicate event_id: "), F.col("event_id")).alias("error_reason"),
@@ -80,33 +107,32 @@ def write_event_store(
                 "event_id",
             )
             duplicates.write.mode("overwrite").parquet(f"{batch_path(root, 'dead_letters', batch_id)}/kind=duplicate")
-        fresh = tagged.filter("stored").drop("stored")
+        fresh = marked.filter("stored").drop("stored")
         (
-            fresh.drop("bucket", "value")
+            fresh.drop("value")
             .withColumn("event_date", F.col(date_col).cast("date"))
             .transform(by_folder("scenario", "event_date"))
             .write.mode("overwrite")
             .partitionBy("scenario", "event_date")
             .parquet(batch_path(root, "events", batch_id))
         )
-        ids = fresh.select("event_id", "bucket").transform(by_folder("bucket"))
-        ids.write.mode("overwrite").partitionBy("bucket").parquet(batch_path(root, "event_ids", batch_id))
-        counters = store_counters(tagged)
+        index.add(spark.read.schema("event_id string").parquet(batch_path(root, "events", batch_id)), batch_id)
+        counters = store_counters(marked, rejected)
         counters.write.mode("overwrite").parquet(batch_path(root, "counters", batch_id))
     finally:
         tagged.unpersist()
+        if marked is not None:
+            marked.unpersist()
     return spark.read.parquet(batch_path(root, "counters", batch_id))
 
 
-def store_counters(tagged: DataFrame) -> DataFrame:
+def store_counters(tagged: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """Read, inserted, duplicate and unreadable rows of one load."""
-    unreadable = F.col("error_reason").isNotNull() if "error_reason" in tagged.columns else F.lit(False)
-    return tagged.agg(
-        F.count(F.lit(1)).alias("leidos"),
-        F.count_if(F.col("stored") & ~unreadable).alias("insertados"),
-        F.count_if(~F.col("stored") & ~unreadable).alias("duplicados"),
-        F.count_if(unreadable).alias("invalidos"),
+    counts = tagged.agg(
+        F.count(F.lit(1)).alias("leidos"), F.count_if(F.col("stored")).alias("insertados"), F.count_if(~F.col("stored")).alias("duplicados")
     )
+    invalid = F.lit(0).cast("bigint") if rejected is None else rejected.agg(F.count(F.lit(1))).scalar()
+    return counts.select((F.col("leidos") + invalid).alias("leidos"), "insertados", "duplicados", invalid.alias("invalidos"))
 
 
 def read_event_store(spark: SparkSession, root: str) -> DataFrame:

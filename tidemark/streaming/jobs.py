@@ -1,18 +1,14 @@
 """Structured Streaming jobs.
 
-Windowed metrics run in append mode on a watermark and use the batch operators as they
-are.  Everything that must write two tables, or look at stored rows, runs in
-foreachBatch with the batch id as the write address, so a replayed batch is a no-op.
+`metric_stream` gives a metric as an append-mode stream on a watermark, for sinks of the
+caller.  The jobs that write tables run in foreachBatch with the batch id as the write
+address, so a replayed batch is a no-op; windows are kept as in `streaming/windows.py`.
 """
 
 from __future__ import annotations
 
-import json
-import sys
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -24,9 +20,8 @@ from tidemark.operators import audiences as au
 from tidemark.operators import metrics as m
 from tidemark.operators.validate import dead_letters, enrich_latency, typed_events, validate_raw_event
 from tidemark.sources import sinks
-
-# The state function travels by value, so executors need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from tidemark.streaming.history import history_rows, state_settings, user_history_stream
+from tidemark.streaming.windows import OPEN, WindowJob, alert_facts, metric_forms, run_windows
 
 
 def as_instant(events: DataFrame, ts: str = "event_ts") -> DataFrame:
@@ -62,7 +57,7 @@ def ingest_batch(lines: DataFrame, batch_id: int, root: str) -> None:
     checked = validate_raw_event(lines).persist()
     try:
         good = enrich_latency(typed_events(checked.filter(F.col("error_reason").isNull())))
-        sinks.write_event_store(good, root, batch_id)
+        sinks.write_event_store(good, root, batch_id, rejected=checked.filter(F.col("error_reason").isNotNull()))
         invalid = f"{sinks.batch_path(root, 'dead_letters', batch_id)}/kind=invalid"
         dead_letters(checked).write.mode("overwrite").parquet(invalid)
     finally:
@@ -79,8 +74,9 @@ def ingest_stream(lines: DataFrame, root: str, checkpoint: str, **how) -> Stream
 def metric_stream(events: DataFrame, name: str, windows: Windows = Windows()) -> DataFrame:
     """One metric of a stream in append mode (typed events, event_ts in UTC).
 
-    The rankings give the product rows of closed windows; the top k is cut in the sink,
-    where all rows of a window are in one batch (see write_ranking).
+    Spark drops late rows and keeps the last windows open; `run_metric` does neither.  The
+    rankings give the product rows of closed windows; the top k is for the sink to cut,
+    where all rows of a window are in one batch.
     """
     timed = as_instant(events).withWatermark("event_ts", windows.lateness)
     build = {
@@ -133,168 +129,90 @@ def _products(timed: DataFrame, w: Windows, *, viewed: bool) -> DataFrame:
     return m.flatten_window(out)
 
 
-def write_ranking(k: int, root: str, name: str) -> Callable[[DataFrame, int], None]:
-    """Sink step of the rankings: top k of every closed window."""
-    from tidemark.functions.skew import top_rows
-
-    order = ["views"] if name == "top_products_viewed" else ["units", "total_revenue"]
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        ranked = top_rows(rows, ["window_start", "window_end"], [*[F.desc(c) for c in order], F.col("product_id")], k, rank="position")
-        ranked.write.mode("overwrite").parquet(sinks.batch_path(root, name, batch_id))
-
-    return write
-
-
-def run_metric(events: DataFrame, name: str, root: str, checkpoint: str, windows: Windows = Windows(), k: int = 10, **how) -> StreamingQuery:
-    rows = metric_stream(events, name, windows)
-    if name.startswith("top_products"):
-        return for_each_batch(rows, write_ranking(k, root, name), checkpoint, **how)
-    write = lambda df, n: df.write.mode("overwrite").parquet(sinks.batch_path(root, name, n))
-    return for_each_batch(rows, write, checkpoint, **how)
-
+def run_metric(events: DataFrame, name: str, root: str, checkpoint: str, windows: Windows = Windows(), k: int = 10, **how):
+    """One metric into `root/name`: closed windows batch by batch, the open ones when a once=True run has drained.
 
-# --- audiences --------------------------------------------------------------------
-
-HISTORY_FIELDS = ("event_type", "us", "arrival", "source", "agent_profile", "product_id", "cart_id", "cents")
-HISTORY_SCHEMA = (
-    "user_id string, event_type string, us bigint, arrival bigint, source string, agent_profile string, "
-    "product_id string, cart_id string, cents bigint"
-)
-
-
-def _keep_last(rows: int):
-    """State function: the user's last `rows` events; emits them when the user is active.
-
-    Batches follow each other, and arrival orders the rows of one batch; the emitted
-    arrival is the place in the buffer, so positions may restart with every batch.
-    """
-    place = HISTORY_FIELDS.index("arrival")
-
-    def step(key, batches, state):
-        kept = json.loads(state.get[0]) if state.exists else []
-        fresh = []
-        for pdf in batches:
-            part = pdf[list(HISTORY_FIELDS)].astype(object)
-            fresh += part.where(part.notna(), None).values.tolist()
-            fresh = sorted(fresh, key=lambda r: r[place])[-rows:]
-        kept = (kept + fresh)[-rows:]
-        for i, row in enumerate(kept):
-            row[place] = i
-        state.update((json.dumps(kept),))
-        out = pd.DataFrame(kept, columns=list(HISTORY_FIELDS))
-        out.insert(0, "user_id", key[0])
-        yield out
-
-    return step
-
-
-def user_history_stream(events: DataFrame, rows: int = 500) -> DataFrame:
-    """Last `rows` events of every user active in the batch, from keyed state.
-
-    Only the buffer is Python (one Arrow batch per user); the rules stay expressions.
+    Events that come after their window was closed are kept in `root/late/name`.
     """
-    slim = au.history_columns(events).select(
-        "user_id", "event_type", micros("event_ts").alias("us"), "arrival", "source", "agent_profile", "product_id", "cart_id",
-        F.coalesce((F.col("total_amount") * 100).cast("bigint"), F.lit(0)).alias("cents"),
-    )
-    return slim.groupBy("user_id").applyInPandasWithState(
-        _keep_last(rows), HISTORY_SCHEMA, "buffer string", "append", "NoTimeout"
-    )
-
+    write = lambda rows, n: rows.write.mode("overwrite").parquet(sinks.batch_path(root, name, n))
+    job = WindowJob(metric_forms(windows, k)[name], root, name, windows.lateness, write)
+    return run_windows(events, job, checkpoint, **how)
 
-def history_rows(rows: DataFrame) -> DataFrame:
-    """Emitted history rows in the form the rules read."""
-    return rows.select(
-        "user_id", "event_type", F.timestamp_add("MICROSECOND", F.col("us"), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).alias("event_ts"),
-        "arrival", "source", "agent_profile", "product_id", "cart_id",
-        (F.col("cents") / F.lit(100)).cast("decimal(18,2)").alias("total_amount"),
-    )
 
+# --- audiences --------------------------------------------------------------------
 
 def classify_stream(
-    events: DataFrame, root: str, checkpoint: str, limits: AudienceLimits = AudienceLimits(), book: au.RuleBook | None = None, **how
+    events: DataFrame, root: str, checkpoint: str, limits: AudienceLimits = AudienceLimits(), book: au.RuleBook | None = None,
+    idle: str | None = "30 days", **how,
 ) -> StreamingQuery:
-    """Audiences of the users active in each micro-batch."""
+    """Audiences of the users active in each micro-batch.
+
+    A user without events for `idle` (by the clock; None: never) leaves the state; the
+    audiences of the last evaluation are then written once more as REMOVED.
+    """
     book = book or au.RuleBook()
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        facts = au.audience_facts(history_rows(rows), limits, book)
-        sinks.write_audiences(au.apply_rules(facts, limits, book), root, batch_id)
+        facts = au.audience_facts(history_rows(rows), limits, book, extra={"expired": F.bool_or("expired")})
+        action = F.when(F.col("expired"), "REMOVED").otherwise("ADDED")
+        sinks.write_audiences(au.apply_rules(facts, limits, book, action=action), root, batch_id)
 
-    stream = user_history_stream(events, limits.history_rows)
-    return for_each_batch(stream, write, checkpoint, **how)
+    stream = user_history_stream(events, limits.history_rows, None if idle is None else int(1000 * seconds_of(idle)))
+    with state_settings(events.sparkSession, how.get("once", True)):
+        return for_each_batch(stream, write, checkpoint, **how)
 
 
 # --- alerts -----------------------------------------------------------------------
 
 
-def closed_window_facts(events: DataFrame, limits: AlertLimits, window: str, lateness: str) -> DataFrame:
-    """Alert facts of closed windows; the first big cart is a struct minimum here, since
-    a stream cannot join two aggregates of itself in append mode without extra state."""
-    timed = as_instant(events).withWatermark("event_ts", lateness)
-    facts = al.window_facts(timed, limits, window=window, carts=False)
-    return utc_windows(facts)
-
-
 def baseline_state(spark: SparkSession, root: str, before: int, init: float) -> float:
-    """The baseline after the last batch before `before` (one stored number)."""
-    table = sinks.read_table(spark, f"{root}/baseline")
-    if table is None:
-        return init
-    last = table.filter(F.col("batch_id") < before).agg(F.max_by("baseline", "batch_id").alias("b")).first()
-    return init if last is None or last["b"] is None else float(last["b"])
+    """The baseline after the batch before `before` (one stored number)."""
+    table = sinks.read_table(spark, sinks.batch_path(root, "baseline", before - 1))
+    row = None if table is None else table.first()
+    return init if row is None or row["baseline"] is None else float(row["baseline"])
 
 
 def alert_stream(
     events: DataFrame, root: str, checkpoint: str, *, limits: AlertLimits = AlertLimits(), window: str = "10 seconds",
     lateness: str = "5 seconds", **how,
-) -> StreamingQuery:
-    """Alerts of closed windows, with the moving baseline carried across batches.
-
-    The big-cart rule needs the carts themselves; run it as `big_cart_stream`.
-    """
-    rules = [n for n in al.ALERTS if n != "HIGH_VALUE_CART"]
+):
+    """All eight alerts of closed windows (and, when drained, of open ones), with the baseline carried across batches."""
 
     def write(facts: DataFrame, batch_id: int) -> None:
         spark = facts.sparkSession
-        begin = baseline_state(spark, root, batch_id, limits.baseline_init)
+        if batch_id == OPEN:
+            done = sinks.batch_ids(spark, f"{root}/baseline")
+            begin = baseline_state(spark, root, max(done, default=-1) + 1, limits.baseline_init)
+        else:
+            begin = baseline_state(spark, root, batch_id, limits.baseline_init)
         leveled = al.eps_baseline(facts, alpha=limits.baseline_alpha, init=begin).persist()
         try:
-            a = limits.baseline_alpha
-            after = F.lit(a) * F.col("eps") + F.lit(1 - a) * F.col("baseline")
-            end = leveled.agg(F.coalesce(F.max_by(after, "window_start"), F.lit(begin)).alias("baseline"))
-            end.write.mode("overwrite").parquet(sinks.batch_path(root, "baseline", batch_id))
-            sinks.write_alerts(al.alert_rows(leveled, limits, only=rules), root, batch_id)
+            if batch_id != OPEN:
+                a = limits.baseline_alpha
+                after = F.lit(a) * F.col("eps") + F.lit(1 - a) * F.col("baseline")
+                end = leveled.agg(F.coalesce(F.max_by(after, "window_start"), F.lit(begin)).alias("baseline"))
+                end.write.mode("overwrite").parquet(sinks.batch_path(root, "baseline", batch_id))
+            sinks.write_alerts(al.alert_rows(leveled, limits), root, batch_id)
         finally:
             leveled.unpersist()
 
-    return for_each_batch(closed_window_facts(events, limits, window, lateness), write, checkpoint, **how)
+    job = WindowJob(alert_facts(limits, window), root, "alerts", lateness, write)
+    return run_windows(events, job, checkpoint, **how)
 
 
 def big_cart_stream(
     events: DataFrame, root: str, checkpoint: str, *, limits: AlertLimits = AlertLimits(), window: str = "10 seconds",
     lateness: str = "5 seconds", **how,
-) -> StreamingQuery:
-    """The first big cart of every closed window."""
-    value = F.coalesce("payload.cart_value_after", "payload.total_amount", F.lit(0)).cast("double")
-    timed = as_instant(events).withWatermark("event_ts", lateness)
-    big = timed.filter(F.col("event_type").isin("ADD_TO_CART", "PURCHASE") & (value >= limits.high_cart))
-    first = big.groupBy(F.window("event_ts", window)).agg(
-        F.min_by(F.struct(value.alias("value"), "user_id"), "arrival").alias("big_cart")
-    )
-    rows = utc_windows(m.flatten_window(first))
+):
+    """The first big cart of every window alone, for a sink of its own; `alert_stream` has it too."""
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        names = ("total_events", "purchases", "payment_fails", "searches", "cart_edits", "latency_sum", "latency_n")
-        full = df
-        for n in names:
-            full = full.withColumn(n, F.lit(0).cast("bigint"))
-        full = full.withColumn("eps", F.lit(0.0)).withColumn("baseline", F.lit(0.0)).withColumn("max_failed", F.lit(None).cast("double"))
-        found = al.alert_rows(full, limits, only=["HIGH_VALUE_CART"])
+    def write(facts: DataFrame, batch_id: int) -> None:
+        leveled = facts.withColumn("baseline", F.lit(None).cast("double"))
+        found = al.alert_rows(leveled, limits, only=["HIGH_VALUE_CART"])
         found.write.mode("overwrite").parquet(sinks.batch_path(root, "alerts_cart", batch_id))
 
-    return for_each_batch(rows, write, checkpoint, **how)
+    job = WindowJob(alert_facts(limits, window), root, "alerts_cart", lateness, write)
+    return run_windows(events, job, checkpoint, **how)
 
 
 # --- parity mode ------------------------------------------------------------------
