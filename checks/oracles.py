@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.oracle_base import at, q, sql_list
-from checks.queries import ALERT, AUDIENCE
+from checks.queries import ALERT, AUDIENCE, CROWD
 from tidemark import contract as C
 from tidemark.sources.adapter import CATEGORY_KEYS
 
@@ -298,8 +298,8 @@ SEC = lambda n: f"INTERVAL {n} SECOND"
 
 def audience_sql(where="TRUE"):
     """Facts of every user over the last rows by arrival."""
-    return f"""hist0 AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY arrival DESC) AS age FROM ev WHERE {where}
+    return f"""crowd AS (SELECT * REPLACE ('USR' || CAST(uid % {CROWD} AS VARCHAR) AS user_id) FROM ev), hist0 AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY arrival DESC) AS age FROM crowd WHERE {where}
 ), hist AS (
   SELECT *, max(event_ts) OVER (PARTITION BY user_id) AS now_ts FROM hist0 WHERE age <= {A.history_rows}
 ), carts AS (
@@ -366,7 +366,7 @@ for key in RULES:
     add(key, f"WITH {audience_sql()} {rule_select(key)}")
 add("classify_audiences", f"WITH {audience_sql()} {all_rules()}")
 ORACLES["write_audiences"] = f"SELECT * REPLACE ('ADDED' AS action, 1.0::DOUBLE AS confidence) FROM ({ORACLES['classify_audiences']})"
-add("classify_stream", f"""WITH {audience_sql()} SELECT * FROM ({all_rules()}) WHERE user_id IN (SELECT user_id FROM ev WHERE event_ts >= TIMESTAMP '2024-01-16 10:20:00')""")
+add("classify_stream", f"""WITH {audience_sql()} SELECT * FROM ({all_rules()}) WHERE user_id IN (SELECT user_id FROM crowd WHERE event_ts >= TIMESTAMP '2024-01-16 10:20:00')""")
 _before_20 = "event_ts < TIMESTAMP '2024-01-20'"
 _early = q(f"WITH {audience_sql(_before_20)} {all_rules()}")
 ORACLES["audience_changes"] = f"""WITH cur AS ({ORACLES['classify_audiences']}), prev AS (
@@ -379,13 +379,13 @@ ORACLES["audience_changes"] = f"""WITH cur AS ({ORACLES['classify_audiences']}),
   SELECT *, CASE WHEN here AND NOT there THEN 'ADDED' WHEN NOT here AND listed THEN 'REMOVED' WHEN here AND there AND (c <> pc OR d <> pd) THEN 'UPDATED' END AS action FROM j)
 SELECT user_id, audience_type, action, coalesce(c, pc) AS confidence, coalesce(d, pd) AS detected_at FROM a WHERE action IS NOT NULL"""
 
-# As of the end of every 5-day window, over the last rows so far.
+# As of the end of every ten-second window with activity, over the last rows so far.
 _asof = audience_sql().replace(
-    "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY arrival DESC) AS age FROM ev WHERE TRUE",
-    """SELECT ev.* EXCLUDE (user_id), ev.user_id || '|' || CAST(p.b AS VARCHAR) AS user_id,
-    row_number() OVER (PARTITION BY ev.user_id, p.b ORDER BY ev.event_ts DESC, ev.arrival DESC) AS age
-  FROM ev JOIN (SELECT DISTINCT user_id, epoch(event_ts)::BIGINT // 432000 AS b FROM (SELECT user_id, date_trunc('second', event_ts) AS event_ts FROM ev)) p
-    ON p.user_id = ev.user_id AND ev.event_ts < TIMESTAMP '1970-01-01' + to_seconds((p.b + 1) * 432000)""",
+    "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY arrival DESC) AS age FROM crowd WHERE TRUE",
+    """SELECT crowd.* EXCLUDE (user_id), crowd.user_id || '|' || CAST(p.b AS VARCHAR) AS user_id,
+    row_number() OVER (PARTITION BY crowd.user_id, p.b ORDER BY crowd.event_ts DESC, crowd.arrival DESC) AS age
+  FROM crowd JOIN (SELECT DISTINCT user_id, epoch(event_ts)::BIGINT // 10 AS b FROM (SELECT user_id, date_trunc('second', event_ts) AS event_ts FROM crowd)) p
+    ON p.user_id = crowd.user_id AND crowd.event_ts < TIMESTAMP '1970-01-01' + to_seconds((p.b + 1) * 10)""",
 )
 add("classify_as_of", f"WITH {_asof} SELECT split_part(user_id, '|', 1) AS user_id, audience_type, confidence, detected_at, expires_at FROM ({all_rules()})")
 

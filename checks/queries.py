@@ -37,11 +37,11 @@ DAY = "1 day"
 DAY_SEC = 86400
 
 AUDIENCE = C.AudienceLimits(
-    compulsive_purchases=2, compulsive_sec=5 * DAY_SEC, comparer_views=4, comparer_sec=7 * DAY_SEC,
-    cart_timeout_sec=2 * DAY_SEC, night_events=20, high_value_amount=300.0, high_value_sec=6 * DAY_SEC,
-    undecided_cycles=2, undecided_sec=10 * DAY_SEC, multi_device_sources=5, multi_device_sec=2 * DAY_SEC,
-    history_rows=40,
+    compulsive_sec=12 * 3600, comparer_views=3, comparer_sec=12 * 3600, cart_timeout_sec=10 * DAY_SEC, night_events=162, high_value_amount=150.0,
+    high_value_sec=DAY_SEC, undecided_cycles=2, undecided_sec=36 * 3600, multi_device_sources=4, multi_device_sec=3 * 3600,
 )
+#: Users of the audience queries: the table's users merged by a modulus, so that they have more events than a history holds.
+CROWD = 16
 ALERT = C.AlertLimits(
     payment_fail_pct=55.0, high_cart=1200.0, high_latency_ms=34000.0, critical_payment=200.0, search_min=2,
     cart_activity_min=5, spike_multiplier=1.3, spike_min_events=5, drop_multiplier=0.7, drop_min_baseline=0.1, baseline_init=1.0,
@@ -54,6 +54,11 @@ def ev(spark, sf) -> DataFrame:
     return ad.contract_events(spark, sf, ad.CORE_FIELDS)
 
 
+def crowd(events: DataFrame) -> DataFrame:
+    """Events of CROWD users, each with more than 500 of them at sf0.01."""
+    return events.withColumn("user_id", F.concat(F.lit("USR"), (F.substring("user_id", 4, 20).cast("int") % CROWD).cast("string")))
+
+
 def whole(spark, sf) -> DataFrame:
     """Events with every payload field, as the text forms need."""
     return ad.contract_events(spark, sf)
@@ -158,7 +163,7 @@ def metric_messages(spark, sf):
 
 def write_audiences(spark, sf):
     root = work_dir(spark, "audiences")
-    rows = au.classify_audiences(ev(spark, sf), limits=AUDIENCE).drop("action", "confidence")
+    rows = au.classify_audiences(crowd(ev(spark, sf)), limits=AUDIENCE).drop("action", "confidence")
     sinks.write_audiences(rows, root, 0)
     return spark.read.parquet(f"{root}/audiences").select("user_id", "audience_type", "action", "confidence", "detected_at", "expires_at")
 
@@ -477,7 +482,7 @@ def throughput_without_late_rows(spark, sf):
 
 def audience(name):
     def run(spark, sf):
-        out = getattr(au, name)(ev(spark, sf), AUDIENCE)
+        out = getattr(au, name)(crowd(ev(spark, sf)), AUDIENCE)
         cols = []
         for c, t in out.dtypes:
             cols.append(F.array_join(c, ",").alias(c) if t.startswith("array") else F.col(c))
@@ -487,7 +492,7 @@ def audience(name):
 
 
 def classified(spark, sf):
-    return au.classify_audiences(ev(spark, sf), limits=AUDIENCE)
+    return au.classify_audiences(crowd(ev(spark, sf)), limits=AUDIENCE)
 
 
 def classify_audiences(spark, sf):
@@ -496,7 +501,7 @@ def classify_audiences(spark, sf):
 
 def previous_audiences(spark, sf):
     """The evaluation as of the 20th."""
-    early = ev(spark, sf).filter(F.col("event_ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    early = crowd(ev(spark, sf)).filter(F.col("event_ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     return au.classify_audiences(early, limits=AUDIENCE)
 
 
@@ -505,14 +510,14 @@ def audience_changes(spark, sf):
 
 
 def classify_as_of(spark, sf):
-    out = asof.classify_as_of(ev(spark, sf), step="5 days", limits=AUDIENCE, segment=DAY)
+    out = asof.classify_as_of(crowd(ev(spark, sf)), limits=AUDIENCE, segment=DAY)
     return out.drop("evidence", "action")
 
 
 def classify_stream(spark, sf):
     """The newest row of every user that the second of two micro-batches evaluated, over the state of both."""
     root = work_dir(spark, "audience-stream")
-    jobs.classify_stream(halves(spark, sf), root, f"{root}/cp", AUDIENCE).awaitTermination()
+    jobs.classify_stream(crowd(halves(spark, sf)), root, f"{root}/cp", AUDIENCE).awaitTermination()
     rows = spark.read.parquet(f"{root}/audiences").filter("batch_id = 1")
     return rows.select("user_id", "audience_type", "action", "confidence", "detected_at", "expires_at")
 
