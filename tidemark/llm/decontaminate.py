@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import NOT_ALNUM, grams, mix, words_of
+from tidemark.llm.spans import NOT_ALNUM, grams, mix, releasing, words_of
 from tidemark.sources.scratch import cut_lineage
 
 #: 2**23 bits: 1 MB.
@@ -160,7 +160,7 @@ def contamination(docs: DataFrame, items: DataFrame, gram: int = 5, window: int
         have[word * 64 : word * 64 + 64] = [mask >> i & 1 for i in range(64)]
     bits = np.packbits(have).tobytes()
     docs_type = docs.schema["doc_id"].dataType.simpleString()
-    found = cut_lineage(docs.select("doc_id", "text").mapInArrow(_documents(sizes, bits, gram, window), f"row long, doc_id {docs_type}, n_words long, seeds {SEED}"), "document-fingerprints")
+    found = cut_lineage(docs.select("doc_id", "text").mapInArrow(releasing(_documents(sizes, bits, gram, window)), f"row long, doc_id {docs_type}, n_words long, seeds {SEED}"), "document-fingerprints")
     seeds = found.where(F.size("seeds") > 0).select("row", F.inline("seeds"))
     pairs = seeds.join(tests.withColumnRenamed("around", "item_around"), ["fp", "size"]).select("row", "at", "size", "around", "item_id", "item_around")
     hits = pairs.mapInArrow(_extend(gram, window), f"row long, item_id {items.schema['item_id'].dataType.simpleString()}, lo long, hi long")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.spans import SPACE, grams, mix, words_of
+from tidemark.llm.spans import SPACE, grams, mix, releasing, words_of
 from tidemark.sources.scratch import cut_lineage
 
 #: Elements of all sets that one task of the search holds.
@@ -370,7 +370,7 @@ def _search_rest(threshold: tuple[int, int]):
 
 def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, unit: int) -> DataFrame:
     """node, label of the sets (node, n, hashes) that have a link; label is the same within a component."""
-    dealt = sets.mapInArrow(_deal_sets(2 * partitions), BUCKETS)
+    dealt = sets.mapInArrow(releasing(_deal_sets(2 * partitions)), BUCKETS)
     shared = dealt.groupBy("bucket").applyInArrow(_frequencies(partitions), "part int, nodes binary, hashes binary, dfs binary")
 
     def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,13 +440,13 @@ def similar_documents(docs: DataFrame, size: int = 5, threshold: tuple[int, int]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text")
-    rows = cut_lineage(texts.mapInArrow(_nodes(size), f"doc_id {id_type}, n long, node long"), "document-sets")
-    postings = texts.mapInArrow(_prefixes(size, 2 * partitions, threshold), BUCKETS)
+    rows = cut_lineage(texts.mapInArrow(releasing(_nodes(size)), f"doc_id {id_type}, n long, node long"), "document-sets")
+    postings = texts.mapInArrow(releasing(_prefixes(size, 2 * partitions, threshold)), BUCKETS)
     shared = postings.groupBy("bucket").applyInArrow(_shared_counts, "node long, shared long").groupBy("node").agg(F.sum("shared").alias("shared"))
     nodes = cut_lineage(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "sets")
     least = f"((n * {threshold[0]} + {threshold[1] - 1}) div {threshold[1]} + 9) div 10"
     alive = nodes.join(shared, "node").where(f"shared >= {least}").select(F.col("doc_id").alias("own"), "node")
-    sets = texts.join(alive, F.col("doc_id").eqNullSafe(F.col("own"))).select("text", "node").mapInArrow(_rebuilt(size), "node long, n long, hashes binary")
+    sets = texts.join(alive, F.col("doc_id").eqNullSafe(F.col("own"))).select("text", "node").mapInArrow(releasing(_rebuilt(size)), "node long, n long, hashes binary")
     labels = linked_sets(cut_lineage(sets, "rebuilt-sets"), threshold, partitions, unit)
     named = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -89,6 +89,16 @@ def release() -> None:
         pass
 
 
+def releasing(run):
+    """An iterator function for mapInArrow that gives memory back when its task ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def same_spans(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Which spans of equal sizes (all over zero) hold the same bytes."""
     if not len(size):

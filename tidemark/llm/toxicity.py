@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import NOT_LETTER, Words, words_of
+from tidemark.llm.spans import NOT_LETTER, releasing, Words, words_of
 
 #: Interchangeable terms for groups of people; "people" is the neutral term of each.
 IDENTITY_TERMS = (
@@ -187,7 +187,7 @@ def train(
     if not ones or ones == n:
         share = (ones + 1) / (n + 2)
         return Model(empty, np.zeros(0), float(np.log(share / (1 - share))))
-    counts = rows.mapInArrow(_label_counts, "feature long, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = rows.mapInArrow(releasing(_label_counts), "feature long, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # How far a feature's share of toxic rows is from the sample's, in standard deviations.
     share = ones / n
     seen = F.col("toxic") + F.col("clean")
@@ -214,7 +214,7 @@ def score(docs: DataFrame, model: Model, column: str = "text", name: str = "scor
             found = [model.scores(words, hi - lo) for lo, hi, words in words_of(batch.column(column), NOT_LETTER)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(np.concatenate(found) if found else np.zeros(0))], names=[*kept, name])
 
-    return docs.mapInArrow(run, T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(releasing(run), T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, T.DoubleType())]))
 
 
 def toxicity_query(documents: DataFrame, labels: DataFrame) -> DataFrame:
