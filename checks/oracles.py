@@ -393,7 +393,7 @@ add("classify_as_of", f"WITH {_asof} SELECT split_part(user_id, '|', 1) AS user_
 
 L = ALERT
 FACTS = """wfacts AS (
-  SELECT {by}h AS window_start, h + INTERVAL 1 HOUR AS window_end, count(*) AS total_events, count(*) / 10.0::DOUBLE AS eps,
+  SELECT {by}h AS window_start, h + INTERVAL 1 HOUR AS window_end, count(*) AS total_events, count(*) / 3600.0::DOUBLE AS eps,
     count(*) FILTER (WHERE event_type = 'PURCHASE') AS purchases, count(*) FILTER (WHERE event_type = 'PAYMENT_FAILED') AS fails,
     CAST(max(total_amount) FILTER (WHERE event_type = 'PAYMENT_FAILED') AS DOUBLE) AS max_failed,
     count(*) FILTER (WHERE event_type = 'SEARCH') AS searches, count(*) FILTER (WHERE event_type IN ('ADD_TO_CART', 'REMOVE_FROM_CART')) AS edits,
@@ -444,18 +444,19 @@ add("eps_baseline", f"WITH {FACTS_ALL} SELECT window_start, eps, round(baseline,
 for key in ALERT_RULES:
     add(key, f"WITH {FACTS_ALL} SELECT * EXCLUDE (window_end) FROM ({alert_select(key)})")
 add("detect_alerts", f"WITH {FACTS_ALL} {all_alerts()}")
-NO_TRAFFIC = [k for k in ALERT_RULES if "traffic" not in k]
-add("upsert_alerts", f"""WITH {FACTS_ALL}, a AS ({all_alerts(NO_TRAFFIC)})
+add("upsert_alerts", f"""WITH {FACTS_ALL}, a AS ({all_alerts()})
 SELECT alert_type, severity, CASE WHEN severity = 'CRITICAL' THEN current_value + 1 ELSE current_value END AS current_value, threshold_value, window_start,
   window_end + CASE WHEN severity = 'CRITICAL' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS detected_at FROM a""")
 add("alert_stream", f"""WITH {FACTS_ALL} SELECT * EXCLUDE (window_end) FROM ({all_alerts()})""")
+add("read_alerts", f"""WITH {FACTS_ALL}, a AS ({all_alerts()})
+SELECT state, alert_type, severity, current_value, threshold_value, window_start, window_end AS detected_at FROM a, (SELECT unnest(['before', 'after']) AS state)""")
 ORACLES["big_cart_stream"] = ORACLES["alert_high_value_cart"]
 ALERTS = f"{FACTS_ALL}, alerts AS ({all_alerts()})"
 # --- zero filled traffic ------------------------------------------------------------------------
 
 QUARTERS = f"""span AS (SELECT time_bucket(INTERVAL 15 MINUTE, event_ts, TIMESTAMP '1970-01-01') AS b, arrival FROM ev),
 grid AS (SELECT unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS window_start FROM (SELECT min(b) AS lo, max(b) AS hi FROM span)),
-counted AS (SELECT window_start, count(arrival) AS total_events, count(arrival) / 10.0::DOUBLE AS eps FROM grid LEFT JOIN span ON b = window_start GROUP BY window_start),
+counted AS (SELECT window_start, count(arrival) AS total_events, count(arrival) / 900.0::DOUBLE AS eps FROM grid LEFT JOIN span ON b = window_start GROUP BY window_start),
 leveled AS (SELECT *, window_start + INTERVAL 15 MINUTE AS window_end,
   list_reduce(list_prepend({L.baseline_init}::DOUBLE, list(eps) OVER (ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
     lambda b, x: 0.1::DOUBLE * x + 0.9::DOUBLE * b) AS baseline FROM counted)"""

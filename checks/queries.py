@@ -30,7 +30,7 @@ from tidemark.plans.snapshot import dashboard_snapshot
 from tidemark.sources import adapter as ad
 from tidemark.sources import lines as ln
 from tidemark.sources import sinks
-from tidemark.sources.scratch import work_dir
+from tidemark.sources.scratch import cut_lineage, work_dir
 from tidemark.streaming import jobs, windows
 
 DAY = "1 day"
@@ -44,7 +44,7 @@ AUDIENCE = C.AudienceLimits(
 CROWD = 16
 ALERT = C.AlertLimits(
     payment_fail_pct=55.0, high_cart=1200.0, high_latency_ms=34000.0, critical_payment=200.0, search_min=2,
-    cart_activity_min=5, spike_multiplier=1.3, spike_min_events=5, drop_multiplier=0.7, drop_min_baseline=0.1, baseline_init=1.0,
+    cart_activity_min=5, spike_multiplier=1.3, spike_min_events=5, drop_multiplier=0.7, drop_min_baseline=0.001, baseline_init=0.004,
 )
 ALERT_WINDOW = "1 hour"
 HOUR = "1 hour"
@@ -170,15 +170,12 @@ def write_audiences(spark, sf):
 
 def alert_log(spark, sf):
     """The hour's alerts of two runs: the second run raises the carts of fewer hours again."""
-    first = al.detect_alerts(ev(spark, sf), limits=ALERT, window=ALERT_WINDOW, only=NON_TRAFFIC)
+    first = al.detect_alerts(ev(spark, sf), limits=ALERT, window=ALERT_WINDOW)
     second = first.withColumn("current_value", F.col("current_value") + 1).filter(F.col("severity") == "CRITICAL")
     at = lambda df, n: df.withColumn("detected_at", F.timestamp_add("HOUR", F.lit(n), F.col("window_end"))).withColumn("batch_id", F.lit(n))
     return at(first, 1).unionByName(at(second, 2))
 
 
-NON_TRAFFIC = [n for n in al.ALERTS if not n.startswith("TRAFFIC")]
-
-
 def upsert_alerts(spark, sf):
     root = work_dir(spark, "alerts")
     log = alert_log(spark, sf)
@@ -188,6 +185,18 @@ def upsert_alerts(spark, sf):
     return rows.select("alert_type", "severity", "current_value", "threshold_value", "window_start", "detected_at")
 
 
+def read_alerts(spark, sf):
+    """The logs of both alert streams read before and after a compaction."""
+    root = work_dir(spark, "alert-logs")
+    jobs.alert_stream(halves(spark, sf), root, f"{root}/cp", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
+    jobs.big_cart_stream(halves(spark, sf), root, f"{root}/cp-cart", limits=ALERT, window=ALERT_WINDOW).awaitTermination()
+    cols = ["alert_type", "severity", "current_value", "threshold_value", "window_start", "detected_at"]
+    before = cut_lineage(sinks.read_alerts(spark, root).select(F.lit("before").alias("state"), *cols), "before")
+    for name in ("alerts", "alerts_cart"):
+        sinks.compact_alerts(spark, root, name)
+    return before.unionByName(sinks.read_alerts(spark, root).select(F.lit("after").alias("state"), *cols))
+
+
 def runs_table(spark, sf):
     """One load per day and channel, counted from the events."""
     e = ev(spark, sf).withColumn("day", F.date_trunc("day", "event_ts").cast("timestamp_ntz")).withColumn("status", delivery_status())
@@ -533,14 +542,13 @@ def eps_baseline(spark, sf):
 
 def alert(name):
     def run(spark, sf):
-        return getattr(al, name)(ev(spark, sf), limits=ALERT, window=ALERT_WINDOW).drop("alert_id", "window_end")
+        return getattr(al, name)(ev(spark, sf), limits=ALERT, window=ALERT_WINDOW).drop("alert_id", "window_end", "detected_at")
 
     return run
 
 
 def alerts_of(spark, sf):
-    rows = al.detect_alerts(ev(spark, sf), limits=ALERT, window=ALERT_WINDOW)
-    return rows.withColumn("detected_at", F.col("window_end"))
+    return al.detect_alerts(ev(spark, sf), limits=ALERT, window=ALERT_WINDOW)
 
 
 def detect_alerts(spark, sf):
@@ -898,6 +906,7 @@ QUERIES = {
     "metric_messages": metric_messages,
     "write_audiences": write_audiences,
     "upsert_alerts": upsert_alerts,
+    "read_alerts": read_alerts,
     "write_runs": write_runs,
     "write_by_source": write_by_source,
     "export_alerts_csv": export_alerts_csv,

@@ -1,4 +1,5 @@
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,27 @@ def test_zero_fill_reports_the_outage(spark):
         want += eps < 0.2 * level and level > 10
         level = 0.1 * eps + 0.9 * level
     assert filled.count() == want == 5
+
+
+def test_alert_log_is_folded_without_loss(spark, tmp_path):
+    """Batches, a replayed one, open windows, and a compaction that stopped before it removed anything."""
+    from tidemark.sources import sinks
+
+    root = str(tmp_path)
+    facts = lambda sec, amount: al.detect_alerts(table(spark, [failed(amount, sec=sec)]))
+    for n, amount in enumerate((2000, 2100, 2200, 2300)):
+        both = facts(0, amount).withColumn("detected_at", F.timestamp_add("SECOND", F.lit(n), F.col("detected_at"))).unionByName(facts(100 + 10 * n, amount))
+        sinks.write_alerts(both, root, n)
+    sinks.write_alerts(facts(500, 1900), root, sinks.OPEN)
+    state = lambda: sorted((r.alert_id, r.current_value, r.detected_at, r.message) for r in sinks.read_alerts(spark, root).collect())
+    want = state()
+    assert len(want) == 6 and [x[1] for x in want if "2000.0" in x[3] and x[1] != 2000.0] == [2300.0]
+    old = tmp_path / "kept"
+    shutil.copytree(tmp_path / "alerts", old)
+    sinks.compact_alerts(spark, root)
+    assert state() == want and sorted(p.name for p in (tmp_path / "alerts").iterdir()) == ["batch_id=-1", "batch_id=3"]
+    shutil.copytree(old, tmp_path / "alerts", dirs_exist_ok=True)  # as if nothing had been removed
+    assert state() == want
+    sinks.compact_alerts(spark, root, keep=0)
+    assert state() == want
+    assert sinks.read_alerts(spark, str(tmp_path / "nothing")) is None

@@ -329,4 +329,4 @@ class AlertLimits:
     cart_activity_min: int = 22
     baseline_alpha: float = 0.1
     baseline_init: float = 50.0
-    duration_sec: float = 10.0
+    duration_sec: float | None = None  # what rates are divided by; None: the window's length, ten seconds without one

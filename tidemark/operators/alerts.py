@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contract import AlertLimits
-from tidemark.functions.expr import flatten_window, micros, ratio, seconds_of, window_keys
+from tidemark.functions.expr import flatten_window, micros, ratio, seconds_of, to_utc_ntz, window_keys
 from tidemark.functions.skew import join_null_safe
 from tidemark.sources.scratch import cut_lineage
 
@@ -54,7 +54,8 @@ def window_facts(
         F.sum("latency_ms").alias("latency_sum"),
         F.count("latency_ms").alias("latency_n"),
     )
-    facts = flatten_window(out).withColumn("eps", F.col("total_events") / F.lit(float(limits.duration_sec)))
+    seconds = limits.duration_sec or (seconds_of(window) if window else 10)
+    facts = flatten_window(out).withColumn("eps", F.col("total_events") / F.lit(float(seconds)))
     if not carts:
         return facts.withColumn("big_cart", F.lit(None).cast("struct<value: double, user_id: string>"))
     cart_value = F.coalesce("payload.cart_value_after", "payload.total_amount", F.lit(0)).cast("double")
@@ -227,6 +228,8 @@ def alert_rows(facts: DataFrame, limits: AlertLimits, *, by: Sequence[str] = (),
     return facts.withColumn("hit", F.explode(F.array_compact(F.array(*hits)))).select(
         F.concat(f("hit.prefix"), F.substring(F.sha2(identity, 256), 1, 8)).alias("alert_id"),
         "hit.alert_type", "hit.severity", "hit.message", "hit.current_value", "hit.threshold_value", *keys, *by,
+        # A window is judged when it is complete; without one, now.
+        (f("window_end") if "window_end" in keys else to_utc_ntz(F.current_timestamp())).alias("detected_at"),
     )
 
 

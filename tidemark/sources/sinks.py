@@ -199,9 +199,28 @@ def audience_messages(df: DataFrame) -> DataFrame:
     return kafka_records(audience_defaults(df), C.AUDIENCE_TOPIC, "user_id")
 
 
+#: Batch id of rows of windows that were open when a run had drained.
+OPEN = -1
+
+_LATEST = ("current_value", "detected_at")
+
+
 def write_alerts(df: DataFrame, root: str, batch_id: int) -> None:
-    """Append alerts to the alert log; `upsert_alerts` applies the upsert rule on read."""
-    df.write.mode("overwrite").parquet(batch_path(root, "alerts", batch_id))
+    """Append alerts to the alert log; `read_alerts` applies the upsert rule."""
+    df.withColumn("created_at", F.current_timestamp()).write.mode("overwrite").parquet(batch_path(root, "alerts", batch_id))
+
+
+def _folded(log: DataFrame) -> DataFrame:
+    """One row of each id: the first one, with the last value and time; and where both come from."""
+    fixed = [c for c in log.columns if c not in (*_LATEST, "alert_id", "first_batch", "last_batch")]
+    return (
+        log.groupBy("alert_id")
+        .agg(
+            F.min_by(F.struct(*fixed), "first_batch").alias("f"), F.max_by(F.struct(*_LATEST), "last_batch").alias("l"),
+            F.min("first_batch").alias("first_batch"), F.max("last_batch").alias("last_batch"),
+        )
+        .select("alert_id", "f.*", "l.*", "first_batch", "last_batch")
+    )
 
 
 def upsert_alerts(log: DataFrame, order: str = "batch_id") -> DataFrame:
@@ -209,13 +228,54 @@ def upsert_alerts(log: DataFrame, order: str = "batch_id") -> DataFrame:
 
     Merge on read: an update costs one appended row, never a rewrite of the table.
     """
-    latest = ("current_value", "detected_at")
-    fixed = [c for c in log.columns if c not in (*latest, "alert_id", order)]
-    return (
-        log.groupBy("alert_id")
-        .agg(F.min_by(F.struct(*fixed), order).alias("f"), F.max_by(F.struct(*latest), order).alias("l"))
-        .select("alert_id", "f.*", "l.*")
-    )
+    rows = log.withColumns({"first_batch": F.col(order), "last_batch": F.col(order)}).drop(order)
+    return _folded(rows).drop("first_batch", "last_batch")
+
+
+def _alert_log(spark: SparkSession, root: str, name: str) -> tuple[DataFrame | None, int]:
+    """Base and later batches of one log in the same form, and the last batch in the base."""
+    done = numbers(spark, f"{root}/{name}_base", "version=")
+    version = max(done, default=OPEN)
+    base = spark.read.parquet(f"{root}/{name}_base/version={version}") if done else None
+    log = read_table(spark, f"{root}/{name}")
+    if log is not None:
+        # Open windows are the newest; a base holds all batches up to its version, removed or not.
+        place = F.when(F.col("batch_id") == OPEN, F.lit(1 << 62)).otherwise(F.col("batch_id")).cast("bigint")
+        log = log.filter((F.col("batch_id") > version) | (F.col("batch_id") == OPEN)).withColumns({"first_batch": place, "last_batch": place}).drop("batch_id")
+    if base is None or log is None:
+        return (log if base is None else base), version
+    return base.unionByName(log, allowMissingColumns=True), version
+
+
+def read_alerts(spark: SparkSession, root: str, names: tuple[str, ...] = ("alerts", "alerts_cart")) -> DataFrame | None:
+    """Current alerts of the logs that the streams write, folded as `upsert_alerts` does."""
+    logs = [log for n in names if (log := _alert_log(spark, root, n)[0]) is not None]
+    if not logs:
+        return None
+    rows = logs[0]
+    for more in logs[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    return _folded(rows).drop("first_batch", "last_batch")
+
+
+def compact_alerts(spark: SparkSession, root: str, name: str = "alerts", keep: int = 1) -> None:
+    """Fold all but the newest `keep` batches of a log (those may still be replayed) into its base.
+
+    The base is written whole under the id of its last batch before anything is removed,
+    and readers leave out batches up to that id: an interrupted run loses and repeats nothing.
+    """
+    rows, version = _alert_log(spark, root, name)
+    ids = [n for n in batch_ids(spark, f"{root}/{name}") if n > version]
+    if len(ids) <= keep:
+        return
+    last = ids[-keep - 1] if keep else ids[-1]
+    _folded(rows.filter(F.col("last_batch") <= last)).write.mode("overwrite").parquet(f"{root}/{name}_base/version={last}")
+    for n in batch_ids(spark, f"{root}/{name}"):
+        if OPEN < n <= last:
+            remove(spark, batch_path(root, name, n))
+    for n in numbers(spark, f"{root}/{name}_base", "version="):
+        if n < last:
+            remove(spark, f"{root}/{name}_base/version={n}")
 
 
 def alert_messages(df: DataFrame) -> DataFrame:

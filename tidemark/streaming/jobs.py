@@ -209,7 +209,7 @@ def big_cart_stream(
     def write(facts: DataFrame, batch_id: int) -> None:
         leveled = facts.withColumn("baseline", F.lit(None).cast("double"))
         found = al.alert_rows(leveled, limits, only=["HIGH_VALUE_CART"])
-        found.write.mode("overwrite").parquet(sinks.batch_path(root, "alerts_cart", batch_id))
+        found.withColumn("created_at", F.current_timestamp()).write.mode("overwrite").parquet(sinks.batch_path(root, "alerts_cart", batch_id))
 
     job = WindowJob(alert_facts(limits, window), root, "alerts_cart", lateness, write)
     return run_windows(events, job, checkpoint, **how)

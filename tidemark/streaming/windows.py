@@ -30,7 +30,7 @@ from tidemark.operators import metrics as m
 from tidemark.sources import sinks
 
 #: Batch id under which the windows still open after a drained run are written.
-OPEN = -1
+OPEN = sinks.OPEN
 SPAN = ("window_start", "window_end")
 
 
