@@ -23,10 +23,10 @@ from pyspark.sql import types as T
 
 from tidemark.llm.spans import Words, byte_table as separators, release, same_spans, words_of
 
-#: Pieces and chunks kept by a worker, and ids and bytes of the chunks.  A full store is emptied, and so
-#: are all at the end of a task, so these bound memory only (about 40 MB).
+#: Pieces and chunks kept by a worker, and ids of the chunks.  A full store is emptied, so these bound
+#: memory only (about 50 MB).
 CACHE = 50_000
-CHUNKS = 250_000
+CHUNKS = 400_000
 POOL = 2_000_000
 
 
@@ -316,7 +316,7 @@ def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets
                     arrays.append(pa.array([dec.raw(ids[e - i : e]) for i, e in zip(n.tolist(), ends.tolist(), strict=True)], pa.binary()))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + arrays, names=kept + names)
-        enc.close()
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark.llm.bpe import ROWS, encoder
+from tidemark.llm.spans import release
 
 STORED = "part int, seq long, doc_id long, n_tokens long, ids array<int>"
 
@@ -41,7 +42,7 @@ def _encode(path: str, pattern: str, end_id: int):
                     names=["part", "seq", "doc_id", "n_tokens", "ids"],
                 )
                 seq += rows
-        enc.close()
+        release()
 
     return run
 
