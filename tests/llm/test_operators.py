@@ -290,7 +290,7 @@ def test_token_files_read_back(spark, docs, empty, tmp_path, encoding):
     whole = bpe.tokenizer_from_json(path)
     token_files.write_tokens(docs.repartition(5), str(tmp_path / "t"), path, pattern(), encoding=encoding)
     stored = token_files.read_tokens(spark, str(tmp_path / "t"))
-    rows = {r.doc_id: r for r in token_files.with_crc(stored).join(token_files.starts(stored), ["part", "seq"]).collect()}
+    rows = {r.doc_id: r for r in token_files.with_starts(token_files.with_crc(stored), stored).collect()}
     ids, at = {r.doc_id: r.ids for r in stored.collect()}, 0
     for i, t, *_ in corpus():
         want = [*whole.encode(t or "", add_special_tokens=False).ids, 2]

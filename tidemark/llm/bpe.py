@@ -24,10 +24,10 @@ from pyspark.sql import types as T
 from tidemark.llm.spans import Words, byte_table as separators, release, same_spans, words_of
 
 #: Pieces and chunks kept by a worker, and ids of the chunks.  A full store is emptied, so these bound
-#: memory only (about 50 MB).
+#: memory only (about 70 MB).
 CACHE = 50_000
-CHUNKS = 400_000
-POOL = 2_000_000
+CHUNKS = 800_000
+POOL = 4_000_000
 
 
 def byte_chars() -> list[str]:
@@ -55,6 +55,11 @@ def visible(raw: bytes) -> str:
     return raw.decode("latin-1").translate(TO_CHARS)
 
 
+def _visible_text(text: str) -> str:
+    """The same of a text; of printable ASCII only the space changes."""
+    return text.replace(" ", CHARS[32]) if text.isascii() and text.isprintable() else visible(text.encode())
+
+
 def tokenizer_from_ranks(ranks: dict[bytes, int], pattern: str):
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
@@ -107,29 +112,29 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
         # The chunks themselves: where each begins, how long it is, and all their bytes.
-        self.chunk_at = np.zeros(0, np.int64)
-        self.chunk_size = np.zeros(0, np.int64)
+        self.chunk_at = np.zeros(0, np.int32)
+        self.chunk_size = np.zeros(0, np.int32)
         self.bytes = np.zeros(0, np.uint8)
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str, keep: bool = True) -> list[int]:
         found = self.pieces.get(piece)
         if found is None:
-            found = [t.id for t in self.model.tokenize(visible(piece.encode()))]
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            if len(piece) <= 64:
+            found = [t.id for t in self.model.tokenize(_visible_text(piece))]
+            if keep and len(piece) <= 64:
+                if len(self.pieces) >= CACHE:
+                    self.pieces.clear()
                 self.pieces[piece] = found
         return found
 
     def ids(self, text: str) -> list[int]:
         """Ids of one text or chunk, each match of the pattern separately."""
         if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-            return self._piece(text)
+            return self._piece(text, keep=False)  # the chunk is kept as a whole
         out: list[int] = []
         for piece in self.pattern.findall(text):
             out += self._piece(piece)

@@ -3,7 +3,7 @@
 Files hold consecutive ranges of documents in ascending order.  Ids are a list column
 in pages with dictionary or delta encoding; counts and offsets are plain columns
 beside it, so metadata can be read without the ids, and the page indexes let a reader
-skip to some documents.
+skip to some documents.  `before` counts the ids of the documents before it in its part.
 """
 
 from __future__ import annotations
@@ -21,14 +21,14 @@ from pyspark.sql import Window as W
 from tidemark.llm.bpe import ROWS, encoder
 from tidemark.llm.spans import release
 
-STORED = "part int, seq long, doc_id long, n_tokens long, ids array<int>"
+STORED = "part int, before long, doc_id long, n_tokens long, ids array<int>"
 
 
 def _encode(path: str, pattern: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seq, enc = TaskContext.get().partitionId(), 0, encoder(path, pattern)
+        part, before, enc = TaskContext.get().partitionId(), 0, encoder(path, pattern)
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             for lo, hi, ids, n in enc.column(batch.column("text")):
                 ends = np.cumsum(n)
@@ -37,11 +37,11 @@ def _encode(path: str, pattern: str, end_id: int):
                 at = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 rows = hi - lo
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(rows, part, np.int32)), pa.array(np.arange(seq, seq + rows)), batch.column("doc_id").slice(lo, rows), pa.array(n),
+                    [pa.array(np.full(rows, part, np.int32)), pa.array(before + at[:-1].astype(np.int64)), batch.column("doc_id").slice(lo, rows), pa.array(n),
                      pa.ListArray.from_arrays(pa.array(at), pa.array(closed))],
-                    names=["part", "seq", "doc_id", "n_tokens", "ids"],
+                    names=["part", "before", "doc_id", "n_tokens", "ids"],
                 )
-                seq += rows
+                before += len(closed)
         release()
 
     return run
@@ -68,16 +68,16 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).parquet(path)
 
 
-def starts(stored: DataFrame) -> DataFrame:
-    """part, seq and start (ids of all documents before) from the metadata columns alone.
+def with_starts(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of stored documents with `start` (ids of all documents before) in place of part and before.
 
-    The sums run inside each part; only one row for each part meets in one task.
+    Files hold the sums inside each part; one row for each part, read from the metadata
+    columns alone, meets in one task for the parts' own starts.
     """
-    meta = stored.select("part", "seq", "n_tokens")
-    before = F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    parts = meta.groupBy("part").agg(F.sum("n_tokens").alias("total")).select("part", F.coalesce(before, F.lit(0)).alias("before"))
-    inside = F.coalesce(F.sum("n_tokens").over(W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return meta.select("part", "seq", inside.alias("inside")).join(parts, "part").select("part", "seq", (F.col("before") + F.col("inside")).alias("start"))
+    earlier = F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    parts = stored.groupBy("part").agg(F.sum("n_tokens").alias("total")).select(F.col("part").alias("__part"), F.coalesce(earlier, F.lit(0)).alias("__earlier"))
+    kept = [c for c in rows.columns if c not in ("part", "before")]
+    return rows.join(parts, F.col("part") == F.col("__part")).select(*kept, (F.col("__earlier") + F.col("before")).alias("start"))
 
 
 def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,4 +98,4 @@ def with_crc(stored: DataFrame) -> DataFrame:
 def token_file_query(documents: DataFrame, path: str, vocabulary: str, pattern: str) -> DataFrame:
     write_tokens(documents, path, vocabulary, pattern)
     stored = read_tokens(documents.sparkSession, path)
-    return with_crc(stored).join(starts(stored), ["part", "seq"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_starts(with_crc(stored), stored).select("doc_id", "start", "n_tokens", "ids_crc32")
