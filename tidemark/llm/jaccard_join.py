@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.spans import SPACE, grams, mix, releasing, words_of
+from tidemark.llm.spans import SPACE, grams, mix, releasing, releasing_groups, words_of
 from tidemark.sources.scratch import cut_lineage
 
 #: Elements of all sets that one task of the search holds.
@@ -371,7 +371,7 @@ def _search_rest(threshold: tuple[int, int]):
 def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, unit: int) -> DataFrame:
     """node, label of the sets (node, n, hashes) that have a link; label is the same within a component."""
     dealt = sets.mapInArrow(releasing(_deal_sets(2 * partitions)), BUCKETS)
-    shared = dealt.groupBy("bucket").applyInArrow(_frequencies(partitions), "part int, nodes binary, hashes binary, dfs binary")
+    shared = dealt.groupBy("bucket").applyInArrow(releasing_groups(_frequencies(partitions)), "part int, nodes binary, hashes binary, dfs binary")
 
     def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,7 +394,7 @@ def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, un
         many = F.col("blocks") > 1
         group = F.when(many, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(partitions)))
         block = F.when(many, F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks"))).otherwise(-1)
-        return table.withColumn("group", group).withColumn("block", block).groupBy("group", "block").applyInArrow(_search(threshold), FOUND)
+        return table.withColumn("group", group).withColumn("block", block).groupBy("group", "block").applyInArrow(releasing_groups(_search(threshold)), FOUND)
 
     own = members.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long"))) if large_at_all else members.withColumn("blocks", F.lit(1).cast("long"))
     found = cut_lineage(searched(own.select("component", "n", "node", "hashes", "blocks"), 0), "found-links")
@@ -442,7 +442,7 @@ def similar_documents(docs: DataFrame, size: int = 5, threshold: tuple[int, int]
     texts = docs.select("doc_id", "text")
     rows = cut_lineage(texts.mapInArrow(releasing(_nodes(size)), f"doc_id {id_type}, n long, node long"), "document-sets")
     postings = texts.mapInArrow(releasing(_prefixes(size, 2 * partitions, threshold)), BUCKETS)
-    shared = postings.groupBy("bucket").applyInArrow(_shared_counts, "node long, shared long").groupBy("node").agg(F.sum("shared").alias("shared"))
+    shared = postings.groupBy("bucket").applyInArrow(releasing_groups(_shared_counts), "node long, shared long").groupBy("node").agg(F.sum("shared").alias("shared"))
     nodes = cut_lineage(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "sets")
     least = f"((n * {threshold[0]} + {threshold[1] - 1}) div {threshold[1]} + 9) div 10"
     alive = nodes.join(shared, "node").where(f"shared >= {least}").select(F.col("doc_id").alias("own"), "node")
