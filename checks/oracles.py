@@ -175,7 +175,7 @@ add("validate_envelope", f"SELECT n AS arrival, {ENVELOPE_REASON} AS error_reaso
 add("validate_purchase_items", f"""SELECT n AS arrival,
   CASE WHEN n % 100 IN (29, 47) THEN 'PURCHASE.items debe ser un arreglo no vacío' ELSE {ITEMS_REASON} END AS error_reason
 FROM ev WHERE event_type = 'PURCHASE' AND n % 100 NOT IN (3, 7, 11, 17, 43)""")
-add("enrich_envelope", f"""SELECT n AS arrival, CAST(36 AS BIGINT) AS id_chars, 'evt_' AS id_prefix, '1.0' AS schema_version, event_type,
+add("enrich_envelope", f"""SELECT n AS arrival, 'evt_' || substr(sha256('checks|' || CAST(n AS VARCHAR)), 1, 32) AS event_id, '1.0' AS schema_version, event_type,
   {ISO.format(n='n', t='event_ts')} AS event_timestamp, user_id, session_id, agent_profile, city, region, scenario, source, TRUE AS stamped, product_id
 FROM ev WHERE ({ENVELOPE_REASON}) IS NULL""")
 add("validate_event", f"""WITH {LINES}

@@ -136,6 +136,20 @@ def write_event_store(spark, sf):
     )
 
 
+def two_loads(spark, sf):
+    """Two loads of one path with other content: every valid line is an event of its own."""
+    root, path = work_dir(spark, "two-loads"), work_dir(spark, "load")
+    lines = ad.envelope_lines(whole(spark, sf))
+    for n in range(2):
+        lines.filter(F.col("arrival") % (1 + 2 * n) == 0).select("value").write.mode("overwrite").text(path)
+        checked = va.validate_envelope(ln.read_event_lines(spark, path))
+        events = va.parse_event_time(va.enrich_envelope(checked.filter("error_reason IS NULL")))
+        sinks.write_event_store(events, root, n, rejected=checked.filter("error_reason IS NOT NULL"))
+    counters = spark.read.parquet(f"{root}/counters").select(F.col("batch_id").cast("bigint").alias("load"), "leidos", "insertados", "duplicados", "invalidos")
+    ids = sinks.read_event_store(spark, root).agg(F.count_distinct("event_id")).scalar()
+    return counters.withColumn("ids", ids)
+
+
 def store_counters(spark, sf):
     """Two loads; the second also brings the lines that cannot be read or checked."""
     root = work_dir(spark, "counters")
@@ -292,9 +306,9 @@ def validate_purchase_items(spark, sf):
 
 def enrich_envelope(spark, sf):
     valid = va.validate_envelope(ad.envelope_lines(whole(spark, sf))).filter(F.col("error_reason").isNull())
-    out = va.enrich_envelope(valid)
+    out = va.enrich_envelope(valid, load_id="checks")
     return out.select(
-        "arrival", F.length("event_id").cast("bigint").alias("id_chars"), F.substring("event_id", 1, 4).alias("id_prefix"), "schema_version",
+        "arrival", "event_id", "schema_version",
         "event_type", "event_timestamp", "user_id", "session_id", "agent_profile", "city", "region", "scenario", "source",
         F.col("ingestion_timestamp").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}\+00:00$").alias("stamped"),
         F.get_json_object("payload", "$.product_id").alias("product_id"),
@@ -902,6 +916,7 @@ QUERIES = {
     "explode_purchase_items": explode_purchase_items,
     "write_event_store": write_event_store,
     "store_counters": store_counters,
+    "two_loads": two_loads,
     "write_metrics": write_metrics,
     "metric_messages": metric_messages,
     "write_audiences": write_audiences,

@@ -1,5 +1,6 @@
 import random
 import shutil
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,12 +99,39 @@ def test_zero_fill_reports_the_outage(spark):
     assert filled.count() == want == 5
 
 
+@pytest.mark.parametrize("alpha,low", [(0.1, 10.0), (0.001, 19.0), (1.0, 10.0), (0.0, 10.0)])
+def test_runs_of_empty_windows_equal_the_windows(spark, alpha, low):
+    """Against the recursion over every window, over several segments and groups."""
+    secs = [0, 5, 3000, 3011, 90_000, 300_007, 300_015]
+    e = table(spark, [event("SEARCH", sec=s, scenario="BASE" if s != 3011 else "NAVIDAD") for s in secs for _ in range(200)])
+    c = AlertLimits(baseline_init=20.0, baseline_alpha=alpha, drop_min_baseline=low)
+    got = sorted((r.scenario, r.window_start) for r in al.detect_alerts(e, limits=c, only=["TRAFFIC_DROP"], zero_fill=True, by=["scenario"]).collect())
+    want = []
+    for name, own in (("BASE", [s for s in secs if s != 3011]), ("NAVIDAD", [3011])):
+        level = 20.0
+        for w in range(min(own) // 10, max(own) // 10 + 1):
+            eps = 200 * sum(s // 10 == w for s in own) / 10
+            if eps < 0.2 * level and level > low:
+                want.append((name, T0 + timedelta(seconds=10 * w)))
+            level = alpha * eps + (1 - alpha) * level
+    assert got == sorted(want) and (want or alpha == 1.0)
+
+
+def test_an_event_of_1970_does_not_fill_half_a_century(spark):
+    from datetime import datetime
+
+    e = table(spark, [event("SEARCH", sec=s / 10) for s in range(400)])
+    old = e.limit(1).withColumn("event_ts", F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    found = al.detect_alerts(old.unionByName(e), limits=AlertLimits(), only=["TRAFFIC_DROP"], zero_fill=True)
+    assert 10 < found.count() < 30
+
+
 def test_alert_log_is_folded_without_loss(spark, tmp_path):
     """Batches, a replayed one, open windows, and a compaction that stopped before it removed anything."""
     from tidemark.sources import sinks
 
     root = str(tmp_path)
-    facts = lambda sec, amount: al.detect_alerts(table(spark, [failed(amount, sec=sec)]))
+    facts = lambda sec, amount: al.alert_high_value_payment_failure(table(spark, [failed(amount, sec=sec)]))
     for n, amount in enumerate((2000, 2100, 2200, 2300)):
         both = facts(0, amount).withColumn("detected_at", F.timestamp_add("SECOND", F.lit(n), F.col("detected_at"))).unionByName(facts(100 + 10 * n, amount))
         sinks.write_alerts(both, root, n)

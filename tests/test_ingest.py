@@ -103,7 +103,9 @@ def test_parse_envelope_rejects(spark):
 
 def test_enriched_event_passes_the_strict_check(spark):
     lines = spark.createDataFrame([(1, json.dumps(envelope()))], "arrival bigint, value string")
-    out = va.enrich_envelope(va.validate_envelope(lines))
+    with pytest.raises(ValueError):
+        va.enrich_envelope(va.validate_envelope(lines))
+    out = va.enrich_envelope(va.validate_envelope(lines), load_id="a load")
     row = out.first()
     assert row.event_timestamp == "2026-07-25T22:14:03.482-05:00" and row.source == "WEB" and "source_hint" not in out.columns
     doc = {k: v for k, v in row.asDict().items() if k != "arrival"}
@@ -141,6 +143,18 @@ def test_routes(spark):
     assert {r.event_type: r.topic for r in rt.route_events(e).collect()} == {"PURCHASE": "purchase-events", "X": None}
 
 
+def test_a_file_rewritten_under_its_path_is_another_load(spark, tmp_path):
+    root, file = str(tmp_path / "store"), tmp_path / "e.jsonl"
+    for n, texts in enumerate(([envelope(), envelope()], [envelope(), envelope(), envelope()])):
+        file.write_text("\n".join(json.dumps(t) + " " * n for t in texts))
+        lines = va.validate_envelope(ln.read_event_lines(spark, str(file)))
+        events = va.parse_event_time(va.enrich_envelope(lines))
+        assert sinks.write_event_store(events, root, n, buckets=2).first().insertados == n + 2
+    assert sinks.write_event_store(events, root, 2, buckets=2).first().duplicados == 3
+    kafka = va.validate_envelope(lines.drop("doc", "origin", "error_reason").withColumns({"kafka_topic": F.lit("t"), "kafka_partition": F.lit(5000), "kafka_offset": F.col("arrival")}))
+    assert va.enrich_envelope(kafka).select("event_id").distinct().count() == 3
+
+
 def test_event_store_is_idempotent(spark, tmp_path):
     root = str(tmp_path)
     e = table(spark, [event("SEARCH", sec=i) for i in range(10)])

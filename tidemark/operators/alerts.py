@@ -6,6 +6,7 @@ baseline over the (already reduced) window rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,8 @@ from tidemark.functions.expr import flatten_window, micros, ratio, seconds_of, t
 from tidemark.functions.skew import join_null_safe
 from tidemark.sources.scratch import cut_lineage
 
+SECOND = 1_000_000  # microseconds
+
 # type -> (id prefix, severity): fixed values of the alert contract.
 ALERTS = {
     "TRAFFIC_SPIKE": ("ALT_SPIKE_", "WARNING"),
@@ -112,6 +115,7 @@ def eps_baseline(
     order: str = "window_start",
     chunk: str = "3 hours",
     out: str = "baseline",
+    gap: str | None = None,
 ) -> DataFrame:
     """Exponential moving average *before* each window: b <- alpha * eps + (1 - alpha) * b.
 
@@ -121,7 +125,9 @@ def eps_baseline(
     the starts of its parts.  All windows of a group count, whatever alpha is.
 
     init is the first baseline, or the name of a column that holds it per group (the
-    level carried over from an earlier batch).
+    level carried over from an earlier batch).  gap names a column with the number of empty
+    windows before each row; a run of n of them is the map b -> (1 - alpha)^n * b, and the
+    level before the run is kept as `<out>_before_gap`.
     """
     by = list(by)
     initial = F.col(init) if isinstance(init, str) else F.lit(float(init))
@@ -129,7 +135,8 @@ def eps_baseline(
     one, two = [*by, "_chunk", "_unit"], [*by, "_age", "_unit2"]
     places = ["_chunk", "_unit"]
     rows = windows.withColumns({
-        "_chunk": F.floor(micros(order) / F.lit(span)), "_d": F.lit(1.0 - alpha), "_s": F.col(value).cast("double") * F.lit(alpha),
+        "_chunk": F.floor(micros(order) / F.lit(span)), "_s": F.col(value).cast("double") * F.lit(alpha),
+        "_d": F.lit(1.0 - alpha) if gap is None else F.pow(F.lit(1.0 - alpha), F.col(gap) + 1),
     })
     rows = _scan(_units(rows, [*by, "_chunk"], [order], "_unit"), one, [order])
     units = _totals(rows, one, [order], F.max(initial).alias("_init")).withColumn("_age", F.floor(F.col("_chunk") / F.lit(UNIT_CHUNKS)))
@@ -146,7 +153,10 @@ def eps_baseline(
     starts = listed.select(*by, F.explode(each).alias("_u")).select(*by, "_u.*")
     level = F.col("_d0") * F.col("_start") + F.col("_s0")
     units = join_null_safe(units, starts, two).select(*one, level.alias("_start"))
-    return join_null_safe(rows, units, one).withColumn(out, level).drop("_chunk", "_unit", "_d", "_s", "_d0", "_s0", "_start")
+    rows = join_null_safe(rows, units, one).withColumn(out, level).drop("_chunk", "_unit", "_d", "_s", "_d0", "_s0", "_start")
+    if gap is not None:
+        rows = rows.withColumns({f"{out}_before_gap": F.col(out), out: F.col(out) * F.pow(F.lit(1.0 - alpha), F.col(gap))})
+    return rows
 
 
 def alert_rows(facts: DataFrame, limits: AlertLimits, *, by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:
@@ -244,38 +254,72 @@ def detect_alerts(
 ) -> DataFrame:
     """All alert rules over every non-empty window.
 
-    zero_fill also evaluates windows without events between the first and the last
-    one (the default, like the stream it models, never sees an empty window).
+    zero_fill also judges the traffic of windows without events between the first and the
+    last one (the default, like the stream it models, never sees an empty window).  They
+    are kept as runs and made one by one only where a drop is reported.
     """
     names = list(only or ALERTS)
     facts = window_facts(events, limits, window=window, by=by, carts="HIGH_VALUE_CART" in names)
-    if zero_fill:
-        facts = fill_windows(facts, window, by)
-    if any(n.startswith("TRAFFIC") for n in names):
-        # The baseline reads the window rows twice; one small written table (a row per
-        # window) keeps that from being two scans of the events.
-        facts = eps_baseline(cut_lineage(facts, "window-facts"), **_levels(limits, by))
-    else:
-        facts = facts.withColumn("baseline", F.lit(None).cast("double"))
-    return alert_rows(facts, limits, by=by, only=names)
-
-
-def _levels(limits: AlertLimits, by: Sequence[str]) -> dict:
-    return dict(alpha=limits.baseline_alpha, init=limits.baseline_init, by=by)
-
-
-def fill_windows(facts: DataFrame, window: str, by: Sequence[str]) -> DataFrame:
-    """Add zero rows for missing windows between consecutive non-empty ones."""
-    w = Window.partitionBy(*by).orderBy("window_start")
-    step = F.expr(f"INTERVAL {window}")
-    gap = facts.withColumn("_next", F.lead("window_start").over(w))
-    holes = gap.filter(F.col("_next") > F.col("window_end")).select(
-        *by, F.explode(F.sequence("window_end", F.col("_next") - step, step)).alias("window_start")
-    )
-    zeros = holes.withColumn("window_end", F.col("window_start") + step)
+    traffic = any(n.startswith("TRAFFIC") for n in names)
+    if not traffic:
+        return alert_rows(facts.withColumn("baseline", F.lit(None).cast("double")), limits, by=by, only=names)
+    levels = dict(alpha=limits.baseline_alpha, init=limits.baseline_init, by=by)
+    # The baseline reads the window rows twice; one small written table (a row per
+    # window) keeps that from being two scans of the events.
+    facts = cut_lineage(facts, "window-facts")
+    if not zero_fill:
+        return alert_rows(eps_baseline(facts, **levels), limits, by=by, only=names)
+    leveled = eps_baseline(with_gaps(facts, window, by), **levels, gap="gap")
+    found = alert_rows(leveled, limits, by=by, only=names)
+    return found.unionByName(alert_rows(empty_windows(leveled, limits, window), limits, by=by, only=["TRAFFIC_DROP"])) if "TRAFFIC_DROP" in names else found
+
+
+def with_gaps(facts: DataFrame, window: str, by: Sequence[str] = (), segment: str = "1 day") -> DataFrame:
+    """Add the number of empty windows between each window and the non-empty one before it (0 for the first).
+
+    The window before is looked for inside time segments; only the first row of a segment
+    needs an earlier segment's last window, and one row per segment takes part in that.
+    """
+    by, step = list(by), seconds_of(window) * SECOND
+    cut = facts.withColumn("_segment", F.floor(micros("window_start") / F.lit(seconds_of(segment) * SECOND)))
+    inside = F.lag("window_end").over(Window.partitionBy(*by, "_segment").orderBy("window_start"))
+    last = cut.groupBy(*by, "_segment").agg(F.max("window_end").alias("_last"))
+    last = last.select(*by, "_segment", F.lag("_last").over(Window.partitionBy(*by).orderBy("_segment")).alias("_earlier"))
+    joined = join_null_safe(cut.withColumn("_inside", inside), last, [*by, "_segment"])
+    before = F.coalesce("_inside", "_earlier", "window_start")
+    gap = F.floor((micros("window_start") - micros(before)) / F.lit(step)).cast("bigint")
+    return joined.withColumn("gap", gap).drop("_segment", "_inside", "_earlier")
+
+
+def empty_windows(leveled: DataFrame, limits: AlertLimits, window: str) -> DataFrame:
+    """The empty windows that a traffic drop is reported for, with their baselines.
+
+    In a run of empty windows the baseline is b * (1 - alpha)^k, so the windows above the
+    limit come first; only those are made, a thousand of a run per row.
+    """
+    step, d = seconds_of(window) * SECOND, 1.0 - limits.baseline_alpha
+    if limits.drop_multiplier <= 0:
+        return leveled.limit(0)
+    b, m = F.col("baseline_before_gap"), float(limits.drop_min_baseline)
+    if d >= 1 or m <= 0:  # the baseline never falls to the limit (where it fades to zero, the rule itself drops the window)
+        reported = F.when(b > m, F.col("gap")).otherwise(0)
+    elif d <= 0:
+        reported = F.when(b > m, F.least("gap", F.lit(1))).otherwise(0)
+    else:  # one more than the logarithm says: the rule decides on the last
+        reported = F.when(b > m, F.least(F.col("gap"), F.floor(F.log(F.lit(m) / b) / F.lit(math.log(d))) + 2)).otherwise(0)
+    runs = leveled.withColumn("_n", reported.cast("bigint")).where("_n > 0")
+    parts = runs.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(1000)))))
+    in_part = F.sequence(F.col("_part") * 1000, F.least(F.col("_part") * 1000 + 999, F.col("_n") - 1))
+    rows = parts.withColumn("_k", F.explode(in_part))
+    first = micros("window_start") - F.col("gap") * F.lit(step)
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    start = F.timestamp_add("MICROSECOND", first + F.col("_k") * F.lit(step), epoch)
     counts = ["total_events", "purchases", "payment_fails", "searches", "cart_edits", "latency_n"]
-    filled = facts.unionByName(zeros, allowMissingColumns=True)
-    return filled.fillna(0, counts).fillna(0.0, ["eps"])
+    return rows.withColumns({
+        "window_start": start, "window_end": F.timestamp_add("MICROSECOND", F.lit(step), start), "baseline": b * F.pow(F.lit(d), F.col("_k")), "eps": F.lit(0.0),
+        **{c: F.lit(0).cast("bigint") for c in counts}, "latency_sum": F.lit(None).cast("bigint"), "max_failed": F.lit(None).cast("double"),
+        "big_cart": F.lit(None).cast(leveled.schema["big_cart"].dataType),
+    }).drop("_n", "_part", "_k")
 
 
 def alert_traffic_spike(events, **how):

@@ -191,14 +191,27 @@ def validate_purchase_items(lines: DataFrame, path: str = "$.event.payload.items
     return df.filter(kind == "PURCHASE").withColumn("error_reason", purchase_items_reason("doc", path))
 
 
-def enrich_envelope(valid: DataFrame, *, event_id: Column | None = None, ingestion_timestamp: Column | None = None) -> DataFrame:
+def _place(columns: list[str], load_id: str | None) -> Column:
+    """What tells one line from all lines of all loads."""
+    if {"kafka_topic", "kafka_partition", "kafka_offset"} <= set(columns):
+        return F.concat_ws("|", "kafka_topic", F.col("kafka_partition").cast("string"), F.col("kafka_offset").cast("string"))
+    load = F.lit(load_id) if load_id is not None else F.col("origin") if "origin" in columns else None
+    if load is None:
+        raise ValueError("lines without an origin or a Kafka position need a load_id, or ids of different loads would collide")
+    return F.concat_ws("|", load, F.col("arrival").cast("string"))
+
+
+def enrich_envelope(
+    valid: DataFrame, *, event_id: Column | None = None, ingestion_timestamp: Column | None = None, load_id: str | None = None
+) -> DataFrame:
     """Valid envelopes as flat 13-field events.
 
-    The default id hashes the origin (a file, if the lines have one) and the arrival
-    position, so a retried task gives the same id and another load gives others; the two
-    non-deterministic values can be passed in.
+    The default id hashes the line's place: topic, partition and offset, or the load and
+    the arrival position in it.  The load is `load_id`, else the lines' origin (the file
+    with its time of change and size).  A retried task gives the same id, another load of
+    the same path others.  The two non-deterministic values can be passed in.
     """
-    place = F.concat_ws("|", *([F.col("origin")] if "origin" in valid.columns else []), F.col("arrival").cast("string"))
+    place = None if event_id is not None else _place(valid.columns, load_id)
     event_id = event_id if event_id is not None else F.concat(
         F.lit("evt_"), F.substring(F.sha2(place, 256), 1, 32)
     )

@@ -17,13 +17,14 @@ def read_event_lines(spark: SparkSession, path: str, limit: int | None = None) -
     arrival numbers all lines from 0, blank ones included, by file path and place in the
     file: Spark packs splits by size, so its own row ids follow neither.  The lines of
     each split are counted first (no text is parsed), one row per split.  limit keeps the
-    first lines of that order.  origin is the file, so that events of different loads
-    get different ids.
+    first lines of that order.  origin is the file with its time of change and size, so
+    that events of different loads get different ids, be it of one path.
     """
     rows = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("origin"),
         F.col("_metadata.file_block_start").alias("_start"),
+        F.concat_ws("+", F.unix_micros(F.col("_metadata.file_modification_time")), F.col("_metadata.file_size")).alias("_version"),
         F.monotonically_increasing_id().alias("_row"),
     )
     split = ["origin", "_start"]
@@ -31,7 +32,7 @@ def read_event_lines(spark: SparkSession, path: str, limit: int | None = None) -
     splits = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first"))
     splits = splits.withColumn("_before", F.coalesce(before, F.lit(0)))
     place = F.col("_before") + F.col("_row") - F.col("_first")
-    numbered = rows.join(splits, split).select("value", "origin", place.alias("arrival"))
+    numbered = rows.join(splits, split).select("value", F.concat_ws("@", "origin", "_version").alias("origin"), place.alias("arrival"))
     if limit is not None:
         numbered = numbered.filter(F.col("arrival") < limit)
     return numbered.filter(F.trim("value") != "")
