@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe
@@ -11,7 +11,7 @@ from tidemark.llm.jaccard_join import similar_documents
 from tidemark.llm.line_runs import dedup_lines
 from tidemark.llm.queries import pattern, table, vocabulary
 from tidemark.llm.toxicity import score, train
-from tidemark.sources.scratch import work_dir
+from tidemark.sources.scratch import cut_lineage, work_dir
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,15 +26,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+#: Keys of at most this many rows (40 MB) go to every task; more are shuffled, with the texts.
+BROADCAST_KEYS = 200_000
+
+
+def _without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
+    """Rows whose key is not among the distinct ones of `gone` (one column, null equal to null)."""
+    gone = cut_lineage(gone.select(F.col(gone.columns[0]).alias("__gone")), "gone")
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    return docs.withColumn("__key", key).join(gone, F.col("__key").eqNullSafe(F.col("__gone")), "left_anti").select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; texts without words all stay.
 
     Rows are kept by id: rows that share the id that stays all stay, and so do rows with
     a null id if one of them stays.
     """
-    groups = similar_documents(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own"))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("own")), "left_semi").select(*docs.columns)
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = similar_documents(docs).groupBy("doc_id").agg(stays.alias("stays")).where("NOT stays").select("doc_id")
+    return _without(docs, gone, F.col("doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +56,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     only rows equal in id and text, null or not, share a verdict.
     """
     key = F.sha2(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))), 256)
-    texts = docs.select(key.alias("doc_id"), "text")
-    found = contamination(texts, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias("__own")).distinct()
-    return docs.withColumn("__key", key).join(found, F.col("__key") == F.col("__own"), "left_anti").select(*docs.columns)
+    found = contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("n_hit > 0").select("doc_id").distinct(), key)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
