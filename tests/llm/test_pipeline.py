@@ -1,5 +1,7 @@
 """The pipeline's stages, each on its own input, and the registered names."""
 
+import pytest
+
 import corpus_pipeline
 from tests.llm.test_operators import brute_components, brute_hits, brute_lines
 
@@ -41,8 +43,10 @@ def test_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
     assert docs.count() == len(kept["decontamination"]) and sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(kept["byte_bpe"])
 
 
-def test_decontamination_goes_by_rows(spark, tmp_path):
+@pytest.mark.parametrize("most", [0, 1000])
+def test_decontamination_goes_by_rows(spark, tmp_path, monkeypatch, most):
     """One hit row with a null or repeated id takes no other row along; a short item counts whole."""
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_KEYS", most)
     leak = "this passage of the benchmark must never be part of any training text at all"
     rows = [(None, f"x {leak}"), (None, "clean one"), (None, None), (7, leak), (7, "clean two"), (7, leak), (8, "it is short words here"), (9, "")]
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
@@ -52,6 +56,18 @@ def test_decontamination_goes_by_rows(spark, tmp_path):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(None, "clean one"), (None, None), (7, "clean two"), (9, "")], key=str)
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_near_duplicates_by_ids(spark, monkeypatch, most):
+    """The smallest id of a group stays, with all rows of that id; null ids are an id; texts without words stay."""
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_KEYS", most)
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(5, text), (3, text), (3, "other words altogether here now"), (9, text + " end"), (7, None), (8, ""), (None, "a text of its own words here"), (None, "a text of its own words here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(((str(r.doc_id), r.text) for r in out.collect() if r.doc_id is not None), key=lambda x: (x[0], x[1] or "")) == [("3", rows[2][1]), ("3", text), ("7", None), ("8", "")]
+
+
 def test_registered():
     import __spark_entry__ as entry
 
