@@ -275,10 +275,6 @@ def payload_ddl() -> str:
 PAYLOAD_DDL = payload_ddl()
 
 
-def topic_of_type() -> dict[str, str]:
-    return {kind: topic for topic, (_, kinds) in TOPICS.items() for kind in kinds}
-
-
 # --- Thresholds (defaults; every operator takes its own instance) ------------
 
 

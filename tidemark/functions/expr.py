@@ -117,24 +117,6 @@ def micros(ts) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), as_col(ts))
 
 
-def millis_between(start, end) -> Column:
-    return F.timestamp_diff("MILLISECOND", as_col(start), as_col(end))
-
-
-def plus_seconds(ts, seconds) -> Column:
-    amount = F.lit(seconds) if not isinstance(seconds, Column) else seconds
-    return F.timestamp_add("SECOND", amount.cast("bigint"), as_col(ts))
-
-
-def one_row(df: DataFrame, *aggs: Column) -> Column:
-    """A global aggregate as an uncorrelated scalar subquery.
-
-    Used instead of an unpartitioned window (which pulls all rows into one task)
-    and instead of a cross join with a one-row table.
-    """
-    return df.agg(*aggs).scalar()
-
-
 def fence(df: DataFrame, **cols: Column) -> DataFrame:
     """Add columns that later filters read as values instead of being copied into.
 
