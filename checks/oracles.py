@@ -369,8 +369,9 @@ ORACLES["write_audiences"] = f"SELECT * REPLACE ('ADDED' AS action, 1.0::DOUBLE
 add("classify_stream", f"""WITH {audience_sql()} SELECT * FROM ({all_rules()}) WHERE user_id IN (SELECT user_id FROM crowd WHERE event_ts >= TIMESTAMP '2024-01-16 10:20:00')""")
 _before_20 = "event_ts < TIMESTAMP '2024-01-20'"
 _early = q(f"WITH {audience_sql(_before_20)} {all_rules()}")
-ORACLES["audience_changes"] = f"""WITH cur AS ({ORACLES['classify_audiences']}), prev AS (
-  SELECT *, expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-22' AS alive FROM ({_early})
+ORACLES["audience_changes"] = f"""WITH cur AS (
+  SELECT * FROM ({ORACLES['classify_audiences']}) WHERE expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-31 06:00:00'), prev AS (
+  SELECT *, expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-31 06:00:00' AS alive FROM ({_early})
 ), j AS (
   SELECT coalesce(c.user_id, p.user_id) AS user_id, coalesce(c.audience_type, p.audience_type) AS audience_type, c.confidence AS c, c.detected_at AS d,
     p.confidence AS pc, p.detected_at AS pd, c.user_id IS NOT NULL AS here, coalesce(p.alive, FALSE) AS there, p.user_id IS NOT NULL AS listed

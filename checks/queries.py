@@ -529,7 +529,7 @@ def previous_audiences(spark, sf):
 
 
 def audience_changes(spark, sf):
-    return au.audience_changes(classified(spark, sf), previous_audiences(spark, sf), F.lit("2024-01-22").cast("timestamp_ntz"))
+    return au.audience_changes(classified(spark, sf), previous_audiences(spark, sf), F.lit("2024-01-31 06:00:00").cast("timestamp_ntz"))
 
 
 def classify_as_of(spark, sf):

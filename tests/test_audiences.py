@@ -2,6 +2,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import T0, buy, event, table
 from tidemark.contract import AudienceLimits
@@ -150,3 +151,14 @@ def test_point_in_time_matches_a_replay_with_a_small_history_cap(spark):
                     want.add((user, name, T0 + timedelta(seconds=h[1])))
     got = asof.classify_as_of(table(spark, events), step="10 minutes", limits=c).collect()
     assert {(r.user_id, r.audience_type, r.detected_at) for r in got} == want and len(want) > 100
+
+
+def test_changes_leave_out_rows_expired_on_either_side(spark):
+    from datetime import datetime
+
+    schema = "user_id string, audience_type string, confidence double, detected_at timestamp_ntz, expires_at timestamp_ntz"
+    t = lambda h: datetime(2026, 1, 1, h)
+    old = [("a", "X", 1.0, t(1), None), ("b", "X", 1.0, t(1), t(20)), ("c", "X", 1.0, t(1), t(3)), ("d", "X", 1.0, t(1), t(20)), ("e", "X", 1.0, t(1), t(20))]
+    new = [("a", "X", 1.0, t(1), None), ("b", "X", 0.5, t(2), t(21)), ("c", "X", 1.0, t(4), t(22)), ("d", "X", 1.0, t(4), t(5)), ("f", "X", 1.0, t(4), t(5)), ("g", "X", 1.0, t(4), t(22))]
+    rows = au.audience_changes(spark.createDataFrame(new, schema), spark.createDataFrame(old, schema), F.lit(t(10)).cast("timestamp_ntz")).collect()
+    assert {(r.user_id, r.action) for r in rows} == {("b", "UPDATED"), ("c", "ADDED"), ("d", "REMOVED"), ("e", "REMOVED"), ("g", "ADDED")}

@@ -348,14 +348,13 @@ def aud_multi_device(events, limits=AudienceLimits()):
 def audience_changes(current: DataFrame, previous: DataFrame, as_of: Column) -> DataFrame:
     """Membership changes between two evaluations: ADDED, UPDATED, REMOVED.
 
-    A previous row whose expiry has passed counts as gone; a user still in the audience
-    with another confidence or detection time is UPDATED.
+    A row of either side whose expiry has passed counts as gone; a user still in the
+    audience with another confidence or detection time is UPDATED.
     """
     keys = ["user_id", "audience_type"]
-    now = current.select(*keys, F.col("confidence").alias("c"), F.col("detected_at").alias("d"), F.lit(1).alias("in_now"))
-    alive = previous.filter(F.col("expires_at").isNull() | (F.col("expires_at") > as_of))
-    expired = previous.filter(F.col("expires_at") <= as_of)
-    before = alive.unionByName(expired).select(
+    valid = current.filter(F.col("expires_at").isNull() | (F.col("expires_at") > as_of)) if "expires_at" in current.columns else current
+    now = valid.select(*keys, F.col("confidence").alias("c"), F.col("detected_at").alias("d"), F.lit(1).alias("in_now"))
+    before = previous.select(
         *keys,
         F.col("confidence").alias("pc"),
         F.col("detected_at").alias("pd"),
