@@ -162,3 +162,9 @@ def test_changes_leave_out_rows_expired_on_either_side(spark):
     new = [("a", "X", 1.0, t(1), None), ("b", "X", 0.5, t(2), t(21)), ("c", "X", 1.0, t(4), t(22)), ("d", "X", 1.0, t(4), t(5)), ("f", "X", 1.0, t(4), t(5)), ("g", "X", 1.0, t(4), t(22))]
     rows = au.audience_changes(spark.createDataFrame(new, schema), spark.createDataFrame(old, schema), F.lit(t(10)).cast("timestamp_ntz")).collect()
     assert {(r.user_id, r.action) for r in rows} == {("b", "UPDATED"), ("c", "ADDED"), ("d", "REMOVED"), ("e", "REMOVED"), ("g", "ADDED")}
+
+
+def test_only_active_users_are_classified(spark):
+    e = table(spark, [buy(2000, "U1", 1), buy(2000, "U2", 2)])
+    got = au.classify_audiences(e, active=spark.createDataFrame([("U2",), ("U2",)], "user_id string"))
+    assert {r.user_id for r in got.collect()} == {"U2"}

@@ -307,9 +307,9 @@ def classify_audiences(
 ) -> DataFrame:
     """All rules over every user's recent history; `active` restricts to some users."""
     book = book or RuleBook()
+    if active is not None:  # before the history's shuffle
+        events = history_columns(events).join(active.select("user_id").distinct(), "user_id", "left_semi")
     history = user_history(events, limits.history_rows)
-    if active is not None:
-        history = history.join(active.select("user_id").distinct(), "user_id", "left_semi")
     return apply_rules(audience_facts(history, limits, book, tz), limits, book, flat_evidence=flat_evidence)
 
 
