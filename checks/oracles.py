@@ -178,6 +178,10 @@ FROM ev WHERE event_type = 'PURCHASE' AND n % 100 NOT IN (3, 7, 11, 17, 43)""")
 add("enrich_envelope", f"""SELECT n AS arrival, 'evt_' || substr(sha256('checks|' || CAST(n AS VARCHAR)), 1, 32) AS event_id, '1.0' AS schema_version, event_type,
   {ISO.format(n='n', t='event_ts')} AS event_timestamp, user_id, session_id, agent_profile, city, region, scenario, source, TRUE AS stamped, product_id
 FROM ev WHERE ({ENVELOPE_REASON}) IS NULL""")
+add("two_loads", f"""WITH e AS (SELECT n, ({ENVELOPE_REASON}) IS NULL AS good FROM ev), l AS (SELECT 0 AS load, * FROM e UNION ALL SELECT 1 AS load, * FROM e WHERE n % 3 = 0)
+SELECT CAST(load AS BIGINT) AS load, count(*) AS leidos, count(*) FILTER (WHERE good) AS insertados, CAST(0 AS BIGINT) AS duplicados,
+  count(*) FILTER (WHERE NOT good) AS invalidos, (SELECT count(*) FILTER (WHERE good) FROM l) AS ids
+FROM l GROUP BY load""")
 add("validate_event", f"""WITH {LINES}
 SELECT pos AS arrival, CASE n % 100
   WHEN 3 THEN 'El evento publicado no es un objeto' WHEN 7 THEN 'El evento publicado no es un objeto'

@@ -144,7 +144,7 @@ def two_loads(spark, sf):
         lines.filter(F.col("arrival") % (1 + 2 * n) == 0).select("value").write.mode("overwrite").text(path)
         checked = va.validate_envelope(ln.read_event_lines(spark, path))
         events = va.parse_event_time(va.enrich_envelope(checked.filter("error_reason IS NULL")))
-        sinks.write_event_store(events, root, n, rejected=checked.filter("error_reason IS NOT NULL"))
+        sinks.write_event_store(events, root, n, buckets=8, rejected=checked.filter("error_reason IS NOT NULL"))
     counters = spark.read.parquet(f"{root}/counters").select(F.col("batch_id").cast("bigint").alias("load"), "leidos", "insertados", "duplicados", "invalidos")
     ids = sinks.read_event_store(spark, root).agg(F.count_distinct("event_id")).scalar()
     return counters.withColumn("ids", ids)
