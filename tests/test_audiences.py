@@ -168,3 +168,28 @@ def test_only_active_users_are_classified(spark):
     e = table(spark, [buy(2000, "U1", 1), buy(2000, "U2", 2)])
     got = au.classify_audiences(e, active=spark.createDataFrame([("U2",), ("U2",)], "user_id string"))
     assert {r.user_id for r in got.collect()} == {"U2"}
+
+
+def test_point_in_time_walks_no_frame(spark):
+    """Every window is a running sum or one fixed offset, so an event costs the same however full its look-back is."""
+    import re
+
+    facts = asof.as_of_facts(table(spark, [event("SEARCH")]), "10 seconds", AudienceLimits())
+    frames = re.findall(r"specifiedwindowframe\(\w+, (\S+), (\S+?)\)[ ,)]", facts._jdf.queryExecution().optimizedPlan().toString().lower())
+    assert len(frames) > 10 and all(a.startswith("unboundedpreceding") or a == b for a, b in frames)
+
+
+def test_point_in_time_lists_over_several_blocks(spark):
+    """Sources and carts of each event against the last 8 events, where look-backs end inside and outside the block."""
+    rnd, t, rows = random.Random(11), 0, []
+    c = AudienceLimits(history_rows=8, multi_device_sec=300, cart_timeout_sec=200)
+    for _ in range(120):
+        t += rnd.choice([1, 40, 100, 400])
+        rows.append((t, rnd.choice(["ADD_TO_CART", "PURCHASE", "SEARCH"]), rnd.choice("ABCD"), f"C{rnd.randrange(4)}"))
+    got = asof.as_of_facts(table(spark, [event(k, sec=s, source=src, cart_id=cart) for s, k, src, cart in rows]), "1 second", c)
+    found = {(r.detected_at - T0).total_seconds(): (r.sources_used, r.abandoned_carts) for r in got.collect()}
+    for i, (now, *_) in enumerate(rows):
+        last = rows[max(0, i - 7): i + 1]
+        added = {cart: s for s, k, _, cart in last if k == "ADD_TO_CART"}
+        left = sorted(x for x, s in added.items() if now - s >= 200 and not any(k == "PURCHASE" and cart == x for _, k, _, cart in last))
+        assert found[now] == (sorted({src for s, _, src, _ in last if now - s <= 300}), left)
