@@ -453,12 +453,17 @@ def trends(spark, sf):
 STREAM_WINDOWS = C.Windows(*(["1 day"] * 7), trends_slide="6 hours", lateness="5 seconds")
 
 
+#: Bytes of a row group of files made for streams.
+ROW_GROUP = 4 << 20
+
+
 def in_two_files(spark, sf, first) -> str:
     """The events table as a folder of two files, rows of `first` in the older one."""
     path = work_dir(spark, "two-files")
     events = ad.table(spark, sf, "events")
+    # A file is a micro-batch; its row groups are small, so that many tasks read it.
     for part in (first, ~F.coalesce(first, F.lit(False))):
-        events.filter(part).coalesce(1).write.mode("append").parquet(path)
+        events.filter(part).coalesce(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
     return path
 
 

@@ -189,3 +189,16 @@ def test_dedup_stream(spark, parts, tmp_path):
     out = dedup_stream(twice, "1 minute", ts="event_ts").select("event_id")
     jobs.start(out.writeStream.format("parquet").option("path", str(tmp_path / "d")), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "d")).count() == 600
+
+
+def test_a_large_micro_batch_is_read_by_many_tasks(spark, tmp_path):
+    from pyarrow.parquet import ParquetFile
+
+    from checks import queries
+
+    rows = spark.range(400000).select(F.col("id").alias("event_id"), F.sha2(F.col("id").cast("string"), 256).alias("props"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    path = queries.in_two_files(spark, str(tmp_path), F.col("event_id") < 200000)
+    files = [f for f in spark.read.parquet(path).inputFiles()]
+    assert len(files) == 2 and all(ParquetFile(f.removeprefix("file://")).num_row_groups > 2 for f in files)
+    assert spark.read.parquet(path).count() == 400000
