@@ -127,7 +127,7 @@ def write_event_store(spark, sf):
     """Two loads of overlapping halves; the second one finds the first one's ids."""
     root = work_dir(spark, "store")
     events = va.enrich_latency(va.typed_events(valid_lines(spark, sf)))
-    typed = events.drop("value")
+    typed = cut_lineage(events.drop("value"), "typed")  # parsed once for both loads
     sinks.write_event_store(typed.filter(F.col("scenario") != "NAVIDAD"), root, 0, buckets=16)
     sinks.write_event_store(typed, root, 1, buckets=16)
     return sinks.read_event_store(spark, root).groupBy("scenario", F.col("event_date").cast("string").alias("event_date")).agg(

@@ -260,3 +260,21 @@ def test_lines_are_numbered_by_file_and_place(spark, tmp_path):
     lines = [f"{name} {i} {'x' * (i % 50)}" if i % 10 != 9 else "" for name in sorted(names) for i in range(names[name])]
     assert got == {i: line for i, line in enumerate(lines) if line}
     assert first == {i for i in range(45) if lines[i]}
+
+
+def test_the_rows_of_a_load_are_made_once(spark, tmp_path):
+    """Ids are looked up, rows written and counted, all from one parse; rows without an id or with one id and place stay as they were."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def parsed(x):
+        made.add(1)
+        return x
+
+    e = table(spark, [event("SEARCH", sec=i) for i in range(20)])
+    e = e.withColumn("event_id", F.when(F.col("arrival") < 15, F.concat(F.lit("evt_"), (F.col("arrival") % 10).cast("string"))))
+    e = e.unionByName(e.filter("arrival IN (3, 4)")).withColumn("event_id", parsed.asNondeterministic()("event_id")).withColumn("value", F.lit("x"))
+    root = str(tmp_path)
+    assert tuple(sinks.write_event_store(e, root, 0, buckets=2).first()) == (22, 17, 5, 0)
+    assert made.value == 22 and sinks.read_event_store(spark, root).count() == 17
+    assert spark.read.parquet(f"{root}/dead_letters/batch_id=0/kind=duplicate").count() == 5

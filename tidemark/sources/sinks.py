@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import contract as C
 from tidemark.functions.skew import tag_first
 from tidemark.operators.quality import BENCHMARK_COLUMNS
+from tidemark.sources.scratch import work_dir
 
 ID_BUCKETS = 32
 
@@ -84,9 +85,12 @@ def write_event_store(
 
     spark = events.sparkSession
     index = KeyIndex(spark, root, buckets=buckets)
-    tagged = tag_first(events, "event_id", "arrival").persist()
-    marked = None
+    # The rows are made (parsed) once and stored; ids and places alone tell which of them are new.
+    load = work_dir(spark, "load")
+    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in ("event_id", "arrival")]
     try:
+        rows = _stored(events, f"{load}/rows")
+        tagged = tag_first(rows.select("event_id", "arrival"), "event_id", "arrival")
         known = index.known(tagged.filter("is_first").select("event_id"), batch_id)
         if known is None:
             marked = tagged.withColumn("stored", F.col("is_first")).drop("is_first")
@@ -97,9 +101,10 @@ def write_event_store(
             keyed = tagged.withColumn("_key", F.when(F.col("is_first"), F.col("event_id")).otherwise(own))
             old = known.select(F.col("event_id").alias("_key"), F.lit(True).alias("known"))
             marked = keyed.join(old, "_key", "left").withColumn("stored", F.col("is_first") & F.col("known").isNull()).drop("is_first", "known", "_key")
-        marked = marked.persist()
-        if "value" in marked.columns:
-            duplicates = marked.filter(~F.col("stored")).select(
+        marked = _stored(marked, f"{load}/marks")
+        if "value" in rows.columns:
+            copies = marked.filter(~F.col("stored")).distinct()
+            duplicates = rows.join(copies, same(rows, copies), "left_semi").select(
                 "arrival",
                 F.col("value").alias("raw_message"),
                 F.concat(F.lit("Duplicate event_id: "), F.col("event_id")).alias("error_reason"),
@@ -107,7 +112,9 @@ def write_event_store(
                 "event_id",
             )
             duplicates.write.mode("overwrite").parquet(f"{batch_path(root, 'dead_letters', batch_id)}/kind=duplicate")
-        fresh = marked.filter("stored").drop("stored")
+        # Where few rows go, their ids are sent and the others stay where they are.
+        gone = marked.filter(~F.coalesce("stored", F.lit(False))).distinct()
+        fresh = rows.join(gone, same(rows, gone), "left_anti")
         (
             fresh.drop("value")
             .withColumn("event_date", F.col(date_col).cast("date"))
@@ -120,12 +127,15 @@ def write_event_store(
         counters = store_counters(marked, rejected)
         counters.write.mode("overwrite").parquet(batch_path(root, "counters", batch_id))
     finally:
-        tagged.unpersist()
-        if marked is not None:
-            marked.unpersist()
+        remove(spark, load)
     return spark.read.parquet(batch_path(root, "counters", batch_id))
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def store_counters(tagged: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """Read, inserted, duplicate and unreadable rows of one load."""
     counts = tagged.agg(
