@@ -143,6 +143,7 @@ def two_loads(spark, sf):
     for n in range(2):
         lines.filter(F.col("arrival") % (1 + 2 * n) == 0).select("value").write.mode("overwrite").text(path)
         checked = va.validate_envelope(ln.read_event_lines(spark, path))
+        checked = cut_lineage(checked.select("arrival", "origin", "doc", "error_reason"), "checked")  # one parse for events and rejects
         events = va.parse_event_time(va.enrich_envelope(checked.filter("error_reason IS NULL")))
         sinks.write_event_store(events, root, n, buckets=8, rejected=checked.filter("error_reason IS NOT NULL"))
     counters = spark.read.parquet(f"{root}/counters").select(F.col("batch_id").cast("bigint").alias("load"), "leidos", "insertados", "duplicados", "invalidos")
