@@ -155,7 +155,7 @@ def store_counters(spark, sf):
     """Two loads; the second also brings the lines that cannot be read or checked."""
     root = work_dir(spark, "counters")
     checked = checked_lines(spark, sf)
-    typed = va.enrich_latency(va.typed_events(checked.filter("error_reason IS NULL"))).drop("value")
+    typed = cut_lineage(va.enrich_latency(va.typed_events(checked.filter("error_reason IS NULL"))).drop("value"), "typed")  # parsed once for both loads
     first = sinks.write_event_store(typed.filter(F.col("scenario") != "NAVIDAD"), root, 0, buckets=16)
     second = sinks.write_event_store(typed, root, 1, buckets=16, rejected=checked.filter("error_reason IS NOT NULL"))
     return first.withColumn("load", F.lit(0)).unionByName(second.withColumn("load", F.lit(1)))
