@@ -449,6 +449,33 @@ def test_chunks_with_equal_hashes_are_compared(monkeypatch):
     assert not enc.pieces and not len(enc.keys) and not len(enc.bytes)
 
 
+def test_chunks_are_cut_between_words_marks_and_lines():
+    """A word beside a new mark, digit or line is no new chunk, and ids are those of whole texts."""
+    import pyarrow as pa
+
+    path = vocabulary("byte_bpe_50k.json")
+    whole, enc = bpe.tokenizer_from_json(path), bpe.encoder(path, pattern())
+
+    def encoded(texts):
+        return [x.tolist() for _, _, ids, n in enc.column(pa.array(texts, pa.string())) for x in np.split(ids, np.cumsum(n)[:-1])]
+
+    def wanted(texts):
+        return [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    words, marks = [f"{a}{b}" for a in "klmr" for b in ("an", "el", "io")], [",", ".", "!?", "$$$", "7", "\n", "\t"]
+    crossed = [f"x {a}{m}{b}" for a in words for m in marks for b in words]
+    enc.close()
+    assert encoded(crossed) == wanted(crossed)
+    assert len(enc.keys) == 1 + 2 * len(words) + len(marks)
+    rnd = random.Random(3)
+    atoms = ["a", "B", "the", "s", "ll", "23", "é", "漢", "🙂", "²", "'", "''", "'s", "’", ".", "(", "\n", "\n\n", "\r\n", "\t", "\x0b", "\u00a0", "\u2028", "\u3000", "\x85", "\x1c", "\0", "\x7f", " '", " (", " "]
+    odd = ["".join(rnd.choice(atoms) for _ in range(rnd.randint(0, 9))) for _ in range(6000)] + [None, "", "\n", "a\n", "\n\na", "a \n\nb", "a\n\n"]
+    assert encoded(odd) == wanted(odd) and encoded(odd[::-1]) == wanted(odd[::-1])
+    other = bpe.Encoder(bpe.tokenizer_from_json(path), r" ?[^ ]+| +")  # of another pattern only the spaces are known
+    assert other._chunks(np.frombuffer(b"a,b c.\nd", np.uint8), np.array([0, 8])).start.tolist() == [0, 3]
+    enc.close()
+
+
 def test_very_long_texts_of_every_alphabet_are_searched(spark):
     parts = ["a@" + "a." * 500_000 + "1", "a." * 50_000, "1.2." * 25_000, "Mr. " + "Ab " * 30_000, "Mr. A" + "b" * 100_000, "AB12" + "C3" * 50_000,
              "token=" + "x" * 10_000, "4111 " * 20_000, "é漢🙂 " * 20_000, "(" * 50_000, "%+-._@" * 16_000, "+1 (" * 25_000]

@@ -2,9 +2,10 @@
 
 A rank file is turned into a model of the tokenizers library: bytes become printable
 characters by the usual byte table, and every split of a token into two tokens becomes
-a merge of that token's rank.  Texts are cut at single spaces, where a match of the
-pattern always ends, so that each worker encodes a distinct piece once; texts with
-longer runs of white space, where that does not hold, are encoded whole.
+a merge of that token's rank.  Texts are cut into chunks where a match of the pattern
+always ends, so that each worker encodes a distinct chunk once: at single spaces and, for
+the usual pattern, between ASCII letters, digits, marks and line ends.  Texts with spaces
+after white space, where that does not hold, are encoded whole.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.spans import Words, byte_table as separators, release, same_spans, words_of
+from tidemark.llm.spans import Words, release, same_spans, slices, text_bytes
 
 #: Pieces and chunks kept by a worker, and ids of the chunks.  A full store is emptied, so these bound
 #: memory only (about 70 MB).
@@ -43,7 +44,8 @@ def byte_chars() -> list[str]:
 CHARS = byte_chars()
 TO_CHARS = dict(enumerate(CHARS))
 TO_BYTES = {ord(c): b for b, c in enumerate(CHARS)}
-_BLANK = separators(b" ")
+#: The same characters as code points.
+SHOWN = np.array([ord(c) for c in CHARS], "<u4")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,6 +90,39 @@ def tokenizer_from_json(path: str):
 _WHITE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Texts with a space at either end or after white space: they are cut by the pattern alone.
 _UNEVEN = rf"(?:\A|{_WHITE}) | \z"
+#: The pattern of byte-level BPE whose matches are known to end between certain ASCII bytes.
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_OTHER, _LETTER, _DIGIT, _MARK, _LINE, _SPACE = range(6)
+
+
+def _kinds() -> np.ndarray:
+    """Letter, digit, mark, white space or the space itself; bytes of longer characters are other."""
+    out = np.full(256, _OTHER, np.uint8)
+    out[:128] = _MARK
+    for chars, kind in ((b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", _LETTER), (b"0123456789", _DIGIT), (b"\t\n\x0b\x0c\r", _LINE), (b" ", _SPACE)):
+        out[list(chars)] = kind
+    return out
+
+
+def _ends(usual: bool) -> np.ndarray:
+    """1 where a match ends between two bytes (first * 256 + second), 2 where one begins before the first as well.
+
+    Before a space one ends in any text that is not uneven.  Of the usual pattern, matches
+    hold ASCII characters of one kind, but for a space before and an apostrophe with
+    letters.  Of white space before something else, the last character stands alone.
+    """
+    kind = _kinds()
+    out = np.zeros((256, 256), np.uint8)
+    if usual:
+        plain = (kind >= _LETTER) & (kind <= _MARK)
+        out[(kind[:, None] != kind) & plain[:, None] & plain] = 1
+        out[ord("'"), kind == _LETTER] = 0
+        out[np.ix_(plain, kind == _LINE)] = 1
+        out[np.ix_(kind == _LINE, plain)] = 2
+    out[:, ord(" ")] = 1
+    return out.ravel()
+
+
 #: Bytes of text taken at once.
 PART = 1 << 21
 #: Rows of an Arrow batch taken at once.
@@ -101,6 +136,11 @@ class Encoder:
         self.tokenizer, self.model = tokenizer, tokenizer.model
         # Unicode's White_Space, as the tokenizers' own engines read \s.
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
+        usual = pattern == USUAL
+        self._ends = _ends(usual)
+        # A chunk with none of these bytes is one match.
+        self._hard = np.isin(_kinds(), (_OTHER, _LINE)) if usual else np.ones(256, bool)
+        self._hard[ord("'")] = True
         self.pieces: dict[str, list[int]] = {}
         self._forget()
 
@@ -121,11 +161,11 @@ class Encoder:
         self.chunk_size = np.zeros(0, np.int32)
         self.bytes = np.zeros(0, np.uint8)
 
-    def _piece(self, piece: str, keep: bool = True) -> list[int]:
+    def _piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
         if found is None:
             found = [t.id for t in self.model.tokenize(_visible_text(piece))]
-            if keep and len(piece) <= 64:
+            if len(piece) <= 64:
                 if len(self.pieces) >= CACHE:
                     self.pieces.clear()
                 self.pieces[piece] = found
@@ -133,16 +173,26 @@ class Encoder:
 
     def ids(self, text: str) -> list[int]:
         """Ids of one text or chunk, each match of the pattern separately."""
-        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-            return self._piece(text, keep=False)  # the chunk is kept as a whole
         out: list[int] = []
         for piece in self.pattern.findall(text):
             out += self._piece(piece)
         return out
 
-    def _add(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Put the ids of new chunks into the pool; where they begin, and how many."""
-        ids = [self.ids(t) for t in texts]
+    def _chunk_ids(self, data: np.ndarray, size: np.ndarray) -> Iterator[list[int]]:
+        """Ids of chunks that lie one after the other."""
+        ends = np.cumsum(size)
+        hard = np.logical_or.reduceat(self._hard[data], ends - size)
+        raw, shown, tokenize = data.tobytes(), SHOWN[data].tobytes().decode("utf-32-le"), self.model.tokenize
+        for lo, hi, more in zip((ends - size).tolist(), ends.tolist(), hard.tolist(), strict=True):
+            if more:
+                text = raw[lo:hi].decode()
+                if not (text[1:].isalpha() and (text[0] == " " or text[0].isalpha())):
+                    yield self.ids(text)
+                    continue
+            yield [t.id for t in tokenize(shown[lo:hi])]  # the chunk is kept as a whole
+
+    def _add(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Put ids of new chunks into the pool; where they begin, and how many."""
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(size.sum())
         while self.used + total > len(self.pool):
@@ -152,9 +202,8 @@ class Encoder:
         self.used += total
         return at, size
 
-    def _lookup(self, words: Words, lo: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of each chunk (from `lo` to its word's end) begin, and how many."""
-        length = words.end - lo
+    def _lookup(self, own: np.ndarray, lo: np.ndarray, length: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each chunk (`length` bytes of `own` from `lo`) begin, and how many."""
         distinct, one, every = np.unique(hashes, return_index=True, return_inverse=True)
         where = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
@@ -163,7 +212,7 @@ class Encoder:
         at, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
         at[known], size[known] = self.at[where[known]], self.size[where[known]]
         # The bytes behind each distinct hash, in the store or in these texts.
-        own, stored = words.data, where[known]
+        stored = where[known]
         equal = np.ones(len(hashes), bool)
         of_store = known[every]
         chunk_at, chunk_size = lo[one], length[one]
@@ -175,10 +224,9 @@ class Encoder:
             i = i[equal[i]]
             equal[i] = same_spans(own, lo[i], source, begin[every[i]], length[i])
         if len(new := np.flatnonzero(~known)):
-            raw = own.tobytes()
-            at[new], size[new] = self._add([raw[a:b].decode() for a, b in zip(chunk_at[new].tolist(), (chunk_at + chunk_size)[new].tolist(), strict=True)])
             ends = np.cumsum(chunk_size[new])
             taken = own[np.arange(ends[-1]) + np.repeat(chunk_at[new] - ends + chunk_size[new], chunk_size[new])]
+            at[new], size[new] = self._add(list(self._chunk_ids(taken, chunk_size[new])))
             place = len(self.bytes) + ends - chunk_size[new]
             self.bytes = np.concatenate([self.bytes, taken])
             put = where[new]
@@ -188,24 +236,41 @@ class Encoder:
         at, size = at[every], size[every]
         if len(other := np.flatnonzero(~equal)):  # another chunk with the same hash
             raw = own.tobytes()
-            at[other], size[other] = self._add([raw[a:b].decode() for a, b in zip(lo[other].tolist(), words.end[other].tolist(), strict=True)])
+            at[other], size[other] = self._add([self.ids(raw[a:b].decode()) for a, b in zip(lo[other].tolist(), (lo + length)[other].tolist(), strict=True)])
         return at, size
 
+    def _chunks(self, data: np.ndarray, offsets: np.ndarray) -> Words:
+        """Chunks of some texts: all their bytes, cut where a match ends."""
+        n = len(data)
+        first = np.zeros(n + 1, bool)
+        first[offsets] = True
+        ends = self._ends[(data[:-1].astype(np.uint16) << 8) | data[1:]] if n else np.zeros(0, np.uint8)
+        cut = first.copy()
+        cut[1:n] |= ends > 0
+        alone = np.flatnonzero(ends == 2)
+        cut[alone[~first[alone + 1]]] = True  # not over a text's end
+        edges = np.flatnonzero(cut)
+        return Words(data, offsets, edges[:-1], edges[1:], fold=False)
+
     def column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Row ranges of a text column with their ids and each row's number of ids."""
         column = pc.fill_null(column.cast(pa.large_string()), "")
         uneven = np.asarray(pc.match_substring_regex(column, _UNEVEN))
-        for lo, hi, words in words_of(column, _BLANK, PART, fold=False):
+        data, offsets = text_bytes(column)
+        for lo, hi in slices(offsets, PART):
             if len(self.keys) > CHUNKS or self.used > POOL or len(self.bytes) > 4 * POOL:
                 self._forget()
-            rows = hi - lo
-            spaced = np.arange(len(words.start)) != words.first[words.row]  # with the space before it
-            at, size = self._lookup(words, words.start - spaced, words.hash ^ (spaced.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D)))
-            row = words.row
-            if len(odd := np.flatnonzero(uneven[lo:hi])):
+            rows, edges = hi - lo, offsets[lo : hi + 1]
+            chunks = self._chunks(data[edges[0] : edges[-1]], edges - edges[0])
+            row, start, end, hashes = chunks.row, chunks.start, chunks.end, chunks.hash
+            odd = np.flatnonzero(uneven[lo:hi])
+            if len(odd):
                 even = ~uneven[lo:hi][row]
-                more_at, more_size = self._add([column[lo + int(r)].as_py() for r in odd])
-                row, at, size = np.concatenate([row[even], odd]), np.concatenate([at[even], more_at]), np.concatenate([size[even], more_size])
+                row, start, end, hashes = row[even], start[even], end[even], hashes[even]
+            at, size = self._lookup(chunks.data, start, end - start, hashes)
+            if len(odd):
+                more_at, more_size = self._add([self.ids(column[lo + int(r)].as_py()) for r in odd])
+                row, at, size = np.concatenate([row, odd]), np.concatenate([at, more_at]), np.concatenate([size, more_size])
                 order = np.argsort(row, kind="stable")
                 row, at, size = row[order], at[order], size[order]
             ends = np.cumsum(size)

@@ -153,34 +153,38 @@ def slices(offsets: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]
         lo = hi
 
 
+def word_edges(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends."""
+    n = len(data)
+    sep = separators[data]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    before = np.empty(n, bool)
+    after = np.empty(n, bool)
+    if n:
+        before[0], after[-1] = True, True
+        before[1:] = sep[:-1]
+        after[:-1] = sep[1:]
+    word = ~sep
+    return np.flatnonzero(word & (before | edge[:-1])), np.flatnonzero(word & (after | edge[1:])) + 1
+
+
 class Words:
-    """Words of some texts: row of each, byte start and end, hash; rows' first words.
+    """Words (or other spans in order, none over a text's end) of some texts: row of each, byte start and end, hash; rows' first words.
 
     With `fold`, hashes take A-Z for a-z.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, fold: bool = True):
-        self.data = data
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True):
+        self.data, self.start, self.end = data, start, end
         n = len(data)
-        sep = separators[data]
-        edge = np.zeros(n + 1, bool)
-        edge[offsets] = True
-        before = np.empty(n, bool)
-        after = np.empty(n, bool)
-        if n:
-            before[0], after[-1] = True, True
-            before[1:] = sep[:-1]
-            after[:-1] = sep[1:]
-        word = ~sep
-        self.start = np.flatnonzero(word & (before | edge[:-1]))
-        self.end = np.flatnonzero(word & (after | edge[1:])) + 1
         up, self._down = _powers(n + 1)
         self._fold = fold
         self._sums = np.zeros(n + 1, np.uint64)
         np.cumsum((_FOLDED if fold else _VALUE)[data] * up[:n], out=self._sums[1:])
-        self.row = np.searchsorted(offsets, self.start, side="right") - 1
         #: index of each row's first word, and one past the last row
-        self.first = np.searchsorted(self.row, np.arange(len(offsets)))
+        self.first = np.searchsorted(start, offsets)
+        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
         self.hash = self.prefix_hash(None)
 
     def prefix_hash(self, length: int | None) -> np.ndarray:
@@ -200,7 +204,8 @@ def words_of(column: pa.Array, separators: np.ndarray, limit: int = SLICE, fold:
     data, offsets = text_bytes(column)
     for lo, hi in slices(offsets, limit):
         at = offsets[lo : hi + 1]
-        yield lo, hi, Words(data[at[0] : at[-1]], at - at[0], separators, fold)
+        own, at = data[at[0] : at[-1]], at - at[0]
+        yield lo, hi, Words(own, at, *word_edges(own, at, separators), fold)
 
 
 def grams(words: np.ndarray, size: int) -> np.ndarray:
