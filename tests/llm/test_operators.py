@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -145,6 +146,62 @@ def test_divide_skip_counts():
         assert jaccard_join.divide_skip(lists, least) == {x: c for x, c in counts.items() if c >= least}
 
 
+def test_divide_skip_merges_and_probes(monkeypatch):
+    """Few entries left are looked up in the long lists, many are counted there; neither misses one."""
+    rnd, probed = random.Random(4), []
+    search = jaccard_join._probed
+    monkeypatch.setattr(jaccard_join, "_probed", lambda *args: probed.append(1) or search(*args))
+    for k in range(60):
+        lists = [sorted(rnd.sample(range(5000), rnd.choice((3, 1500, 4000)))) for _ in range(9)]
+        lists = [sorted({*entries, 17, 4999}) if k % 2 else entries for entries in lists]
+        least = rnd.randint(1, 9)
+        counts = Counter(x for entries in lists for x in entries)
+        assert jaccard_join.divide_skip(lists, least) == {x: c for x, c in counts.items() if c >= least}
+    assert 0 < len(probed) < 60
+
+
+def near_copies(copies, words, most):
+    """Sets (node, n, tokens) of the shingles of near copies of one text, each with up to `most` words replaced."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 40, words, dtype=np.uint64)
+    sets = []
+    for i in range(copies):
+        text = base.copy()
+        at = rng.choice(words, 1 + i * i * most // copies**2, replace=False)
+        text[at] = rng.integers(0, 99, len(at), dtype=np.uint64)
+        tokens = np.unique(jaccard_join.grams(text, 5))
+        sets.append((int(rng.integers(-(1 << 62), 1 << 62)), len(tokens), tokens))
+    return sorted(sets, key=lambda x: (x[1], x[0]))
+
+
+def test_search_of_many_near_copies():
+    """700 near copies of one text, most of them pivots: 12 CPU seconds when lists were merged over a heap."""
+    sets = near_copies(700, 400, 35)
+    begun = time.process_time()
+    search = jaccard_join.Search((80, 100), sets)
+    assert time.process_time() - begun < 4
+    _, tokens = np.unique(np.concatenate([s[2] for s in sets]), return_inverse=True)
+    n = search.n
+    held = np.zeros((len(sets), tokens.max() + 1), np.float32)
+    held[np.repeat(np.arange(len(sets)), n), tokens] = 1
+    shared = (held @ held.T).astype(np.int64)
+    linked = 100 * shared >= 80 * (n[:, None] + n - shared)
+    label = np.arange(len(sets))
+    while (new := np.where(linked, label, len(sets)).min(axis=1)).tolist() != label.tolist():
+        label = new
+    assert sorted(sorted(part) for part in search.parts.values()) == sorted(np.flatnonzero(label == x).tolist() for x in set(label.tolist()))
+    assert 100 < (search.pivot < 0).sum() < 600 and 20 < len(search.parts) < 600
+
+
+@pytest.mark.parametrize("work", [3000, 30_000])
+def test_jaccard_join_blocks_by_work(spark, monkeypatch, work):
+    """A component of many small sets goes into blocks by the search's steps, not by its elements alone."""
+    monkeypatch.setattr(jaccard_join, "WORK", work)
+    rows = chain()
+    out = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect())) == sorted(brute_components(rows))
+
+
 def test_shards_are_a_permutation_and_repeatable(spark, docs, empty, tmp_path):
     out = shards.shard_records(docs, 3, 7, shards.text_size(), 4000)
     rows = out.collect()

@@ -4,21 +4,20 @@ Sets at least `threshold` alike share at least T elements, T a share of either s
 size.  Elements of one set alone cannot count, so sets with too few shared elements go
 first, by exact counts over all sets.  What is left falls into small candidate
 components (sets that share one of their rarest shared elements); in each, a set looks
-for the earlier sets that share T elements with it: the short inverted lists are merged
-over a heap that skips, the long ones are probed by binary search (DivideSkip).
+for the earlier sets that share T elements with it: the short inverted lists are merged,
+the long ones are probed by binary search for what is then left (DivideSkip).  Lists are
+spans of one array, so both are steps over whole arrays.
 
 Only pivots, sets without an earlier partner, are indexed; the others are members of a
 pivot.  Jaccard distance is a metric, so a set linked to a member of a pivot is not
 further from the pivot than the threshold plus the pivot's radius: a wider search finds
 that pivot, and its members are compared only if they may join two components.  So a
-group of many near copies costs a search of a few pivots each, and no link that joins
+group of many near copies costs a search of its pivots, and no link that joins
 components is missed.
 """
 
 from __future__ import annotations
 
-import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 from math import ceil, log2
 
@@ -31,8 +30,9 @@ from tidemark.llm.components import components
 from tidemark.llm.spans import SPACE, grams, mix, releasing, releasing_groups, words_of
 from tidemark.sources.scratch import cut_lineage
 
-#: Elements of all sets that one task of the search holds.
+#: Elements of all sets that one task of the search holds, and those times its sets, to which its steps are in proportion.
 UNIT = 4_000_000
+WORK = 40_000_000_000
 
 
 def shingles(words: np.ndarray, row: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,106 +211,158 @@ def _ranked(threshold: tuple[int, int]):
     return run
 
 
-def divide_skip(lists: list[list[int]], least: int, mu: float = 0.0085) -> dict[int, int]:
+def _spans(flat: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The spans flat[lo:hi], one after the other."""
+    size = hi - lo
+    total = int(size.sum())
+    if total > 32 * len(size):
+        return np.concatenate([flat[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])
+    return flat[np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(total)]
+
+
+def _merged(flat: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of the lists flat[lo:hi], ascending, and how many lists hold each."""
+    entries = _spans(flat, lo, hi)
+    if len(entries) and entries.max() < 8 * len(entries):
+        counts = np.bincount(entries)
+        found = np.flatnonzero(counts)
+        return found, counts[found]
+    return np.unique(entries, return_counts=True)
+
+
+def _probed(flat: np.ndarray, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """How many of the ascending lists flat[lo:hi] hold each wanted entry: a binary search of all in all."""
+    last = len(flat) - 1
+    a, b = (np.repeat(x[:, None], len(wanted), axis=1) for x in (lo, hi))
+    while (left := a < b).any():
+        middle = (a + b) >> 1
+        below = flat[np.minimum(middle, last)] < wanted
+        a, b = np.where(left & below, middle + 1, a), np.where(left & ~below, middle, b)
+    return ((a < hi[:, None]) & (flat[np.minimum(a, last)] == wanted)).sum(axis=0)
+
+
+def occurrences(flat: np.ndarray, lo: np.ndarray, hi: np.ndarray, least: int, mu: float = 0.0085) -> tuple[np.ndarray, np.ndarray]:
+    """Entries (from 0 on) found in at least `least` of the ascending lists flat[lo:hi], ascending, with their counts.
+
+    The short lists are merged, and what enough of them hold is looked up in the long ones:
+    by binary search, or all at once where the searches would be more steps than the lists
+    have entries.
+    """
+    size = hi - lo
+    if len(size) < least or least < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(-size, kind="stable")
+    lo, hi, steps = lo[order], hi[order], log2(int(size[order[0]]) + 1)
+    probed = min(least - 1, int(least / (mu * steps + 1)))
+    found, counts = _merged(flat, lo[probed:], hi[probed:])
+    enough = counts >= least - probed
+    found, counts = found[enough], counts[enough]
+    if probed and len(found):
+        lo, hi = lo[:probed], hi[:probed]
+        if 8 * steps * probed * len(found) < int((hi - lo).sum()):
+            counts = counts + _probed(flat, lo, hi, found)
+        else:
+            counts = counts + np.bincount(_spans(flat, lo, hi), minlength=int(found[-1]) + 1)[found]
+        enough = counts >= least
+        found, counts = found[enough], counts[enough]
+    return found, counts
+
+
+def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
     """Entries found in at least `least` of the ascending lists, with their counts."""
-    if len(lists) < least or least < 1:
-        return {}
-    lists = sorted(lists, key=len, reverse=True)
-    probed = min(least - 1, int(least / (mu * log2(len(lists[0]) + 1) + 1)))
-    long, short, need = lists[:probed], lists[probed:], least - probed
-    out: dict[int, int] = {}
-    heap = [(entries[0], i, 0) for i, entries in enumerate(short)]
-    heapq.heapify(heap)
-    while len(heap) >= need:
-        top = heap[0][0]
-        popped = []
-        while heap and heap[0][0] == top:
-            popped.append(heapq.heappop(heap))
-        if len(popped) >= need:
-            count = len(popped)
-            for entries in long:
-                at = bisect_left(entries, top)
-                count += at < len(entries) and entries[at] == top
-            if count >= least:
-                out[top] = count
-            following = top + 1
-        else:  # the next entry that enough lists can hold
-            while heap and len(popped) < need - 1:
-                popped.append(heapq.heappop(heap))
-            if not heap:
-                break
-            following = heap[0][0]
-        for _, i, at in popped:
-            at = bisect_left(short[i], following, at)
-            if at < len(short[i]):
-                heapq.heappush(heap, (short[i][at], i, at))
-    return out
+    ends = np.cumsum([0, *map(len, lists)])
+    flat = np.array([x for entries in lists for x in entries], np.int64)
+    return dict(zip(*(x.tolist() for x in occurrences(flat, ends[:-1], ends[1:], least)), strict=True))
 
 
 class Search:
-    """Sets in the order they come, the pivots among them indexed."""
+    """Sets (node, n, tokens) in the order they come, the pivots among them indexed."""
 
-    def __init__(self, threshold: tuple[int, int]):
+    def __init__(self, threshold: tuple[int, int], sets: list[tuple[int, int, np.ndarray]]):
         self.threshold = threshold
         self.alike = threshold[0] / threshold[1]
-        self.lists: dict[int, list[int]] = {}
-        self.nodes: list[int] = []
-        self.n: list[int] = []
-        self.sets: list[np.ndarray] = []
-        self.members: dict[int, list[int]] = {}
-        self.radius: dict[int, float] = {}
-        self.parent: list[int] = []
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def _linked(self, shared: int, n: int, m: int) -> bool:
+        self.nodes = np.array([s[0] for s in sets], np.int64)
+        self.n = np.array([s[1] for s in sets], np.int64)
+        self.known, self.tokens = np.unique(np.concatenate([s[2] for s in sets]), return_inverse=True)
+        self.at = np.cumsum([0, *(len(s[2]) for s in sets)])
+        self.mark = np.zeros(len(self.known), np.int32)
+        # Inverted lists of pivots, each with room for all sets of its token.
+        room = np.bincount(self.tokens)
+        self.first = np.cumsum(room) - room
+        self.end = self.first.copy()
+        self.lists = np.zeros(len(self.tokens), np.int64)
+        self.pivots = np.zeros(len(sets), np.int64)
+        self.indexed = 0
+        #: of members: their pivot, by its place among the pivots, and the distance to it
+        self.pivot = np.full(len(sets), -1)
+        self.away = np.zeros(len(sets))
+        #: sets of each component, and the component of each set
+        self.parts = {i: [i] for i in range(len(sets))}
+        self.label = np.arange(len(sets))
+        for me in range(len(sets)):
+            self._add(me)
+
+    def _linked(self, shared: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
         return self.threshold[1] * shared >= self.threshold[0] * (n + m - shared)
 
-    def near(self, n: int, tokens: np.ndarray) -> list[tuple[int, int]]:
+    def near(self, n: int, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pivots that may be, or may have members, linked to a set; with the number of shared elements."""
         wide = max(0.0, 2 * self.alike - 1)
-        lists = [self.lists[t] for t in tokens.tolist() if t in self.lists]
-        return sorted(divide_skip(lists, max(1, ceil(wide * n - 1e-9))).items())
-
-    def partners(self, n: int, tokens: np.ndarray, skip) -> Iterator[tuple[int, float | None]]:
-        """Linked earlier sets: each linked pivot with its distance, and of other pivots the first linked members for which `skip` is false."""
-        rest = []
-        for p, shared in self.near(n, tokens):
-            if self._linked(shared, n, self.n[p]):
-                yield p, 1 - shared / (n + self.n[p] - shared)
-            else:
-                rest.append((p, shared))
-        for p, shared in rest:
-            if 1 - shared / (n + self.n[p] - shared) <= 1 - self.alike + self.radius[p] + 1e-9:
-                for i in self.members[p]:
-                    if skip(i):
-                        continue
-                    if min(n, self.n[i]) * self.threshold[1] >= max(n, self.n[i]) * self.threshold[0]:
-                        both = len(np.intersect1d(tokens, self.sets[i], assume_unique=True))
-                        if self._linked(both, n, self.n[i]):
-                            yield i, None
-
-    def add(self, node: int, n: int, tokens: np.ndarray) -> None:
-        me = len(self.nodes)
-        self.nodes.append(node)
-        self.n.append(n)
-        self.sets.append(tokens)
-        self.parent.append(me)
-        pivot = None
-        for i, distance in self.partners(n, tokens, lambda i: self.root(i) == self.root(me)):
-            if distance is not None and pivot is None:
-                pivot = i
-                self.members[i].append(me)
-                self.radius[i] = max(self.radius[i], distance)
-            self.parent[self.root(me)] = self.root(i)
-        if pivot is None:
-            self.members[me], self.radius[me] = [], 0.0
-            for t in tokens.tolist():
-                self.lists.setdefault(t, []).append(me)
+        lo, hi = self.first[tokens], self.end[tokens]
+        some = lo < hi
+        return occurrences(self.lists, lo[some], hi[some], max(1, ceil(wide * n - 1e-9)))
+
+    def _shared(self, tokens: np.ndarray, sets: np.ndarray) -> np.ndarray:
+        """Number of elements that each of the sets shares with the tokens."""
+        lo, hi = self.at[sets], self.at[sets + 1]
+        self.mark[tokens] = 1
+        out = np.add.reduceat(self.mark[_spans(self.tokens, lo, hi)], np.cumsum(hi - lo) - (hi - lo))
+        self.mark[tokens] = 0
+        return out
+
+    def partners(self, n: int, tokens: np.ndarray, apart) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Linked sets, some at a time: first the linked pivots with their distances, then members of other pivots, as far as `apart` holds for them by then."""
+        found, shared = self.near(n, tokens)
+        if not len(found):
+            return
+        pivots = self.pivots[: self.indexed]
+        m = self.n[pivots[found]]
+        distance = 1 - shared / (n + m - shared)
+        linked = self._linked(shared, n, m)
+        yield pivots[found[linked]], distance[linked]
+        far = np.full(len(pivots), np.inf)
+        far[found[~linked]] = distance[~linked]
+        sets = np.flatnonzero(self.pivot >= 0)
+        sets = sets[far[self.pivot[sets]] <= 1 - self.alike + self.away[sets] + 1e-9]
+        m = self.n[sets]
+        sets = sets[np.minimum(n, m) * self.threshold[1] >= np.maximum(n, m) * self.threshold[0]]
+        sets = sets[np.argsort(far[self.pivot[sets]], kind="stable")]
+        step = 64
+        while len(sets := sets[apart(sets)]):
+            some, sets = sets[:step], sets[step:]
+            yield some[self._linked(self._shared(tokens, some), n, self.n[some])], None
+            step *= 2
+
+    def _unite(self, me: int, others: np.ndarray) -> None:
+        for label in set(self.label[others].tolist()):
+            mine = int(self.label[me])
+            if label != mine:
+                small, large = sorted((label, mine), key=lambda x: len(self.parts[x]))
+                moved = self.parts.pop(small)
+                self.label[moved] = large
+                self.parts[large] += moved
+
+    def _add(self, me: int) -> None:
+        tokens = self.tokens[self.at[me] : self.at[me + 1]]
+        for sets, distances in self.partners(int(self.n[me]), tokens, lambda sets: self.label[sets] != self.label[me]):
+            if distances is not None and len(sets):
+                self.pivot[me], self.away[me] = np.searchsorted(self.pivots[: self.indexed], sets[0]), distances[0]
+            self._unite(me, sets)
+        if self.pivot[me] < 0:
+            self.lists[self.end[tokens]] = self.indexed
+            self.end[tokens] += 1
+            self.pivots[self.indexed] = me
+            self.indexed += 1
 
 
 FOUND = "node long, leader long, pivot boolean"
@@ -332,17 +384,14 @@ def _by_component(table: pa.Table) -> Iterator[list[tuple]]:
 
 def _search(threshold: tuple[int, int]):
     def run(table: pa.Table) -> pa.Table:
-        out: list[tuple] = []
+        out = []
         for group in _by_component(table):
-            search = Search(threshold)
-            for node, n, tokens in group:
-                search.add(node, n, tokens)
-            least: dict[int, int] = {}
-            for i, node in enumerate(search.nodes):
-                r = search.root(i)
-                least[r] = min(node, least.get(r, node))
-            out += [(node, least[search.root(i)], i in search.members) for i, node in enumerate(search.nodes)]
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["node", "leader", "pivot"])
+            search = Search(threshold, group)
+            leader = np.zeros(len(group), np.int64)
+            for part in search.parts.values():
+                leader[part] = search.nodes[part].min()
+            out.append((search.nodes, leader, search.pivot < 0))
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["node", "leader", "pivot"])
 
     return run
 
@@ -351,23 +400,31 @@ def _search_rest(threshold: tuple[int, int]):
     """Links of sets outside a component's largest part to the sets of one block."""
 
     def run(key, asked: pa.Table, block: pa.Table) -> pa.Table:
-        labels = dict(zip(block.column("node").to_pylist(), block.column("label").to_pylist(), strict=True))
-        search = Search(threshold)
-        for group in _by_component(block):
-            for node, n, tokens in group:
-                search.add(node, n, tokens)
-        found = set()
-        for node, n, blob, label in zip(*(asked.column(c).to_pylist() for c in ("node", "n", "hashes", "label")), strict=True):
-            met = {label}
-            for i, _ in search.partners(n, np.frombuffer(blob, np.uint64), lambda i: labels[search.nodes[i]] in met):  # noqa: B023
-                if labels[search.nodes[i]] not in met:
-                    met.add(labels[search.nodes[i]])
-                    found.add((node, search.nodes[i]))
+        label_of = dict(zip(block.column("node").to_pylist(), block.column("label").to_pylist(), strict=True))
+        found = []
+        for group in _by_component(block) if asked.num_rows else ():
+            search = Search(threshold, group)
+            labels = np.array([label_of[node] for node in search.nodes.tolist()], np.int64)
+            for node, n, blob, label in zip(*(asked.column(c).to_pylist() for c in ("node", "n", "hashes", "label")), strict=True):
+                tokens = np.frombuffer(blob, np.uint64)
+                at = np.minimum(np.searchsorted(search.known, tokens), len(search.known) - 1)
+                met = {label}
+                for sets, _ in search.partners(n, at[search.known[at] == tokens], lambda sets: ~np.isin(labels[sets], [*met])):  # noqa: B023
+                    for i in sets.tolist():
+                        if labels[i] not in met:
+                            met.add(int(labels[i]))
+                            found.append((node, int(search.nodes[i])))
         return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
     return run
 
 
+def _blocks(unit: int):
+    """Into how many blocks some sets go."""
+    total = F.sum("elements")
+    return F.greatest(F.ceil(total / unit), F.ceil(F.sqrt(total * F.count(F.lit(1)) / WORK))).cast("long")
+
+
 def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, unit: int) -> DataFrame:
     """node, label of the sets (node, n, hashes) that have a link; label is the same within a component."""
     dealt = sets.mapInArrow(releasing(_deal_sets(2 * partitions)), BUCKETS)
@@ -386,8 +443,7 @@ def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, un
     candidates = components(edges).withColumnRenamed("label", "component")
     members = ranked.select("node", "n", "hashes").join(candidates, "node")
     members = cut_lineage(members.withColumn("elements", F.octet_length("hashes") / 8), "candidate-sets")
-    large = members.groupBy("component").agg(F.sum("elements").alias("total")).where(F.col("total") > unit)
-    large = cut_lineage(large.select("component", F.ceil(F.col("total") / unit).cast("long").alias("blocks")), "large-components")
+    large = cut_lineage(members.groupBy("component").agg(_blocks(unit).alias("blocks")).where("blocks > 1"), "large-components")
     large_at_all = bool(large.limit(1).count())
 
     def searched(table: DataFrame, seed: int) -> DataFrame:
@@ -403,7 +459,7 @@ def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, un
     # Large components: the pivots of all blocks, then what still lies apart.
     in_large = cut_lineage(members.join(large, "component"), "large-sets")
     pivots = in_large.join(found.where("pivot").select("node"), "node", "left_semi").drop("blocks")
-    shares = pivots.groupBy("component").agg(F.ceil(F.sum("elements") / unit).cast("long").alias("blocks"))
+    shares = pivots.groupBy("component").agg(_blocks(unit).alias("blocks"))
     between = searched(pivots.join(shares, "component").select("component", "n", "node", "hashes", "blocks"), 1)
     links = found.select(F.col("node").alias("a"), F.col("leader").alias("b")).union(between.select("node", "leader"))
     links = cut_lineage(links, "links")
@@ -412,7 +468,7 @@ def linked_sets(sets: DataFrame, threshold: tuple[int, int], partitions: int, un
     main = sized.groupBy("component").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("apart")).where("apart > 1")
     rest = cut_lineage(in_large.join(labels, "node").join(main, "component"), "large-rest")
     asked = rest.where("label != main")
-    chunks = asked.groupBy("component").agg(F.ceil(F.sum("elements") / unit).cast("long").alias("chunks"))
+    chunks = asked.groupBy("component").agg(_blocks(unit).alias("chunks"))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     block = F.pmod(F.xxhash64("node", F.lit(0)), F.col("blocks")).alias("block")
     chunk = F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks")).alias("chunk")
