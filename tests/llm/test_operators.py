@@ -193,6 +193,26 @@ def test_search_of_many_near_copies():
     assert 100 < (search.pivot < 0).sum() < 600 and 20 < len(search.parts) < 600
 
 
+def test_shared_hashes_are_dealt_in_one_pass():
+    """A bucket's pairs are put in order once, not once for each of the parts they go to."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    hashes, nodes = rng.integers(0, 100_000, 400_000, dtype=np.uint64), rng.integers(-(1 << 62), 1 << 62, 5000)[rng.integers(0, 5000, 400_000)]
+    table = pa.table({"bucket": [0, 0], "hashes": [x.tobytes() for x in np.split(hashes, 2)], "nodes": [x.tobytes() for x in np.split(nodes, 2)]})
+    begun = time.process_time()
+    out = jaccard_join._frequencies(1500)(table)
+    assert time.process_time() - begun < 2
+    pairs = {*zip(nodes.tolist(), hashes.tolist(), strict=True)}
+    df = Counter(h for _, h in pairs)
+    got = []
+    for part, *blobs in zip(*(out.column(c).to_pylist() for c in ("part", "nodes", "hashes", "dfs")), strict=True):
+        v, h, n = (np.frombuffer(b, t) for b, t in zip(blobs, (np.int64, np.uint64, np.int64), strict=True))
+        assert set(jaccard_join._part(v, 1500).tolist()) == {part}
+        got += zip(v.tolist(), h.tolist(), n.tolist(), strict=True)
+    assert sorted(got) == sorted((v, h, df[h]) for v, h in pairs if df[h] > 1)
+
+
 @pytest.mark.parametrize("work", [3000, 30_000])
 def test_jaccard_join_blocks_by_work(spark, monkeypatch, work):
     """A component of many small sets goes into blocks by the search's steps, not by its elements alone."""

@@ -177,7 +177,7 @@ def _frequencies(parts: int):
         order = np.argsort(part, kind="stable")
         names, first = np.unique(part[order], return_index=True)
         cuts = [*first.tolist(), len(order)]
-        columns = [[x[order][a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)] for x in (v, h, df)]
+        columns = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)] for x in (v[order], h[order], df[order])]
         return pa.table([pa.array(names, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["part", "nodes", "hashes", "dfs"])
 
     return run
