@@ -3,7 +3,8 @@
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_operators import brute_components, brute_hits, brute_lines
+from tests.llm.test_operators import brute_components, brute_hits, brute_lines, chain
+from tidemark.llm import jaccard_join
 
 
 def test_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
@@ -68,6 +69,15 @@ def test_near_duplicates_by_ids(spark, monkeypatch, most):
     assert sorted(((str(r.doc_id), r.text) for r in out.collect() if r.doc_id is not None), key=lambda x: (x[0], x[1] or "")) == [("3", rows[2][1]), ("3", text), ("7", None), ("8", "")]
 
 
+def test_near_duplicates_of_a_large_group_in_blocks(spark, monkeypatch):
+    """A group of near copies whose search is too much work for one task is cut; the same documents stay."""
+    monkeypatch.setattr(jaccard_join, "WORK", 10_000)
+    rows = chain() + [(900, None), (901, "a text of its own words here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in out.collect()) == sorted({c for _, _, c in brute_components(rows)})
+
+
 def test_registered():
     import __spark_entry__ as entry
 
